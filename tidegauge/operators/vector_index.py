@@ -61,9 +61,10 @@ def similarity_search(
 ) -> DataFrame:
     """The ``k`` rows most like ``query`` by cosine, with their ``score``. One scan; each task keeps
     ``k`` rows and only those are merged. ``query`` may be a scalar subquery."""
-    score = cosine(F.col(vector), query)
+    probe = query if isinstance(query, Column) else F.lit([float(x) for x in query])
     return (
-        index.withColumn("score", score)
+        index.withColumn("probe__", probe)
+        .withColumn("score", cosine(F.col(vector), F.col("probe__")))
         .filter(F.col("score").isNotNull())
         .orderBy(F.round("score", SCORE_DIGITS).desc(), key)
         .limit(k)

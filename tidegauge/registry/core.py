@@ -289,6 +289,7 @@ CTES = {
 def with_ctes(body: str) -> str:
     """``body`` behind the definitions of the layers; unused ones cost nothing."""
     definitions = ",\n".join(f"{name} AS ({text})" for name, text in CTES.items())
-    extra = body.lstrip()
-    joiner = ",\n" if extra.upper().startswith("WITH ") else "\n"
-    return f"WITH {definitions}{joiner}{extra[5:] if joiner.startswith(',') else extra}"
+    words = body.split(None, 1)
+    if words[0].upper() == "WITH":
+        return f"WITH {definitions},\n{words[1]}"
+    return f"WITH {definitions}\n{body.strip()}"

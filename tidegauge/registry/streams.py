@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegauge.model import contracts as c
+from tidegauge.operators import quality
 from tidegauge.operators.windows import page_metrics, sliding_page_metrics
+from tidegauge.plans.served import stacked
 from tidegauge.registry.core import Model, derive, query
 from tidegauge.session import scratch_path
-from tidegauge.sources.landing import bronze_stream, land_lines
+from tidegauge.sources.landing import bronze_batch, bronze_stream, land_lines
 from tidegauge.sources.tables import Tables
 from tidegauge.streaming.flows import Medallion, deduplicated, start
 
 
 def stream_of(m: Model, name: str):
     """A given table as a stream; all its files form one micro-batch, so order does not matter."""
-    return m.spark.readStream.schema(m.table(name).schema).parquet(f"{m.sf_dir}/{name}.parquet")
+    path = m.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{m.sf_dir}/{name}.parquet")
+    fs = path.getFileSystem(m.spark.sparkContext._jsc.hadoopConfiguration())
+    reader = m.spark.readStream.schema(m.table(name).schema)
+    if fs.getFileStatus(path).isDirectory():
+        return reader.parquet(f"{m.sf_dir}/{name}.parquet")
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(m.sf_dir)  # a table of one file
 
 
 def event_stream(m: Model):
@@ -25,8 +32,6 @@ def event_stream(m: Model):
 
 
 def silver_stream(m: Model):
-    from tidegauge.operators import quality
-
     return quality.accepted(event_stream(m))
 
 
@@ -37,10 +42,22 @@ def run(m: Model, df, label: str):
     return m.spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
-def landed(m: Model, df=None) -> str:
-    path = scratch_path(m.spark, "landing")
-    land_lines(m.bronze if df is None else df, path, F.col("ingest_timestamp"))
-    return path
+LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed(m: Model) -> str:
+    """The events as landed lines, written once per application and given table set."""
+    key = (m.spark.sparkContext.applicationId, m.sf_dir)
+    if key not in LANDED:
+        path = scratch_path(m.spark, "landing")
+        land_lines(m.bronze, path, F.col("ingest_timestamp"))
+        LANDED[key] = path
+    return LANDED[key]
+
+
+@query("s1_bronze_batch", "SELECT event_id, raw_json FROM bronze")
+def _(m):
+    return bronze_batch(m.spark, landed(m)).select("event_id", "raw_json")
 
 
 @query("s1_bronze_stream", "SELECT event_id, raw_json FROM bronze")
@@ -96,8 +113,6 @@ def _(m):
         "bronze": (c.BRONZE, F.lit(0)), "silver": (c.SILVER, F.sum("byte_delta")),
         "quarantine": (c.QUARANTINE, F.sum("byte_delta")), "gold": (c.GOLD_5MIN, F.sum("total_byte_delta")),
     }
-    from tidegauge.plans.served import stacked
-
     return stacked([
         tables.read(name).agg(F.count("*").alias("n"), total.cast("bigint").alias("bytes")).select(
             F.lit(layer).alias("layer"), "n", "bytes")

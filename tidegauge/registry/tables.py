@@ -8,7 +8,7 @@ from tidegauge.model import contracts as c
 from tidegauge.operators import anomaly, summaries
 from tidegauge.registry.core import query
 from tidegauge.session import scratch_path
-from tidegauge.sources.landing import bronze_batch, land_lines
+from tidegauge.sources.landing import land_lines
 from tidegauge.sources.tables import Tables, roundtrip
 
 
@@ -25,13 +25,6 @@ def _(m):
         F.count("*").alias("lines"), F.sum(F.length("value")).alias("characters"))
 
 
-@query("s1_bronze_batch", "SELECT event_id, raw_json FROM bronze")
-def _(m):
-    path = scratch_path(m.spark, "landing")
-    land_lines(m.bronze, path, F.col("ingest_timestamp"))
-    return bronze_batch(m.spark, path).select("event_id", "raw_json")
-
-
 @query("s13_replace_partition", """
     SELECT CAST(window_start AS DATE) AS window_date, CAST(sum(edit_count) AS BIGINT)
              * CASE WHEN CAST(window_start AS DATE) = (SELECT CAST(t AS DATE) FROM clock) THEN 10 ELSE 1 END AS edits
