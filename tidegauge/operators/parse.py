@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.model.contracts import RAW_EVENT_DDL
 
@@ -60,18 +61,43 @@ def capture(lines: DataFrame, ingest_timestamp: Column | None = None) -> DataFra
     )
 
 
+def narrowed(leaves: set[str]) -> str:
+    """DDL of the raw event with only the given leaf paths."""
+    def keep(struct: T.StructType, prefix: str) -> list[T.StructField]:
+        kept = []
+        for f in struct.fields:
+            path = prefix + f.name
+            if isinstance(f.dataType, T.StructType):
+                inner = keep(f.dataType, path + ".")
+                if inner:
+                    kept.append(T.StructField(f.name, T.StructType(inner)))
+            elif path in leaves:
+                kept.append(f)
+        return kept
+
+    chosen = keep(T.StructType.fromDDL(RAW_EVENT_DDL), "")
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen)
+
+
 def parse_events(bronze: DataFrame, raw: str = "raw_json") -> DataFrame:
     """Typed flat rows; a malformed line becomes a row of NULLs, a mistyped field one NULL.
 
-    Catalyst narrows the JSON schema to the fields a consumer actually selects, so the wide
-    projection costs nothing downstream.
+    The document is produced by a generator (``inline``) rather than by a projection: filters on its
+    fields are then applied to the parsed row. Through a projection Catalyst would push them down by
+    repeating ``from_json`` inside the filter, once per condition, and parse every line several times.
+
+    ``log_params`` has no stable type and comes as JSON text from a second look at the line, which is
+    taken only where the first one found the field (or failed).
     """
+    fields = [line.split() for line in FLAT_FIELDS.strip().splitlines()]
+    leaves = {path for _, path in fields if path != "-"}
+    document = F.from_json(raw, narrowed(leaves) + ", log_params string")
+    lineage = [c for c in LINEAGE if c in bronze.columns]
+    doc = bronze.select(raw, *lineage, F.inline(F.array(document)))
+    has_params = F.col("log_params").isNotNull() | F.col("meta.id").isNull()
     special = {
-        "event_timestamp": F.col("doc.timestamp").cast("timestamp"),
-        "byte_delta": byte_delta(F.col("doc.length.old"), F.col("doc.length.new")),
-        "log_params": F.get_json_object(raw, "$.log_params"),
+        "event_timestamp": F.col("timestamp").cast("timestamp"),
+        "byte_delta": byte_delta(F.col("length.old"), F.col("length.new")),
+        "log_params": F.when(has_params, F.get_json_object(raw, "$.log_params")),
     }
-    typed = bronze.withColumn("doc", F.from_json(raw, RAW_EVENT_DDL))
-    fields = [line.split() for line in FLAT_FIELDS.strip().splitlines()]
-    columns = [special.get(name, F.col(f"doc.{path}")).alias(name) for name, path in fields]
-    return typed.select(*columns, *[c for c in LINEAGE if c in bronze.columns])
+    return doc.select(*[special.get(name, F.col(path)).alias(name) for name, path in fields], *lineage)

@@ -97,7 +97,8 @@ def related_events(
 # k nearest neighbours of many vectors at once
 # ---------------------------------------------------------------------------------------------
 
-PIVOTS = 64
+MAX_PIVOTS = 256
+ROWS_PER_PIVOT = 2048
 BLOCK_BYTES = 16 << 20
 
 
@@ -139,20 +140,21 @@ def nearest_neighbours(
     key: str = "id",
     vector: str = "embedding",
     drop_self: bool = False,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Exact k nearest rows of ``index`` by cosine for every row of ``queries``; neither side bounded.
 
     Returns (``key``, ``neighbour``, ``score``, ``place``). Method (a pivot-pruned block join):
 
-    1. A fixed number of index rows become pivots; each index row joins the cell of its closest one.
-    2. Per cell only its size, radius and k-th smallest distance are kept, a table of ``pivots`` rows.
-    3. By the triangle inequality these give every query an upper bound on its k-th distance, and rule
-       out the cells that lie farther; the query is sent to the remaining cells only.
-    4. Cells and query sets are cut into slices of at most ``block_bytes``, so a crowded cell is many
+    1. A few index rows (at most ``MAX_PIVOTS``) become pivots; each index row joins the cell of its
+       closest one. Of a cell only the size and radius are kept.
+    2. Pivots are index rows, so the k-th closest pivot bounds a query's k-th distance from above. By
+       the triangle inequality that rules out the cells that lie farther away, and the query is sent
+       to the remaining ones only.
+    3. Cells and query sets are cut into slices of at most ``block_bytes``, so a crowded cell is many
        tasks, not one. A task multiplies two slices and returns k rows per query, not the pairs.
-    5. The partial bests of each query are merged.
+    4. The partial bests of each query are merged.
 
     Nothing is approximate: the pruning is a proof, and slices lose nothing. Unclustered vectors
     prune badly and cost a full block join.
@@ -162,13 +164,16 @@ def nearest_neighbours(
         F.exists("vector", lambda x: x != 0)
     )
     q_rows, s_rows = side(queries), side(index)
-    chosen = s_rows.orderBy(F.xxhash64("key"), "key").limit(pivots).collect()  # bounded by `pivots`
     out_schema = f"key {key_type}, neighbour {key_type}, score double"
+    if pivots is None:
+        pivots = min(MAX_PIVOTS, 1 + s_rows.count() // ROWS_PER_PIVOT)
+    reach = k + 1 if drop_self else k
+    # Bounded by `pivots` and `reach`; which rows they are does not matter for the result.
+    chosen = s_rows.orderBy(F.xxhash64("key"), "key").limit(max(pivots, reach)).collect()
     if not chosen:
         return q_rows.sparkSession.createDataFrame([], f"{out_schema}, place int")
     centres = _matrix(pd.Series([r["vector"] for r in chosen]))
     slice_rows = max(64, block_bytes // (8 * centres.shape[1]))
-    reach = k + 1 if drop_self else k
 
     def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -176,17 +181,9 @@ def nearest_neighbours(
             yield b.assign(cell=gaps.argmin(axis=1).astype("int32"), gap=gaps.min(axis=1))
 
     placed = s_rows.mapInPandas(to_cells, f"key {key_type}, vector array<float>, cell int, gap double")
-    inner = Window.partitionBy("cell").orderBy("gap")
-    near = (
-        placed.select("cell", "gap").withColumn("n", F.row_number().over(inner)).filter(F.col("n") <= reach)
-        .groupBy("cell").agg(F.max("n").alias("n"), F.max("gap").alias("near"))
-    )
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("rows"), F.max("gap").alias("radius"))
-    cells = sizes.join(near, "cell").orderBy("cell").collect()  # at most `pivots` rows
+    cells = placed.groupBy("cell").agg(F.count("*").alias("rows"), F.max("gap").alias("radius")).collect()
     at = np.array([c["cell"] for c in cells])
     radius = np.array([c["radius"] for c in cells])
-    # The distance from a pivot within which its cell is known to hold enough rows.
-    near_enough = np.array([c["near"] if c["n"] >= reach else np.inf for c in cells])
     slices = np.array([-(-c["rows"] // slice_rows) for c in cells])
     query_slices = max(1, -(-q_rows.count() // slice_rows))
     between = np.sqrt(np.clip(2.0 - 2.0 * (centres[at] @ centres[at].T), 0.0, None))
@@ -194,8 +191,10 @@ def nearest_neighbours(
 
     def to_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            gaps = _gaps(_matrix(b["vector"]), centres[at])
-            limit = (gaps + near_enough).min(axis=1)
+            every = _gaps(_matrix(b["vector"]), centres)
+            within = reach <= every.shape[1]
+            limit = np.partition(every, reach - 1, axis=1)[:, reach - 1] if within else np.full(len(b), np.inf)
+            gaps = every[:, at]
             home = gaps.argmin(axis=1)
             own = gaps[np.arange(len(b)), home][:, None]
             apart = between[home]
