@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clock import AsOf, ago, since, today
+from tidegauge.functions.clock import AsOf, ago, now, since, today
 from tidegauge.functions.percentiles import exact_percentiles
 from tidegauge.functions.scalars import bucket_index, count_when, pct
 from tidegauge.plans.served import counts_in_one_row, shares
@@ -213,8 +213,6 @@ def bucket_gaps(df: DataFrame, as_of: AsOf = None, minutes: int = 45, seconds: i
     counted = recent.groupBy(bucket_index(F.col(ts), seconds).alias("slot")).agg(F.count("*").alias("n"))
     last = bucket_index(F.col("at"), seconds)
     first = bucket_index(F.col("at") - F.expr(f"INTERVAL {minutes} MINUTES"), seconds)
-    from tidegauge.functions.clock import now
-
     expected = df.sparkSession.range(1).select(now(as_of).alias("at")).select(F.explode(F.sequence(first, last)).alias("slot"))
     return expected.join(counted, "slot", "left").select(
         F.from_unixtime(F.col("slot") * seconds).alias("bucket_start"), F.coalesce("n", F.lit(0)).alias("rows_landed")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidegauge.model import contracts as c
 from tidegauge.operators import anomaly, baseline, summaries, vector_index
@@ -12,6 +13,10 @@ from tidegauge.sources.tables import Tables
 from tidegauge.streaming.flows import expectation_metrics
 
 
+# The queue has at most k rows of a few hundred bytes; up to this many it is broadcast.
+BROADCAST_PAGES = 10_000
+
+
 def _clock(as_of: datetime | None) -> datetime:
     return as_of or datetime.now(timezone.utc)
 
@@ -49,13 +54,14 @@ def run_summaries(
     at = _clock(as_of)
     flags = tables.read(c.FLAGS)
     queue = summaries.pending_queue(flags, tables.read(c.SUMMARIES), at, cooldown_minutes, k)
-    said = summaries.comments_for_queue(queue, tables.read(c.SILVER))
+    find = summaries.comments_for_queue if k <= BROADCAST_PAGES else summaries.comments_in_windows
+    said = find(queue, tables.read(c.SILVER))
     asked = summaries.with_context(queue, summaries.comment_context(said, max_comments))
     tables.append(c.SUMMARIES, summaries.summarize(asked, generator, at, model))
-    written = tables.read(c.SUMMARIES).filter(summaries.F.col("generated_at") == summaries.F.lit(at))
+    written = tables.read(c.SUMMARIES).filter(F.col("generated_at") == F.lit(at))
     if tables.exists(c.FLAGS):
         tables.rewrite(c.FLAGS, summaries.mark_summarized(flags, written))
-    return written.orderBy(summaries.F.desc("z_score"), "title")
+    return written.orderBy(F.desc("z_score"), "title")
 
 
 def backfill_ids(tables: Tables) -> None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.clock import AsOf, now, since, today
@@ -88,8 +88,6 @@ def pass_rates(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, as_o
 def shares(df: DataFrame, key: str, count_name: str) -> DataFrame:
     """Rows per value of a low-cardinality column with its share of all rows; the total is taken over
     the grouped result, a handful of rows."""
-    from pyspark.sql import Window
-
     grouped = df.groupBy(key).agg(F.count("*").alias(count_name))
     total = F.sum(count_name).over(Window.partitionBy())
     return grouped.withColumn("pct", pct(F.col(count_name), total)).orderBy(F.desc(count_name), key)
@@ -200,3 +198,8 @@ def latest_summaries(summaries: DataFrame, as_of: AsOf = None, hours: int = 6, n
     return since(summaries, "generated_at", as_of, f"{hours} HOURS").orderBy(
         F.desc("generated_at"), F.desc("z_score"), "title"
     ).limit(n).select("title", "z_score", "edit_count", "summary", "generated_at")
+
+
+def latest_row(summaries: DataFrame) -> DataFrame:
+    """The newest summary, the strongest among equals: what related events are looked up for."""
+    return summaries.orderBy(F.desc("generated_at"), F.desc("z_score"), "title").limit(1)

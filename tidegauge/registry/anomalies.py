@@ -186,7 +186,7 @@ def _(m):
 
 
 @query("w3_first_comments", "WITH" + SAID.format(flags="flags") + "," + FIRST.format(n=5) + """
-    SELECT title, window_start, event_id, place FROM first""")
+    SELECT title, window_start, event_id, CAST(place AS INTEGER) AS place FROM first""")
 def _(m):
     said = summaries.comments_in_windows(m.flags, m.silver, bucket_seconds=3600)
     return summaries.first_comments(said, 5).select("title", "window_start", "event_id", "place")
@@ -376,3 +376,10 @@ def _(m):
     SELECT count(*) AS pages_written FROM b""")
 def _(m):
     return baseline.baseline_written(baseline.rolling_baseline(m.gold, m.as_of), m.as_of)
+
+
+@query("k5_latest_summary", """
+    SELECT id, title, z_score, generated_at FROM summaries
+    ORDER BY generated_at DESC, z_score DESC, title LIMIT 1""")
+def _(m):
+    return served.latest_row(m.summaries).select("id", "title", "z_score", "generated_at")

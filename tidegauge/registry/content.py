@@ -109,7 +109,8 @@ def _(m):
 
 @query("p19_conservation", """
     SELECT (SELECT count(*) FROM bronze) AS bronze, (SELECT count(*) FROM silver) AS silver,
-           (SELECT count(*) FROM quarantine) AS quarantine, 0 AS duplicates, 0 AS dropped, 0 AS unexplained""")
+           (SELECT count(*) FROM quarantine) AS quarantine, CAST(0 AS BIGINT) AS duplicates,
+           CAST(0 AS BIGINT) AS dropped, CAST(0 AS BIGINT) AS unexplained""")
 def _(m):
     parsed = parse_events(m.bronze)
     return quality.conservation(m.bronze, quality.clean(parsed), quality.rejected(parsed))
@@ -188,7 +189,7 @@ def _(m):
 
 
 @query("ph2_staleness", """
-    SELECT max(ingest_timestamp) AS latest_event, 0 AS minutes_stale FROM bronze""")
+    SELECT max(ingest_timestamp) AS latest_event, CAST(0 AS BIGINT) AS minutes_stale FROM bronze""")
 def _(m):
     return served.staleness(m.bronze, m.as_of)
 

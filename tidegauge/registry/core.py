@@ -59,8 +59,10 @@ class Model:
 
     @cached_property
     def as_of(self) -> Column:
-        """The latest event time: the 'now' of the test data."""
-        return self.events.agg(F.max("ts")).scalar()
+        """The latest event time: the 'now' of the test data. It is resolved once to a literal, as the
+        jobs do, so that relative-time filters fold to constants and reach the Parquet scan."""
+        latest = self.events.agg(F.max("ts").cast("string")).first()[0]
+        return F.lit(latest).cast("timestamp_ntz")
 
     @cached_property
     def parsed(self) -> DataFrame:

@@ -78,6 +78,13 @@ def _(m):
     return run(m, deduplicated(twice, "bounded"), "dedupe").select("event_id", "title")
 
 
+@query("t2_dedupe_spread", "SELECT event_id, title FROM silver")
+def _(m):
+    """Copies are first removed within each slice of the events, then across them."""
+    twice = silver_stream(m).union(silver_stream(m))
+    return run(m, deduplicated(twice, spread="minor"), "dedupe").select("event_id", "title")
+
+
 @query("t3_closed_windows", """
     SELECT window_start, window_end, window_date, title, namespace, edit_count, total_byte_delta, avg_byte_delta,
            max_byte_delta, minor_edit_count

@@ -97,15 +97,19 @@ def start(
 class Medallion:
     """The streaming tables of one lake, each an independent query with its own checkpoint and state."""
 
-    def __init__(self, tables: Tables, landing: str, dedupe: str = "global", max_files: int | None = None):
-        self.tables, self.landing, self.dedupe, self.max_files = tables, landing, dedupe, max_files
+    def __init__(
+        self, tables: Tables, landing: str, dedupe: str = "global", max_files: int | None = None,
+        spread: str | None = None,
+    ):
+        self.tables, self.landing, self.max_files = tables, landing, max_files
+        self.dedupe, self.spread = dedupe, spread
 
     def _flow(self, name: str) -> DataFrame:
         t, n = self.tables, self.max_files
         if name == c.BRONZE:
             return bronze_stream(t.spark, self.landing, n)
         if name == c.SILVER:
-            return silver_flow(t.stream(c.BRONZE, n), self.dedupe)
+            return silver_flow(t.stream(c.BRONZE, n), self.dedupe, spread=self.spread)
         if name == c.QUARANTINE:
             return quarantine_flow(t.stream(c.BRONZE, n))
         if name == c.GOLD_5MIN:
