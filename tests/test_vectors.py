@@ -43,6 +43,18 @@ def test_neighbours_equal_brute_force(spark, pivots, block_bytes, same):
         assert [n for _, n, _ in found] == [n for n, _ in expected]
 
 
+def test_many_equal_scores_and_text_keys(spark):
+    """A third of all rows are copies of one vector: ties go to the smaller key, in every block."""
+    m = np.float32(np.vstack([np.repeat([[1.0, 2.0]], 300, axis=0), np.random.default_rng(2).normal(size=(600, 2))]))
+    df = vectors(spark, m).withColumn("id", F.format_string("k%04d", F.col("id")))
+    got = v.nearest_neighbours(df, df, 3, drop_self=True, pivots=5, block_bytes=1)
+    mine = {r["key"]: [] for r in df.select(F.col("id").alias("key")).collect()}
+    for r in got.orderBy("key", "place").collect():
+        mine[r["key"]].append(r["neighbour"])
+    assert mine["k0000"] == ["k0001", "k0002", "k0003"] and mine["k0299"] == ["k0000", "k0001", "k0002"]
+    assert {len(x) for x in mine.values()} == {3}
+
+
 def test_far_cells_are_skipped(spark):
     """Tight clusters: a query is sent to its own cell, not to all."""
     r = np.random.default_rng(1)

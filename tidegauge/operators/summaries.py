@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clock import AsOf, now, since
+from tidegauge.functions.clock import AsOf, ingested_after, now, since
 from tidegauge.functions.scalars import bucket_index, signed_bytes, summary_id
 from tidegauge.model.contracts import COOLDOWN_MINUTES, MAX_COMMENTS, MAX_PAGES_PER_RUN
 
@@ -84,11 +84,11 @@ def comments_in_windows(flags: DataFrame, silver: DataFrame, bucket_seconds: int
     return spans.alias("f").join(said.alias("s"), met).select(*MATCHED)
 
 
-def comments_for_queue(queue: DataFrame, silver: DataFrame) -> DataFrame:
+def comments_for_queue(queue: DataFrame, silver: DataFrame, slack_days: int | None = None) -> DataFrame:
     """As :func:`comments_in_windows` for a queue, whose length is bounded by its ``k``: the queue is
     broadcast, silver is read once and not shuffled, and the scan starts at the earliest window."""
     earliest = queue.agg(F.min("window_start")).scalar()
-    said = _remarks(silver).filter(F.col("event_timestamp") >= earliest)
+    said = _remarks(ingested_after(silver, earliest, slack_days)).filter(F.col("event_timestamp") >= earliest)
     few = F.broadcast(queue.select(*FLAG, "window_end"))
     return said.alias("s").join(few.alias("f"), F.expr(INSIDE)).select(*MATCHED)
 

@@ -100,6 +100,8 @@ def related_events(
 MAX_PIVOTS = 256
 ROWS_PER_PIVOT = 2048
 BLOCK_BYTES = 16 << 20
+SCORE_CELLS = 4 << 20
+ROWS_PER_BATCH = 4096
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -114,23 +116,31 @@ def _gaps(m: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def _best(q: pd.DataFrame, s: pd.DataFrame, k: int, distinct: bool) -> pd.DataFrame:
-    """The k best of one block for every query of one block; never the pairs themselves."""
-    scores = np.round(_matrix(q["vector"]) @ _matrix(s["vector"]).T, SCORE_DIGITS)
-    ids = s["key"].to_numpy()
-    if distinct:
-        scores[q["key"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-    by_id = np.argsort(ids, kind="stable")
-    # Stable sort on columns already in id order, so that ties go to the smaller id.
-    top = by_id[np.argsort(-scores[:, by_id], axis=1, kind="stable")[:, :k]]
-    found = np.take_along_axis(scores, top, axis=1)
-    rows = pd.DataFrame(
-        {
-            "key": np.repeat(q["key"].to_numpy(), top.shape[1]),
-            "neighbour": ids[top].ravel(),
-            "score": found.ravel(),
-        }
-    )
-    return rows[np.isfinite(rows["score"])]
+    """The k best of one block for every query of one block; never the pairs themselves.
+
+    Queries are taken a few at a time, so that no more than ``SCORE_CELLS`` scores exist at once.
+    """
+    ids, vectors = s["key"].to_numpy(), _matrix(s["vector"]).T
+    rank = np.empty(len(ids), dtype=np.int64)
+    rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    step = max(1, SCORE_CELLS // len(ids))
+    found = []
+    for start in range(0, len(q), step):
+        some = q.iloc[start:start + step]
+        names = some["key"].to_numpy()
+        scores = np.round(_matrix(some["vector"]) @ vectors, SCORE_DIGITS)
+        if distinct:
+            scores[names[:, None] == ids[None, :]] = -np.inf
+        able = np.isfinite(scores)
+        if len(ids) > k:
+            able &= scores >= np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
+        row, col = np.nonzero(able)  # the k best and whatever ties with the last of them
+        order = np.lexsort((rank[col], -scores[row, col], row))
+        row, col = row[order], col[order]
+        kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+        row, col = row[kept], col[kept]
+        found.append(pd.DataFrame({"key": names[row], "neighbour": ids[col], "score": scores[row, col]}))
+    return pd.concat(found)
 
 
 def nearest_neighbours(
@@ -204,7 +214,10 @@ def nearest_neighbours(
             copies = slices[cell]
             part = np.concatenate([np.arange(c) for c in copies]) if len(copies) else np.array([], int)
             row, cell = np.repeat(row, copies), np.repeat(cell, copies)
-            yield b.iloc[row].assign(cell=at[cell].astype("int32"), part=part.astype("int32"))
+            for start in range(0, len(row), ROWS_PER_BATCH):
+                piece = slice(start, start + ROWS_PER_BATCH)
+                yield b.iloc[row[piece]].assign(
+                    cell=at[cell[piece]].astype("int32"), part=part[piece].astype("int32"))
 
     block_schema = f"key {key_type}, vector array<float>, query_part int, cell int, part int"
     q_blocks = q_rows.withColumn(
