@@ -10,11 +10,11 @@ from events import T0, raw, write_lines
 from pyspark.sql import functions as F
 
 from tidegauge.model import contracts as c
-from tidegauge.operators import quality
+from tidegauge.operators import anomaly, quality
 from tidegauge.operators.parse import parse_events
 from tidegauge.operators.windows import page_metrics
-from tidegauge.plans import checks, jobs
-from tidegauge.sources.landing import bronze_batch, expire_landed, land_lines, land_stream
+from tidegauge.plans import alerts, checks, jobs, served
+from tidegauge.sources.landing import bronze_batch, bronze_stream, expire_landed, land_lines, land_stream
 from tidegauge.sources.tables import Tables, by_title, rows_to_table
 from tidegauge.streaming.flows import Medallion, closed, deduplicated, late_rows, start
 
@@ -180,3 +180,40 @@ def test_rewrites_keep_the_last_committed_state(spark, tmp_path):
     assert tables.path(c.FLAGS).endswith("v=2")
     assert tables.read(c.FLAGS).count() == 0
     assert rows_to_table(spark, [], c.FLAGS_DDL).columns == one.columns
+    tables.rewrite(c.FLAGS, one)
+    assert tables.drop_old(c.FLAGS, keep=1) == [1, 2] and tables.read(c.FLAGS).count() == 0
+
+
+def test_source_files_are_removed_once_captured(spark, tmp_path):
+    land = tmp_path / "landing"
+    for i in range(3):
+        write_lines(folder(land, i) / f"f{i}.jsonl", [raw(f"e{i}")])
+        df = bronze_stream(spark, str(land), clean="delete")
+        start(df, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert len(list(land.rglob("*.jsonl"))) < 3
+
+
+def test_stored_tables_are_pruned_by_partition(spark, tmp_path):
+    tables, _ = lake(spark, tmp_path)
+    tables.append(c.BRONZE, spark.createDataFrame([("{}", START, "f", None, START.date())], c.BRONZE_DDL))
+    tables.append(c.GOLD_5MIN, spark.createDataFrame(
+        [(START, START, START.date(), "p", 0, 9, 1, 1, 1.0, 1, 0)], c.GOLD_DDL))
+    tables.replace_partitions(c.BASELINE, spark.createDataFrame(
+        [("p", 0, 10, 1.0, 1.0, 1.0, 1.0, START, START, (START - timedelta(days=1)).date(), START, 30)], c.BASELINE_DDL))
+
+    def scans(df):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in text.splitlines() if "FileScan" in line]
+
+    for df, part in [
+        (served.ingest_per_hour(tables.read(c.BRONZE), START), "ingest_date"),
+        (served.top_pages(tables.read(c.GOLD_5MIN), START), "window_date"),
+        (alerts.silver_gap(tables.read(c.BRONZE), START), "ingest_date"),
+    ]:
+        assert all(f"PartitionFilters: [isnotnull({part}" in line and f"({part}#" in line for line in scans(df))
+    found = anomaly.detect_anomalies(tables.read(c.GOLD_5MIN), tables.read(c.BASELINE), None, START)
+    gold, base = scans(found)
+    assert "window_date" in gold and "PushedFilters: [IsNotNull(" in gold and "GreaterThanOrEqual(window_start" in gold
+    assert "(baseline_date#" in base and "= 2023-12-31" in base
+    assert found.count() == 1

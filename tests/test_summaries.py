@@ -138,7 +138,7 @@ def test_marking_covers_all_windows_of_a_page(spark):
 def test_summary_job_marks_only_what_it_wrote(spark, tmp_path):
     t = Tables(spark, str(tmp_path / "lake"))
     t.append(c.FLAGS, flags(spark, flag("raises"), flag("fine"), flag("fine", 3.5, W + timedelta(minutes=5))))
-    written = jobs.run_summaries(t, NOW, fickle, "m")
+    written = jobs.run_summaries(t, NOW, fickle, "m", tasks=2)
     assert rows(written, "title") == [("fine",)]
     assert rows(t.read(c.FLAGS), "title", "summarized") == [("fine", True), ("fine", True), ("raises", False)]
     assert jobs.run_summaries(t, NOW + timedelta(minutes=15)).count() == 1

@@ -190,10 +190,17 @@ def generated(queue: DataFrame, generator: Generator) -> DataFrame:
 
 
 def summarize(
-    queue: DataFrame, generator: Generator | None = None, as_of: AsOf = None, model: str | None = None
+    queue: DataFrame,
+    generator: Generator | None = None,
+    as_of: AsOf = None,
+    model: str | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rows of the summaries table for a queue with context. Without a generator, the local keyword
-    rules are used, which are plain column expressions."""
+    rules are used, which are plain column expressions. ``tasks`` spreads a short queue over that many
+    tasks, for generators that spend their time waiting."""
+    if tasks:
+        queue = queue.repartition(tasks)
     if generator is None:
         made = queue.withColumn("summary", local_summary()).withColumn("searches_used", F.lit(0).cast("bigint"))
     else:

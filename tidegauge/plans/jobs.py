@@ -45,6 +45,7 @@ def run_summaries(
     cooldown_minutes: int = c.COOLDOWN_MINUTES,
     k: int = c.MAX_PAGES_PER_RUN,
     max_comments: int = c.MAX_COMMENTS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """After detection: summarise the strongest pending pages, then mark their windows done.
 
@@ -57,7 +58,7 @@ def run_summaries(
     find = summaries.comments_for_queue if k <= BROADCAST_PAGES else summaries.comments_in_windows
     said = find(queue, tables.read(c.SILVER))
     asked = summaries.with_context(queue, summaries.comment_context(said, max_comments))
-    tables.append(c.SUMMARIES, summaries.summarize(asked, generator, at, model))
+    tables.append(c.SUMMARIES, summaries.summarize(asked, generator, at, model, tasks))
     written = tables.read(c.SUMMARIES).filter(F.col("generated_at") == F.lit(at))
     if tables.exists(c.FLAGS):
         tables.rewrite(c.FLAGS, summaries.mark_summarized(flags, written))

@@ -106,6 +106,17 @@ class Tables:
         """Publish ``df`` as the next state of an updated table."""
         df.write.mode("errorifexists").parquet(f"{self.root}/{name}/v={self._version(name) + 1}")
 
+    def drop_old(self, name: str, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed states of an updated table (and stale leftovers)."""
+        newest = self._version(name)
+        dropped = []
+        for status in self._fs.globStatus(self._path(f"{self.root}/{name}/v=*")) or []:
+            n = int(status.getPath().getName().split("=")[1])
+            if n <= newest - keep:
+                self._fs.delete(status.getPath(), True)
+                dropped.append(n)
+        return sorted(dropped)
+
     def register_views(self) -> None:
         """Every table as a temp view under its own name, for SQL users."""
         for name in SCHEMAS:
