@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +61,7 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into pieces of about ``most_bytes`` of ``column`` (one row at least)."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         begin, size = 0, 0
         for i, n in enumerate(lengths):
             if i > begin and size + n > most_bytes:
@@ -68,3 +70,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
             size += n
         if begin < len(lengths):
             yield batch.slice(begin)
+
+
+def space_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words between ASCII white space, A-Z in lower case: the distinct ones, the index of every word, the number of
+    words of each text. NULL has no words."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    offsets = np.asarray(lists.offsets)
+    flat = lists.flatten()
+    real = np.asarray(pc.greater(pc.binary_length(flat), 0))
+    counts = np.diff(np.concatenate([[0], np.cumsum(real)])[offsets - offsets[0]])
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False), np.asarray(coded.indices), counts

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import huffman, packing
+from tidegauge.llm import huffman, ngram_join, packing
 from tidegauge.llm.common import table
 from tidegauge.session import scratch_path
 
@@ -36,8 +36,13 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.with_starts(digest, spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pack": op7_pack,
     "op9_token_ids": op9_token_ids,
+    "op10_ngram_join": op10_ngram_join,
 }
 ORACLES: dict[str, str] = {}
