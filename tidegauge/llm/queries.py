@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, huffman, ngram_join, packing
+from tidegauge.llm import decontaminate, huffman, licenses, ngram_join, packing
 from tidegauge.llm.common import table
 from tidegauge.session import scratch_path
 
@@ -28,6 +28,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack_digest(packing.packed_pieces(docs, tokenizer_file("byte_bpe_50k.json")))
@@ -46,6 +50,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_licenses": op2_licenses,
     "op7_pack": op7_pack,
     "op9_token_ids": op9_token_ids,
     "op10_ngram_join": op10_ngram_join,
