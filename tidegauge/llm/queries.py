@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, huffman, licenses, ngram_join, packing
+from tidegauge.llm import decontaminate, huffman, licenses, ngram_join, packing, urls
 from tidegauge.llm.common import table
 from tidegauge.session import scratch_path
 
@@ -37,6 +37,10 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_digest(packing.packed_pieces(docs, tokenizer_file("byte_bpe_50k.json")))
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     huffman.write_ids(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"))
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_licenses": op2_licenses,
     "op7_pack": op7_pack,
+    "op8_urls": op8_urls,
     "op9_token_ids": op9_token_ids,
     "op10_ngram_join": op10_ngram_join,
 }
