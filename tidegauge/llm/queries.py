@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, huffman, licenses, ngram_join, packing, urls
-from tidegauge.llm.common import table
+from tidegauge.llm import decontaminate, huffman, langid, licenses, ngram_join, packing, quality, urls
+from tidegauge.llm.common import fold, table
 from tidegauge.session import scratch_path
 
 
@@ -32,6 +32,21 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    labelled = docs.filter(~held_out)
+    return langid.with_language(docs.select("doc_id", "text"), labelled).select(
+        "doc_id", held_out.alias("held_out"), "language.*"
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT
+    return quality.scored(docs, labels).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pack_digest(packing.packed_pieces(docs, tokenizer_file("byte_bpe_50k.json")))
@@ -55,6 +70,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_licenses": op2_licenses,
+    "op3_language": op3_language,
+    "op6_quality": op6_quality,
     "op7_pack": op7_pack,
     "op8_urls": op8_urls,
     "op9_token_ids": op9_token_ids,
