@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, huffman, langid, licenses, ngram_join, packing, quality, urls
+from tidegauge.llm import decontaminate, huffman, langid, lattice, licenses, ngram_join, packing, quality, urls
 from tidegauge.llm.common import fold, table
 from tidegauge.session import scratch_path
 
@@ -41,6 +41,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_licenses": op2_licenses,
     "op3_language": op3_language,
+    "op4_embeddings": op4_embeddings,
     "op6_quality": op6_quality,
     "op7_pack": op7_pack,
     "op8_urls": op8_urls,
