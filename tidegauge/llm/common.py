@@ -59,17 +59,26 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut into pieces of about ``most_bytes`` of ``column`` (one row at least)."""
+    """The rows of the batches, cut and joined to batches of about ``most_bytes`` of ``column`` (one row at least)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def joined() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.concat_batches(held)
+
     for batch in batches:
-        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
-        begin, size = 0, 0
-        for i, n in enumerate(lengths):
-            if i > begin and size + n > most_bytes:
-                yield batch.slice(begin, i - begin)
-                begin, size = i, 0
+        begin = 0
+        for i, n in enumerate(pc.binary_length(batch.column(column)).fill_null(0).to_pylist()):
+            if size and size + n > most_bytes:
+                if i > begin:
+                    held.append(batch.slice(begin, i - begin))
+                yield joined()
+                held, begin, size = [], i, 0
             size += n
-        if begin < len(lengths):
-            yield batch.slice(begin)
+        if begin < batch.num_rows:
+            held.append(batch.slice(begin))
+    if held:
+        yield joined()
 
 
 def space_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

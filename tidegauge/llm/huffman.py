@@ -85,7 +85,7 @@ class Code:
         self.width = int(bits.max()) if len(bits) else 1
         size = int(ids.max()) + 1 if len(ids) else 1
         codes = canonical_codes(ids, bits)
-        self.code, self.bits = np.zeros(size, np.uint32), np.zeros(size, np.int64)
+        self.code, self.bits = np.zeros(size, np.uint32), np.zeros(size, np.int32)
         self.code[ids], self.bits[ids] = codes, bits
         spans = np.left_shift(1, self.width - bits)
         first = np.left_shift(codes, self.width - bits)
@@ -98,18 +98,19 @@ class Code:
     def encode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the bit stream, and the bit offset of every ``STRIDE``-th id."""
         bits = self.bits[ids]
-        ends = np.cumsum(bits)
+        ends = np.cumsum(bits, dtype=np.int64)
         starts = ends - bits
         total = int(ends[-1]) if len(ends) else 0
         out = np.zeros((total + 7) // 8 + 4, np.uint8)
         if len(ids):
-            word = self.code[ids].astype(np.uint64) << (32 - bits - (starts & 7)).astype(np.uint64)
+            # a code of up to 16 bits touches three bytes; codes that begin in one byte are put together first
+            word = self.code[ids] << (24 - bits - (starts & 7)).astype(np.uint32)
             byte = starts >> 3
             groups = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))
             at = byte[groups]
-            for k in range(4):
-                part = ((word >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.uint8)
-                out[at + k] |= np.bitwise_or.reduceat(part, groups)
+            word = np.bitwise_or.reduceat(word, groups)
+            for k in range(3):
+                out[at + k] |= (word >> np.uint32(16 - 8 * k)).astype(np.uint8)
         return out[: (total + 7) // 8], starts[::STRIDE].astype("<u4")
 
     def decode(self, payloads: list[bytes], checkpoints: list[bytes], n_ids: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, huffman, langid, lattice, licenses, ngram_join, packing, quality, urls
+from tidegauge.llm import decontaminate, hmm, huffman, langid, lattice, licenses, ngram_join, packing, quality, urls
 from tidegauge.llm.common import fold, table
 from tidegauge.session import scratch_path
 
@@ -45,6 +45,14 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 1
+    return hmm.scores(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT
@@ -76,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
     "op3_language": op3_language,
     "op4_embeddings": op4_embeddings,
+    "op5_language_model": op5_language_model,
     "op6_quality": op6_quality,
     "op7_pack": op7_pack,
     "op8_urls": op8_urls,

@@ -23,6 +23,8 @@ from tidegauge.llm.common import slices
 
 #: Distinct pieces remembered at once; beyond it the memory starts afresh.
 REMEMBERED = 700_000
+#: Punctuation that is encoded apart from the word before it; an apostrophe may begin a token with letters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: A blank or line end behind white space (of any kind): there a piece must not begin.
 ODD = r"[\t-\r\x1c-\x20\x{85}\p{Z}][ \n]"
 
@@ -30,8 +32,8 @@ ODD = r"[\t-\r\x1c-\x20\x{85}\p{Z}][ \n]"
 class PieceEncoder:
     """Encode texts with the tokenizer file ``path``.
 
-    ``spaces_vanish`` says that the tokenizer drops white space, so words are the pieces; else white space belongs to
-    the piece that follows it.
+    ``spaces_vanish`` says that the tokenizer drops white space and lower-cases, so words are the pieces; else white
+    space belongs to the piece that follows it.
     """
 
     def __init__(self, path: str, spaces_vanish: bool):
@@ -54,16 +56,42 @@ class PieceEncoder:
         at = np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            missing = list(dict.fromkeys(pieces[i] for i in unknown))
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
-            self.places.update(zip(missing, count(len(self.places))))
-            self.pool = np.concatenate([self.pool, flat])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+            self.learn(list(dict.fromkeys(pieces[i] for i in unknown)))
             at[unknown] = [self.places[pieces[i]] for i in unknown]
         return at
 
+    def learn(self, missing: list[str]) -> None:
+        """Encode new pieces. A letter or digit and the punctuation behind it are never one token, so a word is encoded
+        without its trailing marks, and only once whatever follows it."""
+        whole, joined = [], []
+        for piece in missing:
+            stem = piece.rstrip(MARKS)
+            if len(stem) == len(piece) or not stem or not stem[-1].isalnum() or stem[-1] > "\u024f":
+                whole.append(piece)
+            else:
+                joined.append((piece, stem, piece[len(stem) :]))
+        parts = dict.fromkeys(whole) | dict.fromkeys(x for _, *two in joined for x in two)
+        new = [p for p in parts if p not in self.places]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, got), np.int64, len(got))
+        self.hold(new, np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
+        if joined:
+            two = np.array([(self.places[stem], self.places[tail]) for _, stem, tail in joined])
+            self.hold([piece for piece, *_ in joined], *self.gather(two.ravel(), 2))
+
+    def hold(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.places.update(zip(pieces, count(len(self.places))))
+        self.pool = np.concatenate([self.pool, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+
+    def gather(self, at: np.ndarray, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at the places ``at`` in a row, and how many belong to each ``every`` places."""
+        starts, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
+        after = np.cumsum(lengths)
+        total = int(after[-1]) if len(after) else 0
+        ids = self.pool[np.arange(total) + np.repeat(starts - (after - lengths), lengths)]
+        return ids, lengths.reshape(-1, every).sum(axis=1)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text. NULL counts as empty."""
         if len(self.places) > REMEMBERED:
@@ -71,7 +99,8 @@ class PieceEncoder:
         texts = texts.fill_null("")
         odd = np.zeros(len(texts), bool)
         if self.spaces_vanish:
-            split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            # such a tokenizer also lower-cases; for A-Z that can be done first
+            split = pc.split_pattern(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), " ")
         else:
             odd = np.asarray(pc.match_substring_regex(texts, ODD))
             plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
@@ -90,11 +119,8 @@ class PieceEncoder:
             at[firsts] = self.places_of([words[i] for i in heads])
             if odd.any():
                 at, pieces = self._with_odd(texts, odd, at, pieces)
-        starts, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
-        after = np.cumsum(lengths)
-        total = int(after[-1]) if len(after) else 0
-        ids = self.pool[np.arange(total) + np.repeat(starts - (after - lengths), lengths)]
-        bounds = np.concatenate([[0], after])[np.concatenate([[0], np.cumsum(pieces)])]
+        ids, lengths = self.gather(at)
+        bounds = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(pieces)])]
         return ids, np.diff(bounds)
 
     def _with_odd(self, texts, odd, at, counts) -> tuple[np.ndarray, np.ndarray]:
