@@ -71,6 +71,18 @@ def test_blocks_find_what_stars_miss(spark, tmp_path, monkeypatch):
     assert result(queries.op10_ngram_join(spark, str(tmp_path))) == by_all_pairs(rows)
 
 
+def test_repeated_rows_and_ids(spark, tmp_path):
+    texts = near_copies(8, 12, 80, 3)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    both = rows + rows[:6] + [(3, "quite another text of four")]
+    spark.createDataFrame([*both, (None, texts[0]), (None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {d: top for d, _, top in by_all_pairs(rows)}
+    got = [(r.doc_id, r.component_id, r.n_shingles) for r in queries.op10_ngram_join(spark, str(tmp_path)).collect()]
+    named = sorted((d, c) for d, c, n in got if d is not None and n > 3)
+    assert named == sorted((d, want[d]) for d, t in both if len(grams(t)) > 3)
+    assert (3, 3, 3) in got and (None, want[0], len(grams(texts[0]))) in got and (None, None, 0) in got
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert queries.op10_ngram_join(spark, str(tmp_path)).collect() == []

@@ -16,7 +16,8 @@ The global order of n-grams is that of their 64-bit hashes. It is cut into fragm
 Exact copies are one set (equal 128-bit sums of n-gram hashes and equal counts); the copies get its class.
 
 Rows: NULL or blank text has no n-grams and its own class; fewer words than three are one n-gram; rows that repeat a
-doc_id are judged each by its own text; an empty table gives no rows; further columns are ignored.
+doc_id are judged each by its own text; a row without a doc_id takes part and
+gets the smallest doc_id of its class, or NULL; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ FRAGMENTS = 8
 #: Bounds of one side of a block in step 3.
 BLOCK_NGRAMS, BLOCK_SETS = 400_000, 1_000
 
-SETS = "doc_id long, n_shingles long, sig_a long, sig_b long, keys array<long>"
-PARTS = "doc_id long, n long, fragment int, grams array<long>"
+SETS = "doc_id long, text_hash long, n_shingles long, sig_a long, sig_b long, keys array<long>"
+PARTS = "node long, n long, fragment int, grams array<long>"
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -138,17 +139,18 @@ def set_keys(docs: DataFrame) -> DataFrame:
                 b.append(mixed(grams, 2).sum(dtype=np.uint64))
                 keys.append(candidate_keys(grams))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(signed(np.array(a, np.uint64))),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(signed(np.array(a, np.uint64))),
                  pa.array(signed(np.array(b, np.uint64))), lists(keys)],
-                ["doc_id", "n_shingles", "sig_a", "sig_b", "keys"],
+                ["doc_id", "text_hash", "n_shingles", "sig_a", "sig_b", "keys"],
             )
 
     small_batches(docs.sparkSession, 2048)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(build, SETS)
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(build, SETS)
 
 
 def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
-    """The n-grams of each document by fragment of their order."""
+    """The n-grams of each row of ``docs`` (node, text) by fragment of their order."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             row, n, part, grams = [], [], [], []
@@ -161,19 +163,19 @@ def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
                     part.append(f)
                     grams.append(g[ends[f] : ends[f + 1]])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(n, pa.int64()),
+                [batch.column("node").take(pa.array(row, pa.int64())), pa.array(n, pa.int64()),
                  pa.array(part, pa.int32()), lists(grams)],
-                ["doc_id", "n", "fragment", "grams"],
+                ["node", "n", "fragment", "grams"],
             )
 
     small_batches(docs.sparkSession, 2048)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(build, PARTS)
+    return docs.select("node", "text").mapInArrow(build, PARTS)
 
 
 def linked_pairs(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that are linked: partial overlaps per fragment, summed per pair."""
-    left = parts.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("grams").alias("g_a"))
-    right = parts.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("grams").alias("g_b"))
+    left = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("grams").alias("g_a"))
+    right = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("grams").alias("g_b"))
     partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("g_a", "g_b")).alias("common")
     )
@@ -183,24 +185,24 @@ def linked_pairs(pairs: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def block_links(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect what is linked within each group of ``members`` (doc_id, cluster, component).
+    """Edges (a, b) that connect what is linked within each group of ``members`` (node, cluster, component).
 
     A group is cut into chunks of bounded size; a task compares two chunks. Fragment by fragment it counts the common
     n-grams of all its pairs as a matrix product and sums the counts; pairs of one known component are of no use, so a
     block of one component is left out.
     """
-    sizes = parts.select("doc_id", "n").distinct()
-    sized = members.join(sizes, "doc_id")
+    sizes = parts.select("node", "n").distinct()
+    sized = members.join(sizes, "node")
     chunks = sized.groupBy("cluster").agg(
         F.greatest(F.ceil(F.sum("n") / BLOCK_NGRAMS), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("chunks")
     )
-    dealt = sized.join(chunks, "cluster").withColumn("own", F.pmod(F.xxhash64("doc_id"), "chunks").cast("int"))
+    dealt = sized.join(chunks, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     blocks = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "component"
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component"
     )
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        docs, row = np.unique(pdf["doc_id"].to_numpy(), return_inverse=True)
+        docs, row = np.unique(pdf["node"].to_numpy(), return_inverse=True)
         first = np.zeros(len(docs), np.int64)
         first[row[::-1]] = np.arange(len(pdf))[::-1]
         n = pdf["n"].to_numpy()[first]
@@ -218,56 +220,61 @@ def block_links(members: DataFrame, parts: DataFrame) -> DataFrame:
                     held = np.zeros((len(docs), 4096), np.float32)
                     held[owner[inside], token[inside] - low] = 1
                     common += held @ held.T
-        union = n[:, None] + n[None, :] - common
-        linked = 100 * common.astype(np.float64) >= PERCENT * union.astype(np.float64)
-        np.fill_diagonal(linked, True)
         label, last = docs.copy(), None
         while last is None or (label != last).any():
-            last = label
-            label = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
+            last = label.copy()
+            for low in range(0, len(docs), 256):
+                rows = slice(low, low + 256)
+                union = n[rows, None] + n[None, :] - common[rows].astype(np.int64)
+                linked = 100 * common[rows].astype(np.int64) >= PERCENT * union
+                seen = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
+                label[rows] = np.minimum(label[rows], seen)
         tied = label != docs
         return pd.DataFrame({"a": docs[tied], "b": label[tied]})
 
-    return blocks.join(parts, "doc_id").groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long")
+    return blocks.join(parts, "node").groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def ngram_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
-    sets = materialize(set_keys(docs), "gram-sets")
+    """(doc_id, text_hash, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
+
+    A node is a distinct set of n-grams, whatever rows have it."""
+    node = F.when(F.col("n_shingles") > 0, F.xxhash64("sig_a", "sig_b", "n_shingles"))
+    sets = materialize(set_keys(docs).withColumn("node", node).drop("sig_a", "sig_b"), "gram-sets")
     real = sets.filter("n_shingles > 0")
-    classes = materialize(
-        real.groupBy("sig_a", "sig_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "gram-classes"
-    )
-    keys = real.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("a"), F.explode("keys").alias("key")
-    )
+    firsts = materialize(real.select("node", "doc_id", "text_hash", "keys").dropDuplicates(["node"]), "gram-nodes")
+    keys = firsts.select(F.col("node").alias("a"), F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("last")).filter("b < last")
     pairs = materialize(keys.join(shared.select("key", "b"), "key").filter("a <> b").select("a", "b").distinct(), "pairs")
-    if pairs.isEmpty():
-        found = None
-    else:
-        found = candidate_links(docs, pairs)
-    slim = sets.select("doc_id", "n_shingles", "sig_a", "sig_b")
-    out = slim.join(classes, ["sig_a", "sig_b", "n_shingles"], "left")
-    if found is None:
-        return out.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("component_id"))
-    return out.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")
+    tops = real.groupBy("node").agg(F.min("doc_id").alias("top"))
+    if not pairs.isEmpty():
+        found = candidate_links(docs, firsts.drop("keys"), pairs)
+        joined = tops.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        least = joined.groupBy("component").agg(F.min("top").alias("least"))
+        tops = joined.join(least, "component").select("node", F.col("least").alias("top"))
+    return sets.select("doc_id", "text_hash", "n_shingles", "node").join(tops, "node", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("top", "doc_id").alias("component_id")
     )
 
 
-def candidate_links(docs: DataFrame, pairs: DataFrame) -> DataFrame | None:
-    """(node, component) over the documents of candidate ``pairs`` that are linked with another one."""
-    members = materialize(pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct(), "members")
-    parts = materialize(gram_parts(docs.join(members, "doc_id", "left_semi")), "gram-parts")
-    links = materialize(linked_pairs(pairs, parts), "links")
-    known = connected_components(links)
-    clusters = connected_components(pairs)
+def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of candidate ``pairs`` that are linked with another one.
+
+    ``firsts`` (node, doc_id, text_hash) names a row of ``docs`` for each node."""
+    members = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    source = firsts.join(members, "node", "left_semi").select(
+        "node", F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), F.col("text_hash").alias("h")
+    )
+    rows = docs.select(
+        "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"),
+        F.xxhash64("text").alias("h"),
+    ).join(source, ["d", "none", "h"])
+    # a row that stands in the table twice gives its n-grams once
+    parts = materialize(gram_parts(rows).dropDuplicates(["node", "fragment"]), "gram-parts")
+    known = connected_components(materialize(linked_pairs(pairs, parts), "links"))
     state = materialize(
-        clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
-        .join(known.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "cluster", F.coalesce("component", "doc_id").alias("component")),
+        connected_components(pairs).withColumnRenamed("component", "cluster").join(known, "node", "left")
+        .select("node", "cluster", F.coalesce("component", "node").alias("component")),
         "clusters",
     )
     open_clusters = state.groupBy("cluster").agg(
@@ -278,5 +285,18 @@ def candidate_links(docs: DataFrame, pairs: DataFrame) -> DataFrame | None:
     )
     if more.isEmpty():
         return known
-    held = state.filter("component <> doc_id").select(F.col("doc_id").alias("a"), F.col("component").alias("b"))
+    held = state.filter("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return connected_components(held.unionByName(more))
+
+
+def one_of_each_class(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class the row of its smallest doc_id (then hash of text)."""
+    classes = materialize(ngram_classes(docs).select("doc_id", "text_hash", "component_id"), "classes")
+    named = lambda d, h: F.struct(F.coalesce(d, F.lit(0)).alias("d"), d.isNull().alias("none"), h.alias("h"))
+    alone = F.when(F.col("component_id").isNull(), F.col("text_hash"))
+    first = classes.groupBy("component_id", alone.alias("alone")).agg(
+        F.min(named(F.col("doc_id"), F.col("text_hash"))).alias("kept")
+    ).select("kept")
+    out = docs.withColumn("kept", named(F.col("doc_id").cast("long"), F.xxhash64("text"))).join(first, "kept", "left_semi")
+    repeated = classes.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    return (out if repeated.isEmpty() else out.dropDuplicates(["kept"])).drop("kept")

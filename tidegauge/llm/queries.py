@@ -76,7 +76,7 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_classes(table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_classes(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
