@@ -12,6 +12,8 @@ empty tables give no hits or no rows; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,56 +100,72 @@ def item_digest(items: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(items.cast("array<string>")), ",").cast("binary"), 256)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, near: bool = False) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_words, n_hit, n_items, items_sha256, contaminated).
-
-    With ``near`` also n_near_items, the items with a proximity match: the rarest terms of a window stand within
-    ``SLACK`` words of their places in it."""
+def judged_rows(
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, carry: Sequence[str] = ("doc_id",)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row of ``docs`` judged: its ``carry`` columns, key, text_hash, n_words, n_hit, phrase_ids, contaminated; with
+    the matches (key, phrase_id, ...) and the owners (phrase_id, item_id) of the phrases."""
     windows = materialize(windows_of(benchmark, size).withColumn("phrase_id", F.xxhash64("phrase")), "windows")
     phrases = windows.select("phrase_id", "phrase", "n").distinct()
     terms = phrase_terms(phrases).withColumn("term_id", F.xxhash64("term"))
-    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("key"))
-    index = build_index(docs.select(F.col("key").alias("doc_id"), "text"), terms.select("term_id", "term").distinct())
+    rows = docs.select(*carry, F.col("text").alias("_text"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_key"))
+    index = build_index(
+        rows.select(F.col("_key").alias("doc_id"), F.col("_text").alias("text")), terms.select("term_id", "term").distinct()
+    )
     counts = index.groupBy("term_id").agg(F.count("*").alias("df"))
     anchors = materialize(anchors_of(terms.select("phrase_id", "place", "term_id"), counts), "anchors")
-    found = materialize(matches(index, anchors), "matches")
-
-    owners = windows.select("phrase_id", "item_id").distinct()
-    per_doc = found.filter("exact").join(phrases, "phrase_id").groupBy("doc_id").agg(
-        F.collect_list(F.struct("start", "n", "phrase", "phrase_id")).alias("candidates")
+    found = materialize(matches(index, anchors), "matches").withColumnRenamed("doc_id", "_key")
+    per_doc = found.filter("exact").join(phrases, "phrase_id").groupBy("_key").agg(
+        F.collect_list(F.struct("start", "n", "phrase", "phrase_id")).alias("_candidates")
     )
-    words = F.col("words")
+    words = F.col("_words")
     # a negative start is a phrase that would begin before the text
     fits = lambda c: (c["start"] >= 0) & (
         F.array_join(F.slice(words, c["start"] + 1, c["n"]), " ") == c["phrase"]
     )
-    places = F.flatten(F.transform("hits", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1)))
+    places = F.flatten(F.transform("_hits", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1)))
     judged = materialize(
-        docs.join(per_doc.withColumnRenamed("doc_id", "key"), "key", "left")
-        .select("key", "doc_id", F.xxhash64("text").alias("text_hash"), alnum_words(F.col("text")).alias("words"),
-                "candidates")
-        .withColumn("hits", F.filter(F.coalesce("candidates", F.array()), fits))
+        rows.join(per_doc, "_key", "left")
+        .select(*carry, "_key", F.xxhash64("_text").alias("_hash"), alnum_words(F.col("_text")).alias("_words"), "_candidates")
+        .withColumn("_hits", F.filter(F.coalesce("_candidates", F.array()), fits))
         .select(
-            "key", "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"),
-            F.size(F.array_distinct(places)).cast("long").alias("n_hit"),
-            F.array_distinct(F.transform("hits", lambda c: c["phrase_id"])).alias("phrase_ids"),
+            *carry, "_key", "_hash", F.size("_words").cast("long").alias("_n_words"),
+            F.size(F.array_distinct(places)).cast("long").alias("_n_hit"),
+            F.array_distinct(F.transform("_hits", lambda c: c["phrase_id"])).alias("_phrase_ids"),
         ),
         "judged",
     )
+    bad = (F.col("_n_hit") > 0) & (20 * F.col("_n_hit") >= F.col("_n_words"))
+    return judged.withColumn("_contaminated", bad), found, windows.select("phrase_id", "item_id").distinct()
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, as they are."""
+    judged, _, _ = judged_rows(docs, benchmark, carry=docs.columns)
+    return judged.filter(~F.col("_contaminated")).select(*docs.columns)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, near: bool = False) -> DataFrame:
+    """One row per row of ``docs``: (doc_id, n_words, n_hit, n_items, items_sha256, contaminated).
+
+    With ``near`` also n_near_items, the items with a proximity match: the rarest terms of a window stand within
+    ``SLACK`` words of their places in it."""
+    judged, found, owners = judged_rows(docs, benchmark, size)
     hit_items = (
-        judged.filter("n_hit > 0").select("key", "text_hash", F.explode("phrase_ids").alias("phrase_id"))
-        .join(owners, "phrase_id").groupBy("key", "text_hash").agg(F.collect_set("item_id").alias("items"))
-        .select("key", "text_hash", F.size("items").cast("long").alias("n_items"),
+        judged.filter("_n_hit > 0").select("_key", "_hash", F.explode("_phrase_ids").alias("phrase_id"))
+        .join(owners, "phrase_id").groupBy("_key", "_hash").agg(F.collect_set("item_id").alias("items"))
+        .select("_key", "_hash", F.size("items").cast("long").alias("n_items"),
                 item_digest(F.col("items")).alias("items_sha256"))
     )
-    out = judged.join(hit_items, ["key", "text_hash"], "left").select(
-        "key", "doc_id", "n_words", "n_hit", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+    out = judged.join(hit_items, ["_key", "_hash"], "left").select(
+        "_key", "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        F.col("_contaminated").alias("contaminated"),
     )
     if not near:
-        return out.drop("key")
-    close = found.select(F.col("doc_id").alias("key"), "phrase_id").distinct().join(owners, "phrase_id").groupBy(
-        "key"
-    ).agg(F.count_distinct("item_id").alias("n_near_items"))
-    return out.join(close, "key", "left").drop("key").fillna(0, ["n_near_items"])
+        return out.drop("_key")
+    close = found.select("_key", "phrase_id").distinct().join(owners, "phrase_id").groupBy("_key").agg(
+        F.count_distinct("item_id").alias("n_near_items")
+    )
+    return out.join(close, "_key", "left").drop("_key").fillna(0, ["n_near_items"])
