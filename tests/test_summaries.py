@@ -98,7 +98,7 @@ def asked(spark, *titles):
 def test_default_summary_and_id(spark):
     df = s.summarize(asked(spark, "a", "b"), as_of=NOW)
     got = {r["title"]: r for r in df.collect()}
-    assert "vandalism and reverts" in got["a"]["summary"] and "breaking news" in got["b"]["summary"]
+    assert "vandalism and reverts" in got["a"]["summary"] and "unclear" in got["b"]["summary"]
     assert got["a"]["id"] == hashlib.md5(b"a|2024-01-01 10:00:00").hexdigest()
     assert df.dtypes == spark.createDataFrame([], c.SUMMARIES_DDL).dtypes
 
@@ -140,13 +140,17 @@ def test_summary_job_marks_only_what_it_wrote(spark, tmp_path):
     t.append(c.FLAGS, flags(spark, flag("raises"), flag("fine"), flag("fine", 3.5, W + timedelta(minutes=5))))
     written = jobs.run_summaries(t, NOW, fickle, "m", tasks=2)
     assert rows(written, "title") == [("fine",)]
-    assert rows(t.read(c.FLAGS), "title", "summarized") == [("fine", True), ("fine", True), ("raises", False)]
-    assert jobs.run_summaries(t, NOW + timedelta(minutes=15)).count() == 1
-    assert t.read(c.FLAGS).filter("not summarized").count() == 0
-    assert t.read(c.SUMMARIES).count() == 2
+    assert rows(jobs.flag_state(t), "title", "summarized") == [("fine", True), ("fine", True), ("raises", False)]
+    t.append(c.FLAGS, flags(spark, flag("later")).withColumn("detected_at", F.lit(NOW + timedelta(minutes=14))))
+    assert jobs.run_summaries(t, NOW + timedelta(minutes=15)).count() == 2
+    assert jobs.flag_state(t).filter("not summarized").count() == 0 and t.read(c.FLAGS).count() == 4
+    before = sorted(p.name for p in (tmp_path / "lake").rglob("*.parquet"))
+    assert jobs.run_summaries(t, NOW + timedelta(minutes=30)).count() == 0
+    assert sorted(p.name for p in (tmp_path / "lake").rglob("*.parquet")) == before  # nothing pending: nothing written
+    assert t.read(c.SUMMARIES).count() == 3
     jobs.run_index_sync(t)
     jobs.run_index_sync(t)
-    assert t.read(c.INDEX).count() == 2
+    assert t.read(c.INDEX).count() == 3
     jobs.backfill_ids(t)
     assert t.read(c.SUMMARIES).filter("id is null").count() == 0
 

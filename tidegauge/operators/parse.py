@@ -38,12 +38,14 @@ FLAT_FIELDS = """
     log_params           -
     log_action_comment   log_action_comment
 """
+#: Seconds since 1970 of the first and last second that a timestamp may have.
+YEARS = (-62_135_596_800, 253_402_300_799)
 LINEAGE = ("ingest_timestamp", "ingest_date", "source_file")
 
 
 def byte_delta(old: Column, new: Column) -> Column:
-    """Size change of a page; NULL when either side is unknown, as for new pages."""
-    return new - old
+    """Size change of a page; NULL when either side is unknown, as for new pages, or when it is out of range."""
+    return F.try_subtract(new, old)
 
 
 def capture(lines: DataFrame, ingest_timestamp: Column | None = None) -> DataFrame:
@@ -96,7 +98,8 @@ def parse_events(bronze: DataFrame, raw: str = "raw_json") -> DataFrame:
     doc = bronze.select(raw, *lineage, F.inline(F.array(document)))
     has_params = F.col("log_params").isNotNull() | F.col("meta.id").isNull()
     special = {
-        "event_timestamp": F.col("timestamp").cast("timestamp"),
+        # seconds outside the years 1 to 9999 are no time; later arithmetic on them would overflow
+        "event_timestamp": F.when(F.col("timestamp").between(*YEARS), F.col("timestamp").cast("timestamp")),
         "byte_delta": byte_delta(F.col("length.old"), F.col("length.new")),
         "log_params": F.when(has_params, F.get_json_object(raw, "$.log_params")),
     }

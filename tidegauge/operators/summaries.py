@@ -24,6 +24,8 @@ ACTIVITY_WORDS = {
     "routine maintenance": r"(?i)\b(typo\w*|cleanup|format\w*|categor\w*|link\w*|template\w*)\b",
 }
 DEFAULT_ACTIVITY = "a real-world event or breaking news"
+#: Without comments nothing is known of the cause.
+UNCLEAR_ACTIVITY = "unclear, as no comments were left"
 LOCAL_MODEL = "keyword-rules"
 
 SUMMARY_COLUMNS = (
@@ -84,13 +86,15 @@ def comments_in_windows(flags: DataFrame, silver: DataFrame, bucket_seconds: int
     return spans.alias("f").join(said.alias("s"), met).select(*MATCHED)
 
 
-def comments_for_queue(queue: DataFrame, silver: DataFrame, slack_days: int | None = None) -> DataFrame:
-    """As :func:`comments_in_windows` for a queue, whose length is bounded by its ``k``: the queue is
-    broadcast, silver is read once and not shuffled, and the scan starts at the earliest window."""
+def comments_for_queue(
+    queue: DataFrame, silver: DataFrame, slack_days: int | None = None, bucket_seconds: int = 300
+) -> DataFrame:
+    """As :func:`comments_in_windows`, with the scan of silver bounded below by the earliest window of the queue.
+
+    The join is the same for a queue of any length; whether a short one is broadcast is Spark's choice by its size."""
     earliest = queue.agg(F.min("window_start")).scalar()
-    said = _remarks(ingested_after(silver, earliest, slack_days)).filter(F.col("event_timestamp") >= earliest)
-    few = F.broadcast(queue.select(*FLAG, "window_end"))
-    return said.alias("s").join(few.alias("f"), F.expr(INSIDE)).select(*MATCHED)
+    recent = ingested_after(silver, earliest, slack_days).filter(F.col("event_timestamp") >= earliest)
+    return comments_in_windows(queue, recent, bucket_seconds)
 
 
 def first_comments(comments: DataFrame, n: int = MAX_COMMENTS) -> DataFrame:
@@ -136,7 +140,7 @@ def activity_class(text: Column) -> Column:
     found = F.lit(DEFAULT_ACTIVITY)
     for name, pattern in reversed(ACTIVITY_WORDS.items()):
         found = F.when(text.rlike(pattern), name).otherwise(found)
-    return found
+    return F.when(text == NO_COMMENTS, UNCLEAR_ACTIVITY).otherwise(found)
 
 
 def local_summary() -> Column:
@@ -231,3 +235,11 @@ def mark_summarized(flags: DataFrame, done: DataFrame) -> DataFrame:
     return flags.join(titles, "title", "left").withColumn(
         "summarized", F.col("summarized") | F.coalesce("is_done", F.lit(False))
     ).drop("is_done").select(*flags.columns)
+
+
+def with_state(flags: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Flags with ``summarized`` as the stored summaries tell it: a flag is done once its title was summarised at or
+    after its detection. Both tables are only appended to, so no flag is ever rewritten or lost."""
+    latest = summaries.groupBy("title").agg(F.max("generated_at").alias("last_summary"))
+    done = F.coalesce(F.col("last_summary") >= F.col("detected_at"), F.lit(False))
+    return flags.join(latest, "title", "left").withColumn("summarized", F.col("summarized") | done).select(*flags.columns)

@@ -39,7 +39,8 @@ def embed(df: DataFrame, text: str = "summary", dimensions: int = DIMENSIONS) ->
 def latest_per_id(summaries: DataFrame) -> DataFrame:
     """One row per id, the last generated; combined before the shuffle."""
     rest = [c for c in summaries.columns if c != "id"]
-    newest = F.max_by(F.struct(*rest), F.col("generated_at")).alias("row")
+    at = F.coalesce("generated_at", F.lit("0001-01-01").cast("timestamp"))  # an undated row is older than any other
+    newest = F.max_by(F.struct(*rest), at).alias("row")
     return summaries.groupBy("id").agg(newest).select("id", "row.*")
 
 

@@ -9,12 +9,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.model import contracts as c
 from tidegauge.operators import anomaly, baseline, summaries, vector_index
+from tidegauge.session import scratch_path
 from tidegauge.sources.tables import Tables
-from tidegauge.streaming.flows import expectation_metrics
-
-
-# The queue has at most k rows of a few hundred bytes; up to this many it is broadcast.
-BROADCAST_PAGES = 10_000
 
 
 def _clock(as_of: datetime | None) -> datetime:
@@ -47,24 +43,29 @@ def run_summaries(
     max_comments: int = c.MAX_COMMENTS,
     tasks: int | None = None,
 ) -> DataFrame:
-    """After detection: summarise the strongest pending pages, then mark their windows done.
-
-    The summaries are written before anything is marked and the marking reads them back, so a
-    generator is called once per page and a failure in between leaves the pages pending.
+    """After detection: summarise the strongest pending pages. What is pending follows from the stored summaries
+    (:func:`flag_state`), so flags are never rewritten, a failure leaves pages pending, and a run with nothing
+    pending writes nothing. The queue is stored first, so it is worked out once.
     """
     at = _clock(as_of)
-    flags = tables.read(c.FLAGS)
-    queue = summaries.pending_queue(flags, tables.read(c.SUMMARIES), at, cooldown_minutes, k)
-    find = summaries.comments_for_queue if k <= BROADCAST_PAGES else summaries.comments_in_windows
-    said = find(queue, tables.read(c.SILVER))
-    asked = summaries.with_context(queue, summaries.comment_context(said, max_comments))
-    tables.append(c.SUMMARIES, summaries.summarize(asked, generator, at, model, tasks))
+    known = tables.read(c.SUMMARIES)
+    pending = summaries.pending_queue(flag_state(tables), known, at, cooldown_minutes, k)
+    path = scratch_path(tables.spark, "queue")
+    pending.write.parquet(path)
+    queue = tables.spark.read.schema(pending.schema).parquet(path)
+    if not queue.isEmpty():
+        said = summaries.comments_for_queue(queue, tables.read(c.SILVER))
+        asked = summaries.with_context(queue, summaries.comment_context(said, max_comments))
+        tables.append(c.SUMMARIES, summaries.summarize(asked, generator, at, model, tasks))
     written = tables.read(c.SUMMARIES).filter(F.col("generated_at") == F.lit(at))
-    if tables.exists(c.FLAGS):
-        tables.rewrite(c.FLAGS, summaries.mark_summarized(flags, written))
     return written.orderBy(F.desc("z_score"), "title")
 
 
+def flag_state(tables: Tables) -> DataFrame:
+    """All flags with their present state; for dashboards and alerts too."""
+    return summaries.with_state(tables.read(c.FLAGS), tables.read(c.SUMMARIES))
+
+
 def backfill_ids(tables: Tables) -> None:
     """Give older summaries the key the index needs."""
     tables.rewrite(c.SUMMARIES, summaries.with_summary_id(tables.read(c.SUMMARIES)))
@@ -74,8 +75,3 @@ def run_index_sync(tables: Tables) -> None:
     """Embed and append the summaries the index does not hold yet."""
     known = tables.read(c.INDEX) if tables.exists(c.INDEX) else None
     tables.append(c.INDEX, vector_index.index_additions(tables.read(c.SUMMARIES), known))
-
-
-def store_expectations(tables: Tables, query, flow: str = c.SILVER) -> None:
-    """Keep the expectation outcomes of a finished or running silver query."""
-    tables.append(c.METRICS, expectation_metrics(tables.spark, query, flow))

@@ -161,7 +161,7 @@ def largest_edits(
     span = f"{hours} HOURS"
     recent = since(ingested_after(silver, ago(as_of, span), slack_days), "event_timestamp", as_of, span)
     recent = recent.filter(F.col("byte_delta").isNotNull())
-    return recent.orderBy(F.abs("byte_delta").desc(), "event_timestamp", "event_id").limit(n).select(
+    return recent.orderBy(F.abs(F.col("byte_delta").cast("bigint")).desc(), "event_timestamp", "event_id").limit(n).select(
         "title", "user", "event_timestamp", "byte_delta", F.substring("comment", 1, 120).alias("comment_preview")
     )
 

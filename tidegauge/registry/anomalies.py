@@ -229,7 +229,8 @@ def _(m):
 @query("c5_summarize", "WITH" + asked_sql("flags") + """
     SELECT title, window_start, z_score, edit_count, title || ' drew ' || edit_count || ' edits by '
            || unique_editors || ' editors against a usual ' || baseline_mean || ' (z-score ' || z_score
-           || '), most likely a real-world event or breaking news.' AS summary, CAST(0 AS BIGINT) AS searches_used,
+           || '), most likely ' || CASE WHEN context = '(no edit summaries were provided for these edits)'
+              THEN 'unclear, as no comments were left' ELSE 'a real-world event or breaking news' END || '.' AS summary, CAST(0 AS BIGINT) AS searches_used,
            'keyword-rules' AS model_used, (SELECT t FROM clock) AS generated_at,
            md5(title || '|' || CAST(window_start AS VARCHAR)) AS id
     FROM asked""")

@@ -487,3 +487,22 @@ def _(m):
 @query("s22_by_title", "SELECT event_id, title, comment, byte_delta FROM silver WHERE title = 'page-7'")
 def _(m):
     return by_title(m.silver, "page-7").select("event_id", "title", "comment", "byte_delta")
+
+
+@query("p7_poison_lines", """
+    WITH lines AS (SELECT p.*, mw_id % 10 AS d FROM parsed p)
+    SELECT CASE WHEN d IN (0, 2) THEN 'parse_failure' WHEN bot THEN 'bot' WHEN wiki <> 'enwiki' THEN 'non_enwiki'
+                WHEN event_type NOT IN ('edit', 'new') THEN 'non_edit_type' WHEN namespace <> 0 THEN 'non_article_namespace'
+                ELSE 'accepted' END AS outcome,
+           count(*) AS n, count(*) FILTER (WHERE d NOT IN (0, 1, 2) AND byte_delta IS NOT NULL) AS with_size
+    FROM lines GROUP BY 1""")
+def _(m):
+    """One line in ten is cut off, one has sizes whose difference leaves the type, one is NULL: all end somewhere."""
+    d = F.substring("event_id", 4, 20).cast("bigint") % 10
+    sizes = F.regexp_replace("raw_json", '"length":\\{[^}]*\\}', '"length":{"old":-2147483648,"new":2147483647}')
+    line = F.when(d == 0, F.substring("raw_json", 1, 40)).when(d == 1, sizes).when(d == 2, None).otherwise(F.col("raw_json"))
+    parsed = parse_events(m.bronze.withColumn("raw_json", line))
+    sized = F.count(F.when(F.col("byte_delta").isNotNull(), 1)).alias("with_size")
+    kept = quality.accepted(parsed).select(F.lit("accepted").alias("outcome"), "byte_delta")
+    lost = quality.rejected(parsed).select(F.col("quarantine_reason").alias("outcome"), "byte_delta")
+    return kept.unionByName(lost).groupBy("outcome").agg(F.count("*").alias("n"), sized)

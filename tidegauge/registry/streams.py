@@ -8,11 +8,12 @@ from tidegauge.model import contracts as c
 from tidegauge.operators import quality
 from tidegauge.operators.windows import page_metrics, sliding_page_metrics
 from tidegauge.plans.served import stacked
+from tidegauge.registry.content import TEST_EXPECTATIONS
 from tidegauge.registry.core import Model, derive, query
 from tidegauge.session import scratch_path
 from tidegauge.sources.landing import bronze_batch, bronze_stream, land_lines
 from tidegauge.sources.tables import Tables
-from tidegauge.streaming.flows import Medallion, deduplicated, start
+from tidegauge.streaming.flows import BatchMetrics, Medallion, deduplicated, late_rows, start
 
 
 def stream_of(m: Model, name: str):
@@ -42,17 +43,11 @@ def run(m: Model, df, label: str):
     return m.spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
-LANDED: dict[tuple[str, str], str] = {}
-
-
 def landed(m: Model) -> str:
-    """The events as landed lines, written once per application and given table set."""
-    key = (m.spark.sparkContext.applicationId, m.sf_dir)
-    if key not in LANDED:
-        path = scratch_path(m.spark, "landing")
-        land_lines(m.bronze, path, F.col("ingest_timestamp"))
-        LANDED[key] = path
-    return LANDED[key]
+    """The events as landed lines."""
+    path = scratch_path(m.spark, "landing")
+    land_lines(m.bronze, path, F.col("ingest_timestamp"))
+    return path
 
 
 @query("s1_bronze_batch", "SELECT event_id, raw_json FROM bronze")
@@ -85,6 +80,53 @@ def _(m):
     return run(m, deduplicated(twice, spread="minor"), "dedupe").select("event_id", "title")
 
 
+@query("t2_dedupe_keyed_time", "SELECT event_id, title FROM silver")
+def _(m):
+    """Copies are known by id and event time, and forgotten behind the watermark."""
+    twice = silver_stream(m).union(silver_stream(m))
+    return run(m, deduplicated(twice, "keyed_time"), "dedupe").select("event_id", "title")
+
+
+@query("t5_late_rows", """
+    SELECT 'late' AS flow, count(*) AS late FROM silver WHERE event_timestamp < TIMESTAMP '2024-01-16'""")
+def _(m):
+    """Two micro-batches: the second half of the history first, then the first half, all of it behind the watermark."""
+    base, middle = scratch_path(m.spark, "late"), F.lit("2024-01-16").cast("timestamp")
+    zoned = m.silver.select("event_id", F.col("event_timestamp").cast("timestamp").alias("event_timestamp"))
+    tables = Tables(m.spark, f"{base}/lake")
+    metrics = BatchMetrics(tables)
+    m.spark.streams.addListener(metrics)
+    try:
+        for part in (F.col("event_timestamp") >= middle, F.col("event_timestamp") < middle):
+            zoned.filter(part).write.mode("append").parquet(f"{base}/in")
+            rows = m.spark.readStream.schema(zoned.schema).parquet(f"{base}/in")
+            q = start(deduplicated(rows, "bounded"), f"{base}/out", f"{base}/checkpoint", name=metrics.name_for("late"))
+            q.awaitTermination()
+            metrics.wait(q)
+    finally:
+        m.spark.streams.removeListener(metrics)
+    return late_rows(tables.read(c.METRICS))
+
+
+@query("q7_expectation_failures", """
+    SELECT 'comment_not_null' AS expectation, 'drop' AS kind, count(*) FILTER (WHERE comment IS NOT NULL) AS passed,
+           count(*) FILTER (WHERE comment IS NULL) AS failed FROM silver
+    UNION ALL SELECT 'title_not_null', 'drop', count(*), 0 FROM silver
+    UNION ALL SELECT 'byte_delta_small', 'warn',
+           count(*) FILTER (WHERE byte_delta IS NULL OR byte_delta BETWEEN -40 AND 40),
+           count(*) FILTER (WHERE byte_delta NOT BETWEEN -40 AND 40) FROM silver""")
+def _(m):
+    """Landing to silver in several micro-batches; the outcomes come from the stored metrics."""
+    tables = Tables(m.spark, scratch_path(m.spark, "lake"))
+    flow = Medallion(tables, landed(m), expectations=TEST_EXPECTATIONS)
+    try:
+        flow.catch_up()
+    finally:
+        flow.close()
+    stored = tables.read(c.METRICS).filter("flow = 'silver_recentchange_enwiki' AND kind <> 'late'")
+    return stored.groupBy("expectation", "kind").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 @query("t3_closed_windows", """
     SELECT window_start, window_end, window_date, title, namespace, edit_count, total_byte_delta, avg_byte_delta,
            max_byte_delta, minor_edit_count
@@ -115,7 +157,9 @@ def _(m):
 def _(m):
     """Landing to gold through all four streaming tables."""
     tables = Tables(m.spark, scratch_path(m.spark, "lake"))
-    Medallion(tables, landed(m)).catch_up()
+    flow = Medallion(tables, landed(m))
+    flow.catch_up()
+    flow.close()
     layers = {
         "bronze": (c.BRONZE, F.lit(0)), "silver": (c.SILVER, F.sum("byte_delta")),
         "quarantine": (c.QUARANTINE, F.sum("byte_delta")), "gold": (c.GOLD_5MIN, F.sum("total_byte_delta")),

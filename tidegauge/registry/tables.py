@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegauge.model import contracts as c
-from tidegauge.operators import anomaly, summaries
+from tidegauge.operators import anomaly
+from tidegauge.plans import jobs
 from tidegauge.registry.core import query
 from tidegauge.session import scratch_path
 from tidegauge.sources.landing import land_lines
@@ -53,10 +54,11 @@ def _(m):
     SELECT title, namespace, window_start, title IN (SELECT title FROM done) AS summarized FROM flags""")
 def _(m):
     tables = Tables(m.spark, scratch_path(m.spark, "update"))
+    """Summaries of the strongest titles are appended; the state of the flags follows."""
     tables.append(c.FLAGS, m.flags)
-    stored = tables.read(c.FLAGS)
-    tables.rewrite(c.FLAGS, summaries.mark_summarized(stored, stored.filter("z_score >= 4")))
-    return tables.read(c.FLAGS).select("title", "namespace", "window_start", "summarized")
+    later = m.flags.agg(F.max("detected_at")).scalar()
+    tables.append(c.SUMMARIES, m.summaries.filter("z_score >= 4").withColumn("generated_at", later))
+    return jobs.flag_state(tables).select("title", "namespace", "window_start", "summarized")
 
 
 @query("s18_view_sql", """

@@ -35,7 +35,8 @@ def build_session(app: str = "tidegauge", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) is a temporary folder made and set.
+    Only in local mode (tests, a laptop) is a temporary folder made where none is named; on a cluster
+    that is an error, since executors would write to disks of their own.
     """
     sc = spark.sparkContext
     named = (
@@ -47,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="spark-tidegauge-")
     sc.setCheckpointDir(made)
     spark.conf.set("spark.checkpoint.dir", made)

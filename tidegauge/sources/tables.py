@@ -35,8 +35,8 @@ PARTITIONS = {
     c.BASELINE: "baseline_date",
 }
 
-# Tables whose rows change after they are written; each rewrite is a new folder.
-REWRITTEN = {c.FLAGS, c.SUMMARIES}
+# The table whose rows are changed by a maintenance run; each rewrite is a new folder.
+REWRITTEN = {c.SUMMARIES}
 
 
 class Tables:
@@ -45,7 +45,8 @@ class Tables:
     Streaming tables are plain folders. A table that is updated keeps each state in its own
     ``v=<n>`` folder: the current one is the highest that Spark has committed (``_SUCCESS``), so a
     writer that dies half-way leaves the previous state in place and nothing that is being read is
-    ever overwritten. One writer at a time, as with the scheduled jobs this serves.
+    ever overwritten. Its leftover folder keeps its number; the next writer takes a later one. One
+    maintenance run at a time, with no appends beside it. Flags are only ever appended.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -62,6 +63,11 @@ class Tables:
         found = self._fs.globStatus(self._path(f"{self.root}/{name}/v=*/_SUCCESS")) or []
         return max([int(s.getPath().getParent().getName().split("=")[1]) for s in found], default=0)
 
+    def _folders(self, name: str) -> list[int]:
+        """Numbers of all state folders, committed or left behind."""
+        found = self._fs.globStatus(self._path(f"{self.root}/{name}/v=*")) or []
+        return sorted(int(s.getPath().getName().split("=")[1]) for s in found)
+
     def path(self, name: str) -> str:
         base = f"{self.root}/{name}"
         return f"{base}/v={self._version(name)}" if name in REWRITTEN else base
@@ -76,7 +82,8 @@ class Tables:
         """The table, with its fixed schema; empty when nothing was written yet."""
         if not self.exists(name):
             return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        df = self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        return df.select(*self.spark.createDataFrame([], SCHEMAS[name]).columns)
 
     def stream(self, name: str, max_files: int | None = None) -> DataFrame:
         """New rows of an append-only table as they are committed."""
@@ -90,7 +97,7 @@ class Tables:
         writer = (df.hint("rebalance", F.col(part)) if part else df).write.mode("append")
         path = self.path(name)
         if name in REWRITTEN and self._version(name) == 0:
-            path = f"{self.root}/{name}/v=1"
+            path = f"{self.root}/{name}/v={max(self._folders(name), default=0) + 1}"
         (writer.partitionBy(part) if part else writer).parquet(path)
 
     def replace_partitions(self, name: str, df: DataFrame) -> None:
@@ -104,18 +111,22 @@ class Tables:
 
     def rewrite(self, name: str, df: DataFrame) -> None:
         """Publish ``df`` as the next state of an updated table."""
-        df.write.mode("errorifexists").parquet(f"{self.root}/{name}/v={self._version(name) + 1}")
+        df.write.mode("errorifexists").parquet(f"{self.root}/{name}/v={max(self._folders(name), default=0) + 1}")
+
+    def put_batch(self, name: str, rows: list, flow: str, batch_id: int) -> None:
+        """Store the few rows of one micro-batch; the same batch again replaces them."""
+        df = self.spark.createDataFrame(rows, SCHEMAS[name]).drop("flow", "batch_id").coalesce(1)
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/flow={flow}/batch_id={batch_id}")
 
     def drop_old(self, name: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` committed states of an updated table (and stale leftovers)."""
         newest = self._version(name)
-        dropped = []
-        for status in self._fs.globStatus(self._path(f"{self.root}/{name}/v=*")) or []:
-            n = int(status.getPath().getName().split("=")[1])
-            if n <= newest - keep:
-                self._fs.delete(status.getPath(), True)
-                dropped.append(n)
-        return sorted(dropped)
+        committed = {int(s.getPath().getParent().getName().split("=")[1])
+                     for s in self._fs.globStatus(self._path(f"{self.root}/{name}/v=*/_SUCCESS")) or []}
+        dropped = [n for n in self._folders(name) if n <= newest - keep or (n < newest and n not in committed)]
+        for n in dropped:
+            self._fs.delete(self._path(f"{self.root}/{name}/v={n}"), True)
+        return dropped
 
     def register_views(self) -> None:
         """Every table as a temp view under its own name, for SQL users."""

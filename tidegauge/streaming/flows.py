@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidegauge.model import contracts as c
 from tidegauge.operators import quality
@@ -16,6 +18,7 @@ from tidegauge.sources.landing import bronze_stream
 from tidegauge.sources.tables import PARTITIONS, Tables
 
 OBSERVED = "silver_expectations"
+LATE = "within_watermark"
 
 
 def deduplicated(
@@ -29,8 +32,11 @@ def deduplicated(
     """First row of each ``key`` on a stream; rows behind the watermark are dropped.
 
     ``global`` removes copies however late they come (the state keeps every key for good);
-    ``bounded`` forgets a key once the watermark has passed it, so a later copy gets through.
-    A NULL key counts as one key in both.
+    ``bounded`` forgets a key once the watermark has passed it, so a later copy gets through;
+    ``keyed_time`` takes (key, event time) as the identity: copies that are redeliveries carry the same
+    event time, so they never get through, and their state goes once the watermark has passed it. It keeps
+    rows of one key with different event times, which ``global`` does not, and is the mode for large feeds.
+    A NULL key counts as one key in the first two; with ``keyed_time`` it is spread by its event times.
 
     ``spread`` names a column that differs between copies (e.g. ``source_file``). Copies are then
     first removed per (key, spread value) with expiring state, so a key that holds a large share of
@@ -39,6 +45,8 @@ def deduplicated(
     df = df.withWatermark(ts, watermark)
     if spread:
         df = df.dropDuplicatesWithinWatermark([key, spread])
+    if mode == "keyed_time":
+        return df.dropDuplicates([key, ts])
     return df.dropDuplicates([key]) if mode == "global" else df.dropDuplicatesWithinWatermark([key])
 
 
@@ -94,22 +102,91 @@ def start(
     return writer.trigger(**trigger).start()
 
 
+class BatchMetrics(StreamingQueryListener):
+    """Stores the outcome of every micro-batch as it ends: the expectations counted on the way, and the rows
+    dropped behind the watermark. Each batch of a flow has a partition of its own, which a repeated batch
+    overwrites, so nothing is lost or counted twice however many batches a run has."""
+
+    def __init__(self, tables: Tables, expectations=quality.SILVER_EXPECTATIONS):
+        self.tables, self.expectations = tables, expectations
+        self.flows: dict[str, str] = {}
+        self.ended: dict[str, threading.Event] = {}
+        self.problems: list[str] = []
+
+    def name_for(self, flow: str) -> str:
+        """A query name under which the batches of ``flow`` are recognised."""
+        name = f"{flow}-{uuid.uuid4().hex}"
+        self.flows[name] = flow
+        return name
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        if event.name in self.flows:
+            self.ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        if p.name not in self.flows:
+            return
+        try:
+            self.store(self.flows[p.name], p)
+        except Exception as e:  # a listener must not raise; the run that waits for it does
+            self.problems.append(f"{self.flows[p.name]} batch {p.batchId}: {e}")
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        if str(event.runId) in self.ended:
+            self.ended[str(event.runId)].set()
+
+    def store(self, flow: str, p) -> None:
+        at = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))
+        rows, seen = [], (p.observedMetrics or {}).get(OBSERVED)
+        if seen is not None:
+            counts = seen.asDict()
+            rows += [
+                (flow, p.batchId, e.name, e.kind, counts[f"{e.name}__passed"] or 0, counts[f"{e.name}__failed"] or 0, at)
+                for e in self.expectations
+            ]
+        if p.stateOperators:
+            late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+            rows.append((flow, p.batchId, LATE, "late", max(p.numInputRows - late, 0), late, at))
+        if rows:
+            self.tables.put_batch(c.METRICS, rows, flow, p.batchId)
+
+    def wait(self, query: StreamingQuery, seconds: float = 120) -> None:
+        """Until everything a stopped query reported is stored."""
+        if not self.ended[str(query.runId)].wait(seconds):
+            raise TimeoutError("the listener did not see the end of the query")
+        if self.problems:
+            raise RuntimeError("; ".join(self.problems))
+
+
+def late_rows(metrics: DataFrame) -> DataFrame:
+    """Rows dropped behind the watermark, by flow."""
+    return metrics.filter(F.col("kind") == "late").groupBy("flow").agg(F.sum("failed").alias("late"))
+
+
 class Medallion:
     """The streaming tables of one lake, each an independent query with its own checkpoint and state."""
 
     def __init__(
         self, tables: Tables, landing: str, dedupe: str = "global", max_files: int | None = None,
-        spread: str | None = None,
+        spread: str | None = None, expectations=quality.SILVER_EXPECTATIONS,
     ):
         self.tables, self.landing, self.max_files = tables, landing, max_files
-        self.dedupe, self.spread = dedupe, spread
+        self.dedupe, self.spread, self.expectations = dedupe, spread, expectations
+        self.metrics = BatchMetrics(tables, expectations)
+        tables.spark.streams.addListener(self.metrics)
 
     def _flow(self, name: str) -> DataFrame:
         t, n = self.tables, self.max_files
         if name == c.BRONZE:
             return bronze_stream(t.spark, self.landing, n)
         if name == c.SILVER:
-            return silver_flow(t.stream(c.BRONZE, n), self.dedupe, spread=self.spread)
+            return silver_flow(
+                t.stream(c.BRONZE, n), self.dedupe, expectations=self.expectations, spread=self.spread
+            )
         if name == c.QUARANTINE:
             return quarantine_flow(t.stream(c.BRONZE, n))
         if name == c.GOLD_5MIN:
@@ -120,7 +197,12 @@ class Medallion:
 
     def start(self, name: str, every: str | None = None) -> StreamingQuery:
         t = self.tables
-        return start(self._flow(name), t.path(name), t.checkpoint(name), PARTITIONS[name], every)
+        known = self.metrics.name_for(name)
+        return start(self._flow(name), t.path(name), t.checkpoint(name), PARTITIONS[name], every, known)
+
+    def close(self) -> None:
+        """No longer store metrics of this lake's queries."""
+        self.tables.spark.streams.removeListener(self.metrics)
 
     def catch_up(self, sliding: bool = False) -> dict[str, StreamingQuery]:
         """Scheduled execution: work off everything landed so far, layer after layer, then stop."""
@@ -130,6 +212,7 @@ class Medallion:
             running = {name: self.start(name) for name in layer}
             for q in running.values():
                 q.awaitTermination()
+                self.metrics.wait(q)
             done |= running
         return done
 
@@ -138,31 +221,3 @@ class Medallion:
         so run :meth:`catch_up` once first."""
         names = [c.BRONZE, c.SILVER, c.QUARANTINE, c.GOLD_5MIN] + ([c.GOLD_15MIN] if sliding else [])
         return {name: self.start(name, every) for name in names}
-
-
-def expectation_metrics(
-    spark: SparkSession, query: StreamingQuery, flow: str, after_batch: int = -1,
-    expectations=quality.SILVER_EXPECTATIONS,
-) -> DataFrame:
-    """Metric rows of the micro-batches a query still reports (a bounded list kept by Spark).
-
-    A continuous job calls this at intervals with the last batch it has stored.
-    """
-    rows = []
-    for p in query.recentProgress:
-        seen = (p.observedMetrics or {}).get(OBSERVED)
-        if seen is None or p.batchId <= after_batch:
-            continue
-        at = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))
-        counts = seen.asDict()
-        for e in expectations:
-            ok, bad = counts[f"{e.name}__passed"], counts[f"{e.name}__failed"]
-            if ok is None:
-                ok, bad = 0, 0
-            rows.append((flow, p.batchId, e.name, e.kind, ok, bad, at))
-    return spark.createDataFrame(rows, c.METRICS_DDL)
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far because they came behind the watermark, over the reported micro-batches."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
