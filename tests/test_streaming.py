@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidegauge.model import contracts as c
 from tidegauge.operators import anomaly, quality
 from tidegauge.operators.parse import parse_events
+from tidegauge.operators.summaries import comments_for_queue
 from tidegauge.operators.windows import page_metrics
 from tidegauge.plans import alerts, checks, served
 from tidegauge.sources.landing import bronze_batch, bronze_stream, expire_landed, land_lines, land_stream
@@ -242,6 +243,16 @@ def test_stored_tables_are_pruned_by_partition(spark, tmp_path):
         (alerts.silver_gap(tables.read(c.BRONZE), START), "ingest_date"),
     ]:
         assert all(f"PartitionFilters: [isnotnull({part}" in line and f"({part}#" in line for line in scans(df))
+    silver = spark.createDataFrame([], c.SILVER_DDL)
+    tables.append(c.SILVER, silver.unionByName(spark.createDataFrame([(START,)], "event_timestamp timestamp").select(
+        *[F.col("event_timestamp").cast(f.dataType).alias(f.name) if f.name in ("event_timestamp", "event_date", "ingest_date")
+          else F.lit(None).cast(f.dataType).alias(f.name) for f in silver.schema])))
+    flag = spark.createDataFrame([], c.FLAGS_DDL)
+    for df in (
+        served.largest_edits(tables.read(c.SILVER), START), checks.busiest_pages(tables.read(c.SILVER), START),
+        checks.reconcile(tables.read(c.SILVER), tables.read(c.GOLD_5MIN), START), comments_for_queue(flag, tables.read(c.SILVER)),
+    ):
+        assert any("PartitionFilters: [isnotnull(event_date" in line for line in scans(df))
     found = anomaly.detect_anomalies(tables.read(c.GOLD_5MIN), tables.read(c.BASELINE), None, START)
     gold, base = scans(found)
     assert "window_date" in gold and "PushedFilters: [IsNotNull(" in gold and "GreaterThanOrEqual(window_start" in gold

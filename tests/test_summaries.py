@@ -66,12 +66,11 @@ def test_context(spark, bounded):
     }
 
 
-def test_partition_slack_prunes_only_older_days(spark):
-    said = silver(spark, ("1", "busy", W, "kept", 1), ("2", "busy", W, "ingested early", 1)).withColumn(
-        "ingest_date", F.when(F.col("event_id") == "1", F.lit(W.date())).otherwise(F.lit(datetime(2023, 12, 1).date())))
+def test_event_date_prunes_nothing_that_counts(spark):
+    said = silver(spark, ("1", "busy", W, "kept", 1), ("2", "busy", W - timedelta(days=1), "before", 1))
+    said = said.withColumn("event_date", F.col("event_timestamp").cast("date"))
     df = flags(spark, flag("busy"))
-    assert s.comments_for_queue(df, said).count() == 2
-    assert rows(s.comments_for_queue(df, said, slack_days=1), "comment") == [("kept",)]
+    assert rows(s.comments_for_queue(df, said), "comment") == [("kept",)]
 
 
 def test_context_keeps_the_first_25(spark):

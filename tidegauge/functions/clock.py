@@ -47,11 +47,7 @@ def since(
     return df
 
 
-def ingested_after(df: DataFrame, low: Column, slack_days: int | None, part: str = "ingest_date") -> DataFrame:
-    """Prune a table partitioned by ingest date for a filter on event time.
-
-    An event is ingested after it happened, so rows from ``low`` on lie in partitions from that day
-    on, give or take the clock error of the sources. How large that is only the operator of the
-    sources knows; without ``slack_days`` nothing is pruned and nothing can be missed.
-    """
-    return df if slack_days is None else df.filter(F.col(part) >= F.date_sub(low.cast("date"), slack_days))
+def from_day(df: DataFrame, low: Column, part: str = "event_date") -> DataFrame:
+    """Only the date partitions that can hold events from ``low`` on; exact, since the date is that of the event.
+    A table without the column is returned as it is."""
+    return df.filter(F.col(part) >= low.cast("date")) if part in df.columns else df

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clock import AsOf, ingested_after, now, since
+from tidegauge.functions.clock import AsOf, from_day, now, since
 from tidegauge.functions.scalars import bucket_index, signed_bytes, summary_id
 from tidegauge.model.contracts import COOLDOWN_MINUTES, MAX_COMMENTS, MAX_PAGES_PER_RUN
 
@@ -86,14 +86,12 @@ def comments_in_windows(flags: DataFrame, silver: DataFrame, bucket_seconds: int
     return spans.alias("f").join(said.alias("s"), met).select(*MATCHED)
 
 
-def comments_for_queue(
-    queue: DataFrame, silver: DataFrame, slack_days: int | None = None, bucket_seconds: int = 300
-) -> DataFrame:
+def comments_for_queue(queue: DataFrame, silver: DataFrame, bucket_seconds: int = 300) -> DataFrame:
     """As :func:`comments_in_windows`, with the scan of silver bounded below by the earliest window of the queue.
 
     The join is the same for a queue of any length; whether a short one is broadcast is Spark's choice by its size."""
     earliest = queue.agg(F.min("window_start")).scalar()
-    recent = ingested_after(silver, earliest, slack_days).filter(F.col("event_timestamp") >= earliest)
+    recent = from_day(silver, earliest).filter(F.col("event_timestamp") >= earliest)
     return comments_in_windows(queue, recent, bucket_seconds)
 
 

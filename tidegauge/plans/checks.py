@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clock import AsOf, ago, ingested_after, now, since, today
+from tidegauge.functions.clock import AsOf, ago, from_day, now, since, today
 from tidegauge.functions.percentiles import exact_percentiles
 from tidegauge.functions.scalars import bucket_index, count_when, pct
 from tidegauge.plans.served import counts_in_one_row, shares
@@ -58,11 +58,11 @@ def byte_delta_profile(silver: DataFrame) -> DataFrame:
 
 
 def busiest_pages(
-    silver: DataFrame, as_of: AsOf = None, hours: int = 1, n: int = 10, slack_days: int | None = None
+    silver: DataFrame, as_of: AsOf = None, hours: int = 1, n: int = 10
 ) -> DataFrame:
     """Q6: with exact editors."""
     span = f"{hours} HOURS"
-    recent = since(ingested_after(silver, ago(as_of, span), slack_days), "event_timestamp", as_of, span)
+    recent = since(from_day(silver, ago(as_of, span)), "event_timestamp", as_of, span)
     return recent.groupBy("title").agg(
         F.count("*").alias("edits"), F.countDistinct("user").alias("unique_editors")
     ).orderBy(F.desc("edits"), "title").limit(n)
@@ -70,7 +70,7 @@ def busiest_pages(
 
 def reconcile(
     silver: DataFrame, gold: DataFrame, as_of: AsOf = None, hours: int | None = 2, settle_minutes: int = 15,
-    seconds: int = 300, slack_days: int | None = None,
+    seconds: int = 300,
 ) -> DataFrame:
     """Q8: silver aggregated again against gold, over windows old enough to be closed; differences must be 0.
 
@@ -83,7 +83,7 @@ def reconcile(
 
     slot = lambda ts: bucket_index(F.col(ts), seconds).alias("slot")
     if hours is not None:
-        silver = ingested_after(silver, ago(as_of, f"{hours} HOURS"), slack_days)
+        silver = from_day(silver, ago(as_of, f"{hours} HOURS"))
     again = span(silver, "event_timestamp").groupBy("title", "namespace", slot("event_timestamp")).agg(
         F.count("*").alias("s_edits"), F.sum("byte_delta").alias("s_bytes")
     )

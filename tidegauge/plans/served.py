@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.clock import AsOf, ago, ingested_after, now, since, today
+from tidegauge.functions.clock import AsOf, ago, from_day, now, since, today
 from tidegauge.functions.scalars import bucket_label, namespace_label, pct
 
 BYTES_PER_MB = 1048576.0
@@ -155,11 +155,11 @@ def edit_volume(gold: DataFrame, as_of: AsOf = None, hours: int = 6) -> DataFram
 
 
 def largest_edits(
-    silver: DataFrame, as_of: AsOf = None, hours: int = 1, n: int = 10, slack_days: int | None = None
+    silver: DataFrame, as_of: AsOf = None, hours: int = 1, n: int = 10
 ) -> DataFrame:
-    """CV-3; ``slack_days`` see :func:`ingested_after`"""
+    """CV-3"""
     span = f"{hours} HOURS"
-    recent = since(ingested_after(silver, ago(as_of, span), slack_days), "event_timestamp", as_of, span)
+    recent = since(from_day(silver, ago(as_of, span)), "event_timestamp", as_of, span)
     recent = recent.filter(F.col("byte_delta").isNotNull())
     return recent.orderBy(F.abs(F.col("byte_delta").cast("bigint")).desc(), "event_timestamp", "event_id").limit(n).select(
         "title", "user", "event_timestamp", "byte_delta", F.substring("comment", 1, 120).alias("comment_preview")

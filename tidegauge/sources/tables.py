@@ -27,12 +27,12 @@ SCHEMAS = {
 
 # Partition columns.
 PARTITIONS = {
-    c.BRONZE: "ingest_date",
-    c.SILVER: "ingest_date",
-    c.QUARANTINE: "ingest_date",
-    c.GOLD_5MIN: "window_date",
-    c.GOLD_15MIN: "window_date",
-    c.BASELINE: "baseline_date",
+    c.BRONZE: ("ingest_date",),
+    c.SILVER: ("ingest_date", "event_date"),
+    c.QUARANTINE: ("ingest_date",),
+    c.GOLD_5MIN: ("window_date",),
+    c.GOLD_15MIN: ("window_date",),
+    c.BASELINE: ("baseline_date",),
 }
 
 # The table whose rows are changed by a maintenance run; each rewrite is a new folder.
@@ -93,19 +93,19 @@ class Tables:
         return reader.parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame) -> None:
-        part = PARTITIONS.get(name)
-        writer = (df.hint("rebalance", F.col(part)) if part else df).write.mode("append")
+        parts = PARTITIONS.get(name, ())
+        writer = (df.hint("rebalance", *map(F.col, parts)) if parts else df).write.mode("append")
         path = self.path(name)
         if name in REWRITTEN and self._version(name) == 0:
             path = f"{self.root}/{name}/v={max(self._folders(name), default=0) + 1}"
-        (writer.partitionBy(part) if part else writer).parquet(path)
+        (writer.partitionBy(*parts) if parts else writer).parquet(path)
 
     def replace_partitions(self, name: str, df: DataFrame) -> None:
         """Overwrite only the partitions present in ``df``; the others keep their rows."""
-        part = PARTITIONS[name]
+        parts = PARTITIONS[name]
         (
-            df.hint("rebalance", F.col(part))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part)
+            df.hint("rebalance", *map(F.col, parts))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
             .parquet(self.path(name))
         )
 

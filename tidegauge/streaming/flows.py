@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -86,7 +87,7 @@ def start(
     df: DataFrame,
     path: str,
     checkpoint: str,
-    partition_by: str | None = None,
+    partition_by: Sequence[str] = (),
     every: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -95,7 +96,7 @@ def start(
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": every} if every else {"availableNow": True}
