@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import decontaminate, hmm, huffman, langid, lattice, licenses, ngram_join, packing, quality, urls
 from tidegauge.llm.common import fold, table
+from tidegauge.llm.oracles import ORACLES  # noqa: F401  the SQL of this module's queries
 from tidegauge.session import scratch_path
 
 
@@ -91,4 +92,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_ids": op9_token_ids,
     "op10_ngram_join": op10_ngram_join,
 }
-ORACLES: dict[str, str] = {}
