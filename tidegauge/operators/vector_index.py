@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.vectors import cosine
 from tidegauge.model.contracts import NOVELTY_THRESHOLD
+from tidegauge.session import scratch_path
 
 DIMENSIONS = 256
 INDEX_COLUMNS = ("id", "title", "z_score", "summary", "generated_at", "embedding")
@@ -98,8 +100,8 @@ def related_events(
 # k nearest neighbours of many vectors at once
 # ---------------------------------------------------------------------------------------------
 
-MAX_PIVOTS = 256
-ROWS_PER_PIVOT = 2048
+# Pivots are the square root of the number of index rows, at most so many (their matrix goes to every task).
+MOST_PIVOTS = 4096
 BLOCK_BYTES = 16 << 20
 SCORE_CELLS = 4 << 20
 ROWS_PER_BATCH = 4096
@@ -158,13 +160,14 @@ def nearest_neighbours(
 
     Returns (``key``, ``neighbour``, ``score``, ``place``). Method (a pivot-pruned block join):
 
-    1. A few index rows (at most ``MAX_PIVOTS``) become pivots; each index row joins the cell of its
-       closest one. Of a cell only the size and radius are kept.
+    1. Some index rows become pivots; each index row joins the cell of its closest one. Of a cell only
+       the size and radius are kept.
     2. Pivots are index rows, so the k-th closest pivot bounds a query's k-th distance from above. By
        the triangle inequality that rules out the cells that lie farther away, and the query is sent
        to the remaining ones only.
-    3. Cells and query sets are cut into slices of at most ``block_bytes``, so a crowded cell is many
-       tasks, not one. A task multiplies two slices and returns k rows per query, not the pairs.
+    3. Cells, and the queries at home in a cell, are cut into slices of at most ``block_bytes``, so a
+       crowded cell is many tasks, not one. An index slice goes only to the query slices that cannot
+       rule it out. A task multiplies two slices and returns k rows per query, not the pairs.
     4. The partial bests of each query are merged.
 
     Nothing is approximate: the pruning is a proof, and slices lose nothing. Unclustered vectors
@@ -177,10 +180,10 @@ def nearest_neighbours(
     q_rows, s_rows = side(queries), side(index)
     out_schema = f"key {key_type}, neighbour {key_type}, score double"
     if pivots is None:
-        pivots = min(MAX_PIVOTS, 1 + s_rows.count() // ROWS_PER_PIVOT)
+        pivots = min(MOST_PIVOTS, math.isqrt(s_rows.count()) + 1)
     reach = k + 1 if drop_self else k
-    # Bounded by `pivots` and `reach`; which rows they are does not matter for the result.
-    chosen = s_rows.orderBy(F.xxhash64("key"), "key").limit(max(pivots, reach)).collect()
+    # Which rows they are does not matter for the result; with fewer pivots than `reach` nothing is ruled out.
+    chosen = s_rows.orderBy(F.xxhash64("key"), "key").limit(pivots).collect()
     if not chosen:
         return q_rows.sparkSession.createDataFrame([], f"{out_schema}, place int")
     centres = _matrix(pd.Series([r["vector"] for r in chosen]))
@@ -196,7 +199,15 @@ def nearest_neighbours(
     at = np.array([c["cell"] for c in cells])
     radius = np.array([c["radius"] for c in cells])
     slices = np.array([-(-c["rows"] // slice_rows) for c in cells])
-    query_slices = max(1, -(-q_rows.count() // slice_rows))
+
+    def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"home": _gaps(_matrix(b["vector"]), centres)[:, at].argmin(axis=1).astype("int32")})
+
+    asked = {r["home"]: r["n"] for r in q_rows.select("vector").mapInPandas(homes, "home int").groupBy("home").agg(
+        F.count("*").alias("n")).collect()}  # one row per cell
+    query_slices = np.array([max(1, -(-asked.get(i, 0) // slice_rows)) for i in range(len(at))])
+    first_part = np.cumsum(query_slices) - query_slices
     between = np.sqrt(np.clip(2.0 - 2.0 * (centres[at] @ centres[at].T), 0.0, None))
     slack = 1e-6
 
@@ -211,6 +222,8 @@ def nearest_neighbours(
             apart = between[home]
             plane = np.divide(gaps**2 - own**2, 2 * apart, out=np.zeros_like(gaps), where=apart > 0)
             least = np.maximum(gaps - radius, plane)
+            b = b.assign(query_part=(first_part[home] + b["spread"].to_numpy() % query_slices[home]).astype("int32"))
+            b = b[["key", "vector", "query_part"]]
             row, cell = np.nonzero(least <= limit[:, None] + slack)
             copies = slices[cell]
             part = np.concatenate([np.arange(c) for c in copies]) if len(copies) else np.array([], int)
@@ -221,18 +234,18 @@ def nearest_neighbours(
                     cell=at[cell[piece]].astype("int32"), part=part[piece].astype("int32"))
 
     block_schema = f"key {key_type}, vector array<float>, query_part int, cell int, part int"
-    q_blocks = q_rows.withColumn(
-        "query_part", F.pmod(F.xxhash64("key"), F.lit(query_slices)).cast("int")
-    ).mapInPandas(to_blocks, block_schema)
+    spread = F.pmod(F.xxhash64("key"), F.lit(2**31 - 1)).cast("int").alias("spread")
+    stored = scratch_path(q_rows.sparkSession, "query-blocks")
+    q_rows.select("key", "vector", spread).mapInPandas(to_blocks, block_schema).write.parquet(stored)
+    q_blocks = q_rows.sparkSession.read.schema(block_schema).parquet(stored)
+    block = ["cell", "part", "query_part"]
     slices_of = F.element_at(
         F.create_map(*[F.lit(int(x)) for c, n in zip(at, slices) for x in (c, n)]), F.col("cell")
     )
     s_blocks = placed.select(
         "key", "vector", "cell",
         F.pmod(F.xxhash64("key"), slices_of).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_slices - 1))).alias("query_part"),
-    )
-    block = ["cell", "part", "query_part"]
+    ).join(q_rows.sparkSession.read.schema(block_schema).parquet(stored).select(*block).distinct(), ["cell", "part"])
 
     def best(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         if q.empty or s.empty:
