@@ -47,11 +47,11 @@ def latest_per_id(summaries: DataFrame) -> DataFrame:
 
 
 def index_additions(summaries: DataFrame, index: DataFrame | None = None) -> DataFrame:
-    """Index rows for the summaries not yet indexed; only those are embedded."""
-    fresh = latest_per_id(summaries.select(*RETURN_COLUMNS))
+    """Index rows for the summaries not yet indexed; only those are grouped by id and embedded."""
+    fresh = summaries.select(*RETURN_COLUMNS)
     if index is not None:
         fresh = fresh.join(index.select("id"), "id", "left_anti")
-    return embed(fresh).select(*INDEX_COLUMNS)
+    return embed(latest_per_id(fresh)).select(*INDEX_COLUMNS)
 
 
 def similarity_search(
@@ -263,8 +263,10 @@ def novelty(
     threshold: float = NOVELTY_THRESHOLD,
     key: str = "id",
     vector: str = "embedding",
+    show: Sequence[str] = (),
 ) -> DataFrame:
-    """Whether each query is news: (key, is_novel, score, neighbour).
+    """Whether each query is news: (key, is_novel, score, neighbour), and the neighbour's ``show`` columns
+    as ``neighbour_<column>``.
 
     The closest indexed row other than itself decides; a query with no other row is novel, with a
     NULL score.
@@ -272,6 +274,10 @@ def novelty(
     closest = nearest_neighbours(queries, index, 1, key, vector, drop_self=True).select(
         F.col("key").alias(key), "score", "neighbour"
     )
-    return queries.select(key).join(closest, key, "left").select(
+    told = queries.select(key).join(closest, key, "left").select(
         key, F.coalesce(F.col("score") < threshold, F.lit(True)).alias("is_novel"), "score", "neighbour"
     )
+    if not show:
+        return told
+    shown = index.select(F.col(key).alias("neighbour"), *[F.col(c).alias(f"neighbour_{c}") for c in show])
+    return told.join(shown, "neighbour", "left").select(*told.columns, *[f"neighbour_{c}" for c in show])

@@ -185,11 +185,11 @@ def _(m):
     return summaries.comments_in_windows(m.flags, m.silver, bucket_seconds=3600)
 
 
-@query("w3_first_comments", "WITH" + SAID.format(flags="flags") + "," + FIRST.format(n=5) + """
+@query("w3_first_comments", "WITH" + SAID.format(flags="flags") + "," + FIRST.format(n=2) + """
     SELECT title, window_start, event_id, CAST(place AS INTEGER) AS place FROM first""")
 def _(m):
     said = summaries.comments_in_windows(m.flags, m.silver, bucket_seconds=3600)
-    return summaries.first_comments(said, 5).select("title", "window_start", "event_id", "place")
+    return summaries.first_comments(said, 2).select("title", "window_start", "event_id", "place")
 
 
 @query("c3_comment_context", "WITH" + asked_sql("flags") + """

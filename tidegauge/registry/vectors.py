@@ -67,6 +67,17 @@ def _(m):
     return vector_index.novelty(e, e, threshold=0.4, key=KEY).withColumn("score", F.round("score", 6))
 
 
+@query("v6_novelty_with_titles", """
+    WITH""" + PAIRS.format(queries="embeddings") + """,
+    best AS (SELECT q, s, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, s) AS place
+             FROM pairs WHERE q <> s QUALIFY place = 1)
+    SELECT q AS vec_id, score < 0.75 AS is_novel, round(score, 6) AS score, s AS neighbour, label AS neighbour_label
+    FROM best JOIN embeddings ON vec_id = s""")
+def _(m):
+    e = m.table("embeddings")
+    return vector_index.novelty(e, e, key=KEY, show=["label"]).withColumn("score", F.round("score", 6))
+
+
 @query("v1_embed_documents")
 def _(m):
     return vector_index.embed(m.table("documents").select("doc_id", "text"), "text").select(
