@@ -51,11 +51,24 @@ def materialize(df: DataFrame, label: str, compression: str = "zstd", **options:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(df: DataFrame) -> None:
+    """Delete the intermediate tables (:func:`materialize`) that ``df`` reads, once nothing needs them any more."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    spark = df.sparkSession
+    for folder in sorted(f for f in folders if f.rsplit("/", 1)[1].startswith("tidegauge-")):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: The batch size that an application had of its own, before the first operator here bounded it.
+_own_batches: dict[str, int] = {}
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the Arrow batches that carry whole texts to Python; a smaller setting is left as it is."""
+    """Bound the rows of the Arrow batches that carry whole texts to Python; a smaller setting of the user stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+    own = _own_batches.setdefault(spark.sparkContext.applicationId, int(spark.conf.get(key)))
+    spark.conf.set(key, str(min(own, rows) if own > 0 else rows))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import materialize
+from tidegauge.llm.common import drop_tables, materialize
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -31,7 +31,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         hung = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             roots.select("u", F.col("m").alias("v"))
         )
-        now = materialize(downward(hung), "edges")
+        last, now = now, materialize(downward(hung), "edges")
+        drop_tables(last)
         before, seen = seen, mark(now)
         if seen == before:
             break

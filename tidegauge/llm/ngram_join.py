@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import materialize, slices, small_batches, space_words
+from tidegauge.llm.common import drop_tables, materialize, slices, small_batches, space_words
 from tidegauge.llm.components import connected_components
 
 WIDTH = 3
@@ -44,10 +44,14 @@ GROWTH = 1.5
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 8
 #: Bounds of one side of a block in step 3.
-BLOCK_NGRAMS, BLOCK_SETS = 400_000, 1_000
+BLOCK_NGRAMS, BLOCK_SETS = 2_000_000, 2_000
+
+#: Candidate documents up to which their ids (32 bytes each) are broadcast to fetch their texts; more are joined by a
+#: shuffle.
+BROADCAST_NODES = 500_000
 
 SETS = "doc_id long, text_hash long, n_shingles long, sig_a long, sig_b long, keys array<long>"
-PARTS = "node long, n long, fragment int, grams array<long>"
+PARTS = "node long, n long, grams array<array<long>>"
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -150,22 +154,18 @@ def set_keys(docs: DataFrame) -> DataFrame:
 
 
 def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
-    """The n-grams of each row of ``docs`` (node, text) by fragment of their order."""
+    """The n-grams of each row of ``docs`` (node, text), one list per fragment of their order."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            row, n, part, grams = [], [], [], []
-            for i, g in enumerate(gram_sets(batch.column("text"))):
+            n, grams = [], []
+            for g in gram_sets(batch.column("text")):
                 high = (g >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
-                ends = np.searchsorted(high, np.arange(fragments + 1, dtype=np.uint64))
-                for f in np.flatnonzero(np.diff(ends)).tolist():
-                    row.append(i)
-                    n.append(len(g))
-                    part.append(f)
-                    grams.append(g[ends[f] : ends[f + 1]])
+                n.append(len(g))
+                grams += np.split(g, np.searchsorted(high, np.arange(1, fragments, dtype=np.uint64)))
+            outer = pa.array(np.arange(0, len(grams) + 1, fragments, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(pa.array(row, pa.int64())), pa.array(n, pa.int64()),
-                 pa.array(part, pa.int32()), lists(grams)],
-                ["node", "n", "fragment", "grams"],
+                [batch.column("node"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(outer, lists(grams))],
+                ["node", "n", "grams"],
             )
 
     small_batches(docs.sparkSession, 2048)
@@ -174,10 +174,11 @@ def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
 
 def linked_pairs(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that are linked: partial overlaps per fragment, summed per pair."""
-    left = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("grams").alias("g_a"))
-    right = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("grams").alias("g_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-        "a", "b", "n_a", "n_b", F.size(F.array_intersect("g_a", "g_b")).alias("common")
+    left = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("g_a"))
+    right = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("g_b"))
+    fragment = F.explode(F.arrays_zip("g_a", "g_b")).alias("x")
+    partial = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", fragment).select(
+        "a", "b", "n_a", "n_b", F.size(F.array_intersect("x.g_a", "x.g_b")).alias("common")
     )
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
     union = F.col("n_a") + F.col("n_b") - F.col("common")
@@ -191,8 +192,7 @@ def block_links(members: DataFrame, parts: DataFrame) -> DataFrame:
     n-grams of all its pairs as a matrix product and sums the counts; pairs of one known component are of no use, so a
     block of one component is left out.
     """
-    sizes = parts.select("node", "n").distinct()
-    sized = members.join(sizes, "node")
+    sized = members.join(parts.select("node", "n"), "node")
     chunks = sized.groupBy("cluster").agg(
         F.greatest(F.ceil(F.sum("n") / BLOCK_NGRAMS), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("chunks")
     )
@@ -208,9 +208,10 @@ def block_links(members: DataFrame, parts: DataFrame) -> DataFrame:
         n = pdf["n"].to_numpy()[first]
         common = np.zeros((len(docs), len(docs)), np.float32)
         if pdf["component"].nunique() > 1:
-            for _, part in pdf.groupby("fragment"):
-                grams = np.concatenate(part["grams"].to_list())
-                owner = np.repeat(row[pdf.index.get_indexer(part.index)], part["grams"].map(len))
+            held_grams = pdf["grams"].to_numpy()[first]
+            for fragment in range(len(held_grams[0])):
+                part = [g[fragment] for g in held_grams]
+                grams, owner = np.concatenate(part), np.repeat(np.arange(len(docs)), list(map(len, part)))
                 _, token, times = np.unique(grams, return_inverse=True, return_counts=True)
                 shared = times[token] > 1
                 _, token = np.unique(token[shared], return_inverse=True)
@@ -248,7 +249,10 @@ def ngram_classes(docs: DataFrame) -> DataFrame:
     pairs = materialize(keys.join(shared.select("key", "b"), "key").filter("a <> b").select("a", "b").distinct(), "pairs")
     tops = real.groupBy("node").agg(F.min("doc_id").alias("top"))
     if not pairs.isEmpty():
-        found = candidate_links(docs, firsts.drop("keys"), pairs)
+        repeated = not real.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
+        found = candidate_links(docs, firsts.drop("keys"), pairs, repeated)
+        drop_tables(firsts)
+        drop_tables(pairs)
         joined = tops.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = joined.groupBy("component").agg(F.min("top").alias("least"))
         tops = joined.join(least, "component").select("node", F.col("least").alias("top"))
@@ -257,21 +261,27 @@ def ngram_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
     """(node, component) of the nodes of candidate ``pairs`` that are linked with another one.
 
-    ``firsts`` (node, doc_id, text_hash) names a row of ``docs`` for each node."""
+    ``firsts`` (node, doc_id, text_hash) names a row of ``docs`` for each node; ``repeated`` tells that some row stands
+    in ``docs`` more than once."""
     members = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     source = firsts.join(members, "node", "left_semi").select(
         "node", F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), F.col("text_hash").alias("h")
     )
+    if source.count() <= BROADCAST_NODES:
+        source = F.broadcast(source)
     rows = docs.select(
         "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"),
         F.xxhash64("text").alias("h"),
     ).join(source, ["d", "none", "h"])
-    # a row that stands in the table twice gives its n-grams once
-    parts = materialize(gram_parts(rows).dropDuplicates(["node", "fragment"]), "gram-parts")
-    known = connected_components(materialize(linked_pairs(pairs, parts), "links"))
+    parts = gram_parts(rows)
+    if repeated:
+        parts = parts.dropDuplicates(["node"])  # a row that stands in the table twice gives its n-grams once
+    parts = materialize(parts, "gram-parts")
+    links = materialize(linked_pairs(pairs, parts), "links")
+    known = connected_components(links)
     state = materialize(
         connected_components(pairs).withColumnRenamed("component", "cluster").join(known, "node", "left")
         .select("node", "cluster", F.coalesce("component", "node").alias("component")),
@@ -284,14 +294,20 @@ def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> Dat
         block_links(state.join(open_clusters.select("cluster"), "cluster", "left_semi"), parts), "block-links"
     )
     if more.isEmpty():
-        return known
-    held = state.filter("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return connected_components(held.unionByName(more))
+        found = known
+    else:
+        held = state.filter("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = connected_components(held.unionByName(more))
+    for done in (parts, links, state, more):
+        drop_tables(done)
+    return found
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each class the row of its smallest doc_id (then hash of text)."""
-    classes = materialize(ngram_classes(docs).select("doc_id", "text_hash", "component_id"), "classes")
+    found = ngram_classes(docs)
+    classes = materialize(found.select("doc_id", "text_hash", "component_id"), "classes")
+    drop_tables(found)
     named = lambda d, h: F.struct(F.coalesce(d, F.lit(0)).alias("d"), d.isNull().alias("none"), h.alias("h"))
     alone = F.when(F.col("component_id").isNull(), F.col("text_hash"))
     first = classes.groupBy("component_id", alone.alias("alone")).agg(
