@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import alnum_words, materialize
+from tidegauge.llm.common import alnum_words, drop_tables, materialize
 
 WINDOW = 13
 #: Posting lists that are intersected per window, from the rarest on.
@@ -115,6 +115,7 @@ def judged_rows(
     counts = index.groupBy("term_id").agg(F.count("*").alias("df"))
     anchors = materialize(anchors_of(terms.select("phrase_id", "place", "term_id"), counts), "anchors")
     found = materialize(matches(index, anchors), "matches").withColumnRenamed("doc_id", "_key")
+    drop_tables(index)
     per_doc = found.filter("exact").join(phrases, "phrase_id").groupBy("_key").agg(
         F.collect_list(F.struct("start", "n", "phrase", "phrase_id")).alias("_candidates")
     )
@@ -124,7 +125,7 @@ def judged_rows(
         F.array_join(F.slice(words, c["start"] + 1, c["n"]), " ") == c["phrase"]
     )
     places = F.flatten(F.transform("_hits", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1)))
-    judged = materialize(
+    judged = (
         rows.join(per_doc, "_key", "left")
         .select(*carry, "_key", F.xxhash64("_text").alias("_hash"), alnum_words(F.col("_text")).alias("_words"), "_candidates")
         .withColumn("_hits", F.filter(F.coalesce("_candidates", F.array()), fits))
@@ -132,8 +133,7 @@ def judged_rows(
             *carry, "_key", "_hash", F.size("_words").cast("long").alias("_n_words"),
             F.size(F.array_distinct(places)).cast("long").alias("_n_hit"),
             F.array_distinct(F.transform("_hits", lambda c: c["phrase_id"])).alias("_phrase_ids"),
-        ),
-        "judged",
+        )
     )
     bad = (F.col("_n_hit") > 0) & (20 * F.col("_n_hit") >= F.col("_n_words"))
     return judged.withColumn("_contaminated", bad), found, windows.select("phrase_id", "item_id").distinct()
@@ -151,6 +151,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, nea
     With ``near`` also n_near_items, the items with a proximity match: the rarest terms of a window stand within
     ``SLACK`` words of their places in it."""
     judged, found, owners = judged_rows(docs, benchmark, size)
+    judged = materialize(judged, "judged")
     hit_items = (
         judged.filter("_n_hit > 0").select("_key", "_hash", F.explode("_phrase_ids").alias("phrase_id"))
         .join(owners, "phrase_id").groupBy("_key", "_hash").agg(F.collect_set("item_id").alias("items"))

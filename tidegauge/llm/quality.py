@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import fold, materialize, small_batches
+from tidegauge.llm.common import drop_tables, fold, materialize, small_batches
 
 #: Random features, width of the Gaussian kernel (in standard deviations), ridge penalty, and the seed of the features.
 FEATURES, WIDTH, RIDGE, SEED = 256, 4.5, 1e-2, 11
@@ -174,6 +174,23 @@ def fit(stats: DataFrame, labels: DataFrame) -> Model | None:
     return model
 
 
+def good_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, as they are. The model is fitted on stored statistics; the texts are
+    then judged on the way, so no text is stored twice."""
+    stats = with_statistics(docs)
+    model = fit(stats, labels)
+    drop_tables(stats)
+    if model is None:
+        return docs
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        found = np.array([statistics_of(t) for t in texts], np.float64).reshape(len(texts), N_STATISTICS)
+        return pd.Series(model.score(found))
+
+    return docs.filter(score("text") >= KEEP_FROM)
+
+
 def scored(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The ``carry`` columns of ``docs``, score (0 to 1) and predicted (1: keep)."""
     stats = with_statistics(docs, list(dict.fromkeys(["doc_id", *carry])))
