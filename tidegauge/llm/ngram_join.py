@@ -1,11 +1,11 @@
-"""Exact Jaccard self-join on word 3-grams by vertical partitioning, with the classes of linked documents.
+"""Exact Jaccard self-join on word n-grams by vertical partitioning, with the classes of linked documents.
 
 The global order of n-grams is that of their 64-bit hashes. It is cut into fragments, and so is every set:
 
-1. **Candidates.** A linked pair of sets of at most ``u`` n-grams differs in at most ``D = 2u/19`` of them (for 0.9), so
-   of ``D + 2`` fragments two at least are equal in both, and one of these is not empty (a set with two empty fragments
-   also stands under its empty ones). Sets meet under equal (size class, fragment, content). Sets of up to 18 n-grams
-   differ in one n-gram at most and meet under themselves less one. No linked pair is missed, and unrelated documents
+1. **Candidates.** A linked pair of sets of at most ``u`` n-grams differs in at most ``D = 2u(100-p)/(100+p)`` of them
+   for ``p`` percent (``2u/19`` for 90, ``2u/9`` for 80), so of ``D + 2`` fragments two at least are equal in both, and one of these is not empty (a set with two empty fragments
+   also stands under its empty ones). Sets meet under equal (size class, fragment, content). Tiny sets (18 n-grams for
+   90 percent, 8 for 80) differ in one n-gram at most on either side and meet under themselves less one. No linked pair is missed, and unrelated documents
    do not meet, even when they share passages.
 2. **Overlaps.** Candidate pairs are intersected fragment by fragment, each fragment separately, and the partial counts
    summed per pair. Only pairs with the smallest document of their bucket are formed as rows: one per document, never
@@ -15,7 +15,7 @@ The global order of n-grams is that of their 64-bit hashes. It is cut into fragm
 
 Exact copies are one set (equal 128-bit sums of n-gram hashes and equal counts); the copies get its class.
 
-Rows: NULL or blank text has no n-grams and its own class; fewer words than three are one n-gram; rows that repeat a
+Rows: NULL or blank text has no n-grams and its own class; fewer words than the width are one n-gram; rows that repeat a
 doc_id are judged each by its own text; a row without a doc_id takes part and
 gets the smallest doc_id of its class, or NULL; an empty table gives no rows; further columns are ignored.
 """
@@ -34,11 +34,9 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import drop_tables, materialize, slices, small_batches, space_words
 from tidegauge.llm.components import connected_components
 
-WIDTH = 3
-#: Linked: PERCENT * union <= 100 * intersection. The fragment counts below are derived from it.
-PERCENT = 90
-#: Sets up to this size differ from a linked one in one n-gram at most.
-TINY = 18
+#: Words of an n-gram, and linked: percent * union <= 100 * intersection. These are what ``op10_ngram_join`` joins by;
+#: each function takes others, and size classes and fragment counts are derived from them.
+WIDTH, PERCENT = 3, 90
 #: Size classes grow by this factor.
 GROWTH = 1.5
 #: Fragments in which overlaps are counted.
@@ -98,9 +96,15 @@ def fragment_sums(grams: np.ndarray, fragments: int) -> tuple[np.ndarray, np.nda
         return sums[ends[1:]] - sums[ends[:-1]], np.diff(ends)
 
 
-def size_classes(size: int) -> Iterator[tuple[int, int]]:
-    """(class, largest size in it) for the class of ``size`` and for the next one, if a linked set can be in it."""
-    low, k, reach = TINY + 1, 0, size * 100 // PERCENT
+def tiny(percent: int) -> int:
+    """The size up to which linked sets have one n-gram at most that the other lacks: fewer common ones than this do
+    not outweigh two differences."""
+    return -(-2 * percent // max(100 - percent, 1))
+
+
+def size_classes(size: int, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
+    """(class, largest size in it) for the class of ``size`` and for the later ones that a linked set can be in."""
+    low, k, reach = tiny(percent) + 1, 0, size * 100 // percent
     while low <= reach:
         after = int(low * GROWTH)
         if reach >= low and size < after:
@@ -108,14 +112,14 @@ def size_classes(size: int) -> Iterator[tuple[int, int]]:
         low, k = after, k + 1
 
 
-def candidate_keys(grams: np.ndarray) -> np.ndarray:
+def candidate_keys(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     n, out = len(grams), []
     with np.errstate(over="ignore"):
-        if 0 < n <= TINY:
+        if 0 < n <= tiny(percent):
             m = mixed(grams, 3)
             out.append(mixed(np.concatenate([[m.sum(dtype=np.uint64)], m.sum(dtype=np.uint64) - m]), 11))
-        for k, largest in size_classes(n):
-            fragments = 2 * largest * (100 - PERCENT) // (100 + PERCENT) + 2
+        for k, largest in size_classes(n, percent):
+            fragments = 2 * largest * (100 - percent) // (100 + percent) + 2
             sums, sizes = fragment_sums(grams, fragments)
             keys = mixed(mixed(sums, 21 + k) + np.arange(fragments, dtype=np.uint64), 31)
             empty = sizes == 0
@@ -133,15 +137,15 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(values)))
 
 
-def set_keys(docs: DataFrame) -> DataFrame:
+def set_keys(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             n, a, b, keys = [], [], [], []
-            for grams in gram_sets(batch.column("text")):
+            for grams in gram_sets(batch.column("text"), width):
                 n.append(len(grams))
                 a.append(mixed(grams, 1).sum(dtype=np.uint64))
                 b.append(mixed(grams, 2).sum(dtype=np.uint64))
-                keys.append(candidate_keys(grams))
+                keys.append(candidate_keys(grams, percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(signed(np.array(a, np.uint64))),
                  pa.array(signed(np.array(b, np.uint64))), lists(keys)],
@@ -153,12 +157,12 @@ def set_keys(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(build, SETS)
 
 
-def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
+def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS, width: int = WIDTH) -> DataFrame:
     """The n-grams of each row of ``docs`` (node, text), one list per fragment of their order."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             n, grams = [], []
-            for g in gram_sets(batch.column("text")):
+            for g in gram_sets(batch.column("text"), width):
                 high = (g >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
                 n.append(len(g))
                 grams += np.split(g, np.searchsorted(high, np.arange(1, fragments, dtype=np.uint64)))
@@ -172,7 +176,7 @@ def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
     return docs.select("node", "text").mapInArrow(build, PARTS)
 
 
-def linked_pairs(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of the pairs (a, b) that are linked: partial overlaps per fragment, summed per pair."""
     left = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("g_a"))
     right = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("g_b"))
@@ -182,10 +186,10 @@ def linked_pairs(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     )
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
     union = F.col("n_a") + F.col("n_b") - F.col("common")
-    return total.filter(100 * F.col("common") >= PERCENT * union).select("a", "b")
+    return total.filter(100 * F.col("common") >= percent * union).select("a", "b")
 
 
-def block_links(members: DataFrame, parts: DataFrame) -> DataFrame:
+def block_links(members: DataFrame, parts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) that connect what is linked within each group of ``members`` (node, cluster, component).
 
     A group is cut into chunks of bounded size; a task compares two chunks. Fragment by fragment it counts the common
@@ -227,7 +231,7 @@ def block_links(members: DataFrame, parts: DataFrame) -> DataFrame:
             for low in range(0, len(docs), 256):
                 rows = slice(low, low + 256)
                 union = n[rows, None] + n[None, :] - common[rows].astype(np.int64)
-                linked = 100 * common[rows].astype(np.int64) >= PERCENT * union
+                linked = 100 * common[rows].astype(np.int64) >= percent * union
                 seen = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
                 label[rows] = np.minimum(label[rows], seen)
         tied = label != docs
@@ -236,12 +240,13 @@ def block_links(members: DataFrame, parts: DataFrame) -> DataFrame:
     return blocks.join(parts, "node").groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def ngram_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
+def ngram_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id) of every row of ``docs`` (doc_id, text), linked by the Jaccard
+    similarity of their n-grams of ``width`` words from ``percent`` on.
 
     A node is a distinct set of n-grams, whatever rows have it."""
     node = F.when(F.col("n_shingles") > 0, F.xxhash64("sig_a", "sig_b", "n_shingles"))
-    sets = materialize(set_keys(docs).withColumn("node", node).drop("sig_a", "sig_b"), "gram-sets")
+    sets = materialize(set_keys(docs, width, percent).withColumn("node", node).drop("sig_a", "sig_b"), "gram-sets")
     real = sets.filter("n_shingles > 0")
     firsts = materialize(real.select("node", "doc_id", "text_hash", "keys").dropDuplicates(["node"]), "gram-nodes")
     keys = firsts.select(F.col("node").alias("a"), F.explode("keys").alias("key"))
@@ -250,7 +255,7 @@ def ngram_classes(docs: DataFrame) -> DataFrame:
     tops = real.groupBy("node").agg(F.min("doc_id").alias("top"))
     if not pairs.isEmpty():
         repeated = not real.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
-        found = candidate_links(docs, firsts.drop("keys"), pairs, repeated)
+        found = candidate_links(docs, firsts.drop("keys"), pairs, repeated, width, percent)
         drop_tables(firsts)
         drop_tables(pairs)
         joined = tops.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -261,7 +266,9 @@ def ngram_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
+def candidate_links(
+    docs: DataFrame, firsts: DataFrame, pairs: DataFrame, repeated: bool, width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
     """(node, component) of the nodes of candidate ``pairs`` that are linked with another one.
 
     ``firsts`` (node, doc_id, text_hash) names a row of ``docs`` for each node; ``repeated`` tells that some row stands
@@ -276,11 +283,11 @@ def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, repeat
         "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"),
         F.xxhash64("text").alias("h"),
     ).join(source, ["d", "none", "h"])
-    parts = gram_parts(rows)
+    parts = gram_parts(rows, width=width)
     if repeated:
         parts = parts.dropDuplicates(["node"])  # a row that stands in the table twice gives its n-grams once
     parts = materialize(parts, "gram-parts")
-    links = materialize(linked_pairs(pairs, parts), "links")
+    links = materialize(linked_pairs(pairs, parts, percent), "links")
     known = connected_components(links)
     state = materialize(
         connected_components(pairs).withColumnRenamed("component", "cluster").join(known, "node", "left")
@@ -291,7 +298,7 @@ def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, repeat
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("low < high AND n > 2")
     more = materialize(
-        block_links(state.join(open_clusters.select("cluster"), "cluster", "left_semi"), parts), "block-links"
+        block_links(state.join(open_clusters.select("cluster"), "cluster", "left_semi"), parts, percent), "block-links"
     )
     if more.isEmpty():
         found = known
@@ -303,9 +310,9 @@ def candidate_links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, repeat
     return found
 
 
-def one_of_each_class(docs: DataFrame) -> DataFrame:
+def one_of_each_class(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each class the row of its smallest doc_id (then hash of text)."""
-    found = ngram_classes(docs)
+    found = ngram_classes(docs, width, percent)
     classes = materialize(found.select("doc_id", "text_hash", "component_id"), "classes")
     drop_tables(found)
     named = lambda d, h: F.struct(F.coalesce(d, F.lit(0)).alias("d"), d.isNull().alias("none"), h.alias("h"))
