@@ -4,6 +4,9 @@ A byte-pair encoder never joins characters across the start of white space, so a
 line end that follows a non-blank, and each piece encoded by itself. Natural text repeats its pieces; the tokenizer sees
 each distinct one once per Python worker (while it is remembered), the rest is look-ups on Arrow arrays. The ids are
 those of encoding the whole text (tested on hostile texts).
+
+An added token (such as ``<|endoftext|>``) is recognised where the raw text holds it, as the tokenizer file says; such a
+text is encoded whole. Pieces are encoded without added tokens: no piece of the other texts has one but by lower-casing.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.own_setting = self.tokenizer.encode_special_tokens
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tokenizer.encode_special_tokens = True
         self.spaces_vanish = spaces_vanish
         self.cut = re.compile(r"(?<=\S)(?=[ \n])")
@@ -94,9 +99,25 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text. NULL counts as empty."""
+        texts = texts.fill_null("")
+        marked = np.zeros(len(texts), bool)
+        for token in self.added:
+            marked |= np.asarray(pc.match_substring(texts, token))
+        if not marked.any():
+            return self._by_pieces(texts)
+        ids, counts = self._by_pieces(pc.if_else(pa.array(marked), "", texts))
+        per_text = np.split(ids, np.cumsum(counts)[:-1])
+        self.tokenizer.encode_special_tokens = self.own_setting
+        for i in np.flatnonzero(marked):
+            whole = self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids
+            per_text[i] = np.array(whole, np.uint32)
+        self.tokenizer.encode_special_tokens = True
+        return np.concatenate(per_text), np.fromiter(map(len, per_text), np.int64, len(per_text))
+
+    def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids and numbers of ids of texts without an added token."""
         if len(self.places) > REMEMBERED:
             self.forget()
-        texts = texts.fill_null("")
         odd = np.zeros(len(texts), bool)
         if self.spaces_vanish:
             # such a tokenizer also lower-cases; for A-Z that can be done first
