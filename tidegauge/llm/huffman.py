@@ -10,7 +10,7 @@ Three tables below one path:
 
 Decoding looks up ``max_bits`` bits at a time in a table, at all checkpoints of a batch side by side.
 
-Rows: a NULL text counts as empty and is stored as its end id; repeated ids are stored in a fixed order; an empty table
+Rows: a NULL text counts as empty and is stored as its end id; rows without a doc_id stay so and come first; repeated ids are stored in a fixed order; an empty table
 gives empty tables; further columns are ignored.
 """
 
@@ -144,7 +144,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file_no, block_no = TaskContext.get().partitionId(), 0
-        doc_ids: list[np.ndarray] = []
+        doc_ids: list[pa.Array] = []
         held: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
         size = 0
@@ -153,7 +153,7 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids:
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([file_no], pa.int32()), pa.array([block_no], pa.int32()),
-                    pa.array([np.concatenate(doc_ids)], pa.list_(pa.int64())),
+                    pa.ListArray.from_arrays(pa.array([0, sum(map(len, doc_ids))], pa.int32()), pa.concat_arrays(doc_ids)),
                     pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
                     pa.array([np.concatenate(held).astype("<u4").tobytes()], pa.binary()),
                 ],
@@ -167,12 +167,12 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids:
             text = np.ones(len(values), bool)
             text[ends - 1] = False
             values[text] = ids
-            own = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            own = batch.column("doc_id")
             begin, base = 0, 0
             while begin < len(n):
                 upto = int(np.searchsorted(ends, base + block_ids - size, "left")) + 1
                 upto = min(max(upto, begin + 1), len(n))
-                doc_ids.append(own[begin:upto])
+                doc_ids.append(own.slice(begin, upto - begin))
                 lengths.append(n[begin:upto].astype(np.int32))
                 held.append(values[base : int(ends[upto - 1])])
                 size += int(ends[upto - 1]) - base
