@@ -76,3 +76,17 @@ def test_linked_sets_share_a_key_at_any_percent():
                 linked += 1
                 assert len(np.intersect1d(ngram_join.candidate_keys(x, percent), ngram_join.candidate_keys(y, percent)))
         assert linked > 50
+
+
+def test_classes_are_kept_by_their_own_key(spark):
+    near = [edited(100, 0, 1), edited(100, 1, 30)]
+    lone = [" ".join(f"{k}{w}" for w in near[0].split()) for k in "ab"]
+    rows = [
+        (3, "one clean text of its own"), (3, "another clean text with the same id"), (3, "another clean text with the same id"),
+        (None, near[0]), (None, near[1]), (None, lone[0]), (-1, lone[1]), (None, lone[1] + " end"), (4, ""), (4, None), (4, ""), (None, " "),
+    ]
+    docs = spark.createDataFrame([(d, t, "en", "x", 0) for d, t in rows], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.one_of_near_copies(spark, docs, "").collect()), key=repr)
+    first = [x for x in kept if x[1] in near]
+    assert len(first) == 1
+    assert [x for x in kept if x not in first] == sorted([*rows[:2], rows[5], rows[6], *rows[8:10], rows[11]], key=repr)

@@ -242,7 +242,13 @@ def block_links(members: DataFrame, parts: DataFrame, percent: int = PERCENT) ->
 
 def ngram_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id) of every row of ``docs`` (doc_id, text), linked by the Jaccard
-    similarity of their n-grams of ``width`` words from ``percent`` on.
+    similarity of their n-grams of ``width`` words from ``percent`` on."""
+    return node_classes(docs, width, percent).drop("component")
+
+
+def node_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """:func:`ngram_classes` with ``component``, the class by its smallest node: unlike the smallest doc_id, no other
+    class has it. NULL for rows without n-grams.
 
     A node is a distinct set of n-grams, whatever rows have it."""
     node = F.when(F.col("n_shingles") > 0, F.xxhash64("sig_a", "sig_b", "n_shingles"))
@@ -252,17 +258,17 @@ def ngram_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -
     keys = firsts.select(F.col("node").alias("a"), F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("last")).filter("b < last")
     pairs = materialize(keys.join(shared.select("key", "b"), "key").filter("a <> b").select("a", "b").distinct(), "pairs")
-    tops = real.groupBy("node").agg(F.min("doc_id").alias("top"))
+    tops = real.groupBy("node").agg(F.min("doc_id").alias("top")).withColumn("component", F.col("node"))
     if not pairs.isEmpty():
         repeated = not real.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
         found = candidate_links(docs, firsts.drop("keys"), pairs, repeated, width, percent)
         drop_tables(firsts)
         drop_tables(pairs)
-        joined = tops.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        joined = tops.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = joined.groupBy("component").agg(F.min("top").alias("least"))
-        tops = joined.join(least, "component").select("node", F.col("least").alias("top"))
+        tops = joined.join(least, "component").select("node", "component", F.col("least").alias("top"))
     return sets.select("doc_id", "text_hash", "n_shingles", "node").join(tops, "node", "left").select(
-        "doc_id", "text_hash", "n_shingles", F.coalesce("top", "doc_id").alias("component_id")
+        "doc_id", "text_hash", "n_shingles", "component", F.coalesce("top", "doc_id").alias("component_id")
     )
 
 
@@ -311,15 +317,15 @@ def candidate_links(
 
 
 def one_of_each_class(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each class the row of its smallest doc_id (then hash of text)."""
-    found = ngram_classes(docs, width, percent)
-    classes = materialize(found.select("doc_id", "text_hash", "component_id"), "classes")
+    """The rows of ``docs`` without near-duplicates: of each class the row of its smallest doc_id (then hash of text; a
+    row without a doc_id only where no row of the class has one). Rows without n-grams stay, once each."""
+    found = node_classes(docs, width, percent)
+    classes = materialize(found.select("doc_id", "text_hash", "component"), "classes")
     drop_tables(found)
-    named = lambda d, h: F.struct(F.coalesce(d, F.lit(0)).alias("d"), d.isNull().alias("none"), h.alias("h"))
-    alone = F.when(F.col("component_id").isNull(), F.col("text_hash"))
-    first = classes.groupBy("component_id", alone.alias("alone")).agg(
-        F.min(named(F.col("doc_id"), F.col("text_hash"))).alias("kept")
-    ).select("kept")
+    named = lambda d, h: F.struct(d.isNull().alias("none"), F.coalesce(d, F.lit(0)).alias("d"), h.alias("h"))
+    row = named(F.col("doc_id"), F.col("text_hash"))
+    first = classes.filter("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("kept")).select("kept")
+    first = first.unionByName(classes.filter("component IS NULL").select(row.alias("kept")).distinct())
     out = docs.withColumn("kept", named(F.col("doc_id").cast("long"), F.xxhash64("text"))).join(first, "kept", "left_semi")
     repeated = classes.groupBy("doc_id", "text_hash").count().filter("count > 1")
     return (out if repeated.isEmpty() else out.dropDuplicates(["kept"])).drop("kept")
