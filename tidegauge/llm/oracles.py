@@ -62,4 +62,21 @@ ORACLES: dict[str, str] = {
          link AS (SELECT x, y FROM pair WHERE 100 * common >= 90 * (total - common)), {REACHED}
     SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(least(doc_id, top.y), doc_id) AS component_id
     FROM sets LEFT JOIN top ON top.x = doc_id""",
+    "op13_hard_negatives": """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         scored AS (SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same,
+                           CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+                    FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+         positive AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+                      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+           score AS negative_score
+    FROM positive JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER w <= 5""",
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, hmm, huffman, langid, lattice, licenses, ngram_join, packing, quality, urls
+from tidegauge.llm import (
+    decontaminate, hmm, huffman, imatch, langid, lattice, licenses, negatives, ngram_join, packing, quality, urls, whitening,
+)
 from tidegauge.llm.common import fold, table
 from tidegauge.llm.oracles import ORACLES  # noqa: F401  the SQL of this module's queries
 from tidegauge.session import scratch_path
@@ -80,6 +82,24 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_classes(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    # a deviation beyond a long is NULL here; ``deviation_exact`` has it
+    return out.select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_exact"),
+    )
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0).drop("positive_rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_licenses": op2_licenses,
@@ -91,4 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_token_ids": op9_token_ids,
     "op10_ngram_join": op10_ngram_join,
+    "op11_whitening": op11_whitening,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_hard_negatives": op13_hard_negatives,
 }
