@@ -30,4 +30,7 @@ def test_op9_of_rows_without_doc_id(spark, tmp_path):
 
 def test_a_block_of_null_ids_alone(spark):
     docs = spark.createDataFrame([(None, "a b")] * 3, "doc_id long, text string")
-    assert [r.doc_ids for r in huffman.raw_blocks(docs, WORD).collect()] == [[None] * 3]
+    rows, kind = huffman.encoded(docs, WORD), huffman.id_type(WORD)
+    ids = np.array(sorted(r.id for r in huffman.id_counts(rows, kind).collect()))
+    blocks = huffman.coded_blocks(rows, ids, huffman.code_lengths(np.ones(len(ids), np.int64)), kind)
+    assert [r.doc_ids for r in blocks.collect()] == [[None] * 3]

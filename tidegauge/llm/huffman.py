@@ -25,19 +25,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import materialize, small_batches
-from tidegauge.llm.tokens import encode_batches
+from tidegauge.llm.common import drop_tables, materialize, slices, small_batches
+from tidegauge.llm.tokens import blobs, encode_batches
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
 STRIDE = 256
 MAX_BITS = 16
 
-RAW = "file_no int, block_no int, doc_ids array<long>, counts array<int>, ids binary"
+ENCODED = "doc_id long, tie long, ids binary"
 BLOCKS = (
     "file_no int, block_no int, doc_ids array<long>, counts array<int>, n_ids long, checkpoints binary, payload binary"
 )
-DECODED = "doc_id long, file_no int, block_no int, place int, n_tokens long, ids binary"
+DECODED = "doc_id long, file_no int, block_no int, inside long, n_tokens long, ids binary"
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -103,14 +103,15 @@ class Code:
         total = int(ends[-1]) if len(ends) else 0
         out = np.zeros((total + 7) // 8 + 4, np.uint8)
         if len(ids):
-            # a code of up to 16 bits touches three bytes; codes that begin in one byte are put together first
-            word = self.code[ids] << (24 - bits - (starts & 7)).astype(np.uint32)
+            # a code touches so many bytes at most; codes that begin in one byte are put together first
+            touched = (self.width + 14) // 8
+            word = self.code[ids] << (8 * touched - bits - (starts & 7)).astype(np.uint32)
             byte = starts >> 3
             groups = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))
             at = byte[groups]
             word = np.bitwise_or.reduceat(word, groups)
-            for k in range(3):
-                out[at + k] |= (word >> np.uint32(16 - 8 * k)).astype(np.uint8)
+            for k in range(touched):
+                out[at + k] |= (word >> np.uint32(8 * (touched - 1 - k))).astype(np.uint8)
         return out[: (total + 7) // 8], starts[::STRIDE].astype("<u4")
 
     def decode(self, payloads: list[bytes], checkpoints: list[bytes], n_ids: np.ndarray) -> np.ndarray:
@@ -139,34 +140,84 @@ class Code:
         return out[np.arange(STRIDE) < left[:, None]]
 
 
-def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Documents in ascending order of doc_id as blocks of uncompressed ids."""
+def id_type(tokenizer: str, end_id: int = END_ID) -> str:
+    """The smallest little-endian type that holds every id of the tokenizer file."""
+    from tokenizers import Tokenizer
+
+    most = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values())
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, tie, ids) of every document, the end id included; ids as bytes of :func:`id_type`. ``tie`` orders the rows
+    of a doc_id."""
+    kind = id_type(tokenizer, end_id)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, ids, counts in encode_batches(batches, tokenizer, spaces_vanish=True):
+            ends = np.cumsum(counts + 1)
+            values = np.full(int(ends[-1]), end_id, kind)
+            text = np.ones(len(values), bool)
+            text[ends - 1] = False
+            values[text] = ids
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("tie"), blobs(values, ends)], ["doc_id", "tie", "ids"]
+            )
+
+    small_batches(docs.sparkSession, 2048)
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
+    return rows.mapInArrow(encode, ENCODED)
+
+
+def id_counts(rows: DataFrame, kind: str) -> DataFrame:
+    """(id, n): how often each id stands in ``rows`` (ids). One row per id and task is shuffled."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            seen = np.bincount(values_of(batch.column("ids"), kind)[0])
+            if len(seen) > len(total):
+                seen, total = total, seen
+            total[: len(seen)] += seen
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    return rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def values_of(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column in a row, and the number of each."""
+    ends, raw = column.buffers()[1:]
+    at = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    held = np.frombuffer(raw, np.uint8)[at[0] : at[-1]] if raw is not None and len(column) else np.zeros(0, np.uint8)
+    return held.view(kind), np.diff(at) // np.dtype(kind).itemsize
+
+
+def coded_blocks(rows: DataFrame, ids: np.ndarray, bits: np.ndarray, kind: str, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """``rows`` (doc_id, tie, ids) in ascending order as blocks of coded ids; a partition is a file."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file_no, block_no = TaskContext.get().partitionId(), 0
+        code, file_no, block_no = Code(ids, bits), TaskContext.get().partitionId(), 0
         doc_ids: list[pa.Array] = []
         held: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
         size = 0
 
         def block() -> pa.RecordBatch:
+            stream, points = code.encode(np.concatenate(held))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([file_no], pa.int32()), pa.array([block_no], pa.int32()),
                     pa.ListArray.from_arrays(pa.array([0, sum(map(len, doc_ids))], pa.int32()), pa.concat_arrays(doc_ids)),
-                    pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
-                    pa.array([np.concatenate(held).astype("<u4").tobytes()], pa.binary()),
+                    pa.array([np.concatenate(lengths)], pa.list_(pa.int32())), pa.array([size], pa.int64()),
+                    pa.array([points.tobytes()], pa.binary()), pa.array([stream.tobytes()], pa.binary()),
                 ],
-                ["file_no", "block_no", "doc_ids", "counts", "ids"],
+                ["file_no", "block_no", "doc_ids", "counts", "n_ids", "checkpoints", "payload"],
             )
 
-        for batch, ids, counts in encode_batches(batches, tokenizer, spaces_vanish=True):
-            n = counts + 1
+        for batch in slices(batches, "ids"):
+            values, n = values_of(batch.column("ids"), kind)
             ends = np.cumsum(n)
-            values = np.full(int(ends[-1]), end_id, np.uint32)
-            text = np.ones(len(values), bool)
-            text[ends - 1] = False
-            values[text] = ids
             own = batch.column("doc_id")
             begin, base = 0, 0
             while begin < len(n):
@@ -184,61 +235,28 @@ def raw_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids:
         if doc_ids:
             yield block()
 
-    small_batches(docs.sparkSession, 2048)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("tie", F.xxhash64("text"))
+    small_batches(rows.sparkSession, 512)
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return ordered.drop("tie").mapInArrow(gather, RAW)
-
-
-def id_counts(raw: DataFrame) -> DataFrame:
-    """(id, n): how often each id stands in the blocks. One row per id and task is shuffled."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for blob in batch.column("ids"):
-                seen = np.bincount(np.frombuffer(blob.as_buffer(), "<u4"))
-                if len(seen) > len(total):
-                    seen, total = total, seen
-                total[: len(seen)] += seen
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
-
-    return raw.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return ordered.drop("tie").mapInArrow(gather, BLOCKS)
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
-    """Encode ``docs`` (doc_id, text) below ``path``."""
-    spark = docs.sparkSession
-    raw = materialize(raw_blocks(docs, tokenizer, end_id), "raw-ids")
-    counts = sorted(map(tuple, id_counts(raw).collect()))  # one row per id of the tokenizer at most
+    """Encode ``docs`` (doc_id, text) below ``path``. The texts are read once and not shuffled: what is put in order are
+    the ids."""
+    spark, kind = docs.sparkSession, id_type(tokenizer, end_id)
+    rows = materialize(encoded(docs, tokenizer, end_id), "encoded-ids")
+    counts = sorted(map(tuple, id_counts(rows, kind).collect()))  # one row per id of the tokenizer at most
     ids, n = (np.array([c[k] for c in counts], np.int64) for k in (0, 1))
-    bits = code_lengths(n)
+    bits = code_lengths(n, max(MAX_BITS, (len(n) - 1).bit_length()))
     book = spark.createDataFrame(list(zip(ids.tolist(), bits.tolist(), strict=True)), "id int, bits int")
     book.coalesce(1).write.parquet(f"{path}/codebook")
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Code(ids, bits)
-        for batch in batches:
-            total, points, payload = [], [], []
-            for blob in batch.column("ids"):
-                values = np.frombuffer(blob.as_buffer(), "<u4")
-                stream, at = code.encode(values)
-                total.append(len(values))
-                points.append(at.tobytes())
-                payload.append(stream.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(total, pa.int64()), pa.array(points, pa.binary()),
-                 pa.array(payload, pa.binary())],
-                ["file_no", "block_no", "doc_ids", "counts", "n_ids", "checkpoints", "payload"],
-            )
-
-    small_batches(spark, 16)
-    raw.mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    coded_blocks(rows, ids, bits, kind).write.option("compression", "none").parquet(f"{path}/blocks")
+    drop_tables(rows)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Documents decoded from the blocks: (doc_id, file_no, block_no, place, n_tokens, ids)."""
+    """Documents decoded from the blocks: (doc_id, file_no, block_no, inside, n_tokens, ids); ``inside`` counts the ids of
+    the documents before it in its block."""
     book = spark.read.parquet(f"{path}/codebook").collect()  # one row per id of the tokenizer at most
     ids, bits = (np.array([r[k] for r in book], np.int64) for k in ("id", "bits"))
 
@@ -248,19 +266,19 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
             n_ids = batch.column("n_ids").to_numpy()
             values = code.decode(
                 batch.column("payload").to_pylist(), batch.column("checkpoints").to_pylist(), n_ids
-            ).astype("<u4")
+            )
             counts = batch.column("counts").flatten().to_numpy().astype(np.int64)
             per_block = np.diff(np.asarray(batch.column("counts").offsets))
-            row = pa.array(np.repeat(np.arange(len(per_block)), per_block))
-            place = np.arange(len(counts)) - np.repeat(np.cumsum(per_block) - per_block, per_block)
-            cuts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * 4
-            blob = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(cuts), pa.py_buffer(values)])
+            row = np.repeat(np.arange(len(per_block)), per_block)
+            ends = np.cumsum(counts)
+            inside = ends - counts - (np.cumsum(n_ids) - n_ids)[row]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_ids").flatten(), batch.column("file_no").take(row),
-                    batch.column("block_no").take(row), pa.array(place.astype(np.int32)), pa.array(counts), blob,
+                    batch.column("doc_ids").flatten(), batch.column("file_no").take(pa.array(row)),
+                    batch.column("block_no").take(pa.array(row)), pa.array(inside), pa.array(counts),
+                    blobs(values.astype("<u4"), ends),
                 ],
-                ["doc_id", "file_no", "block_no", "place", "n_tokens", "ids"],
+                ["doc_id", "file_no", "block_no", "inside", "n_tokens", "ids"],
             )
 
     small_batches(spark, 16)
@@ -269,7 +287,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 def with_starts(decoded: DataFrame, spark: SparkSession, path: str) -> DataFrame:
     """``decoded`` with ``start``, the ids of all documents before it: those of earlier files, of earlier blocks of the
-    file, and of earlier documents of the block. Only sums per block and file are ordered, never documents."""
+    file, and of earlier documents of the block. Only sums per block and file are shuffled, never documents."""
     sizes = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").select("file_no", "block_no", "n_ids")
     before = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(
         Window.unboundedPreceding, -1
@@ -280,7 +298,6 @@ def with_starts(decoded: DataFrame, spark: SparkSession, path: str) -> DataFrame
     blocks = sizes.select(
         "file_no", "block_no", F.coalesce(F.sum("n_ids").over(before("file_no", "block_no")), F.lit(0)).alias("at")
     ).join(files, "file_no").select("file_no", "block_no", (F.col("at") + F.col("file_start")).alias("block_start"))
-    inside = F.coalesce(F.sum("n_tokens").over(before("file_no", "block_no", "place")), F.lit(0))
-    return decoded.withColumn("inside", inside).join(blocks, ["file_no", "block_no"]).withColumn(
+    return decoded.join(blocks, ["file_no", "block_no"]).withColumn(
         "start", F.col("block_start") + F.col("inside")
     )

@@ -67,11 +67,12 @@ class PieceEncoder:
 
     def learn(self, missing: list[str]) -> None:
         """Encode new pieces. A letter or digit and the punctuation behind it are never one token, so a word is encoded
-        without its trailing marks, and only once whatever follows it."""
+        without its trailing marks, and only once whatever follows it. The letter is looked at in lower case, as a
+        tokenizer may see it: there a capital dotted I ends in a combining mark, which goes with what follows."""
         whole, joined = [], []
         for piece in missing:
             stem = piece.rstrip(MARKS)
-            if len(stem) == len(piece) or not stem or not stem[-1].isalnum() or stem[-1] > "\u024f":
+            if len(stem) == len(piece) or not stem or stem[-1] > "\u024f" or not stem[-1].lower()[-1].isalnum():
                 whole.append(piece)
             else:
                 joined.append((piece, stem, piece[len(stem) :]))
@@ -161,21 +162,10 @@ def worker_encoder(path: str, spaces_vanish: bool) -> PieceEncoder:
     return vars(shelf)[key]
 
 
-def id_blobs(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[pa.Array, np.ndarray]:
-    """Each text's ids and the end id behind them, as little-endian unsigned 32-bit bytes; and the new counts."""
-    n = counts + 1
-    ends = np.cumsum(n)
-    out = np.empty(int(ends[-1]) if len(n) else 0, "<u4")
-    tail = np.zeros(len(out), bool)
-    tail[ends - 1] = True
-    out[tail], out[~tail] = end_id, ids
-    return blobs(out, ends), n
-
-
 def blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """``values`` cut at ``ends``, as a binary array of their little-endian 32-bit bytes."""
-    cuts = np.concatenate([[0], ends]).astype(np.int32) * 4
-    raw = np.ascontiguousarray(values, "<u4")
+    """``values`` (of a little-endian type) cut at ``ends``, as a binary array of their bytes."""
+    cuts = np.concatenate([[0], ends]).astype(np.int32) * values.dtype.itemsize
+    raw = np.ascontiguousarray(values)
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(cuts), pa.py_buffer(raw)])
 
 
