@@ -64,6 +64,23 @@ def test_crowded_cells_copies_and_odd_vectors(spark, tmp_path, monkeypatch):
     assert result(queries.op4_embeddings(spark, str(tmp_path))) == by_all_pairs(rows)
 
 
+def test_repeated_and_missing_ids(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    a, b = ([float(x) for x in np.float32(rng.normal(size=16))] for _ in range(2))
+    near = lambda v: [float(x) for x in np.float32(np.array(v) + 0.01 * rng.normal(size=16))]
+    twice = [(1, a, 0), (1, b, 0), (2, near(b), 0), (3, near(a), 0), (9, a, 1), (1, a, 1)]
+    write(spark, tmp_path / "a", twice)
+    assert result(queries.op4_embeddings(spark, str(tmp_path / "a"))) == by_all_pairs(twice)
+    assert [(r.n_links, r.component_id) for r in queries.op4_embeddings(spark, str(tmp_path / "a")).collect()] == [(1, 1)] * 6
+    none = [(None, a, 0), (None, b, 0), (2, near(b), 0), (3, near(a), 0), (None, a, 1), (None, near(a), 1), (None, None, 0)]
+    write(spark, tmp_path / "b", none)
+    found = sorted(map(tuple, queries.op4_embeddings(spark, str(tmp_path / "b")).collect()), key=repr)
+    assert found == sorted([
+        (None, 1, 3, False), (None, 1, 2, False), (2, 1, 2, True), (3, 1, 3, True), (None, 1, None, True),
+        (None, 1, None, True), (None, 0, None, True),
+    ], key=repr)
+
+
 def test_empty_table(spark, tmp_path):
     write(spark, tmp_path, [])
     assert queries.op4_embeddings(spark, str(tmp_path)).collect() == []

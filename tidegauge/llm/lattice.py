@@ -10,8 +10,9 @@ vector, so a crowded cell neither lands in one task nor gives a row per pair. A
 at its first meeting only, which both vectors' cells tell.
 
 Rows: vectors that are NULL, zero, or hold NULL or non-finite components, and rows without a label, link with nothing;
-vectors of different lengths never link; repeated rows count each; an empty table gives no rows; further columns are
-ignored.
+vectors of different lengths never link; repeated rows count each; rows of one vec_id with different vectors are judged
+each by its own; rows without a vec_id take part, and their component is the smallest vec_id in it, or NULL where none of
+its rows has one; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -219,9 +220,9 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``embeddings`` (vec_id, embedding, label)."""
     rows = embeddings.select("vec_id", "label", F.col("embedding").alias("vec"), valid().alias("usable"))
     usable = rows.filter("usable")
-    reps = materialize(
-        usable.groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors"
-    )
+    # a vector is known by a number of its own: neither its vec_id nor any of its rows need be unique
+    alike = usable.groupBy("label", "vec").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    reps = materialize(alike.withColumn("rep", F.monotonically_increasing_id()), "vectors")
     met = materialize(meetings(reps), "meetings")
     homes = met.filter("home").select("cell").distinct()
     blocks = blocks_of(met.join(homes, "cell", "left_semi"))
@@ -233,13 +234,15 @@ def near_duplicates(embeddings: DataFrame) -> DataFrame:
         "links",
     )
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = connected_components(found.filter("rep <> root"), "rep", "root")
-    known = reps.join(links, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left").select(
-        F.col("label").alias("l"), F.col("vec").alias("v"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"),
+    classes = connected_components(found.filter("rep <> root"), "rep", "root").withColumnRenamed("node", "rep")
+    top = classes.join(reps.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("top"))
+    tops = classes.join(top, "component").select("rep", "top")
+    known = reps.join(links, "rep", "left").join(tops, "rep", "left").select(
+        F.col("label").alias("l"), F.col("vec").alias("v"), F.lit(True).alias("known"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("top", "least").alias("component_id"),
     )
     joined = rows.join(known, F.col("usable") & (F.col("label") == F.col("l")) & (F.col("vec") == F.col("v")), "left")
     return joined.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
+        F.when(F.col("known"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"),
     ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
