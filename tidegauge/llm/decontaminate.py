@@ -26,8 +26,6 @@ ANCHORS = 3
 SLACK = 8
 #: Terms up to which the benchmark's vocabulary is broadcast (some 10 MB); a larger one is joined by a shuffle.
 BROADCAST_TERMS = 200_000
-#: Stands for a NULL doc_id in the index.
-NO_ID = -(2**63)
 
 
 def windows_of(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -108,7 +106,8 @@ def judged_rows(
     windows = materialize(windows_of(benchmark, size).withColumn("phrase_id", F.xxhash64("phrase")), "windows")
     phrases = windows.select("phrase_id", "phrase", "n").distinct()
     terms = phrase_terms(phrases).withColumn("term_id", F.xxhash64("term"))
-    rows = docs.select(*carry, F.col("text").alias("_text"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_key"))
+    # rows without a doc_id are kept apart by their texts; a clash of keys only gives candidates that are not confirmed
+    rows = docs.select(*carry, F.col("text").alias("_text"), F.xxhash64("doc_id", "text").alias("_key"))
     index = build_index(
         rows.select(F.col("_key").alias("doc_id"), F.col("_text").alias("text")), terms.select("term_id", "term").distinct()
     )
@@ -141,8 +140,10 @@ def judged_rows(
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, as they are."""
-    judged, _, _ = judged_rows(docs, benchmark, carry=docs.columns)
-    return judged.filter(~F.col("_contaminated")).select(*docs.columns)
+    # the row itself travels as one column, so no name of its columns matters
+    whole = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    judged, _, _ = judged_rows(whole, benchmark, carry=["_row"])
+    return judged.filter(~F.col("_contaminated")).select("_row.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, near: bool = False) -> DataFrame:
