@@ -44,6 +44,8 @@ MOST_TERMS = 4_000_000
 RANGES = 3
 #: Hexadecimal digits of one hash.
 DIGITS = 4
+#: Text that is fingerprinted at once.
+FOLLOWED_BYTES = 2 << 20
 #: A lexicon level is sparse for two texts if so many of its lexicons at most keep a term of either.
 SPARSE = 10
 
@@ -253,7 +255,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: pa.RecordBatch | None = None
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", FOLLOWED_BYTES):
             batch = batch if waiting is None else pa.concat_batches([waiting, batch])
             last = np.asarray(batch.column("last"))
             begin = 0

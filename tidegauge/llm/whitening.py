@@ -16,7 +16,8 @@ exactly:
 Rows: a vector that is NULL or holds NULL or non-finite entries is left out; repeated rows count each; entries beyond
 2**62 in the integer scale count as that. Vectors of another length have a fit of their own (``size`` tells which). A
 component without variance cannot be scaled to one and is not returned, so equal vectors, a single one and empty ones give
-no rows. An empty table gives none; further columns are ignored. The driver holds d * d sums for vectors of d entries.
+no rows. Projections are in double precision: beside entries 2**50 times larger a component loses its digits. An empty
+table gives none; further columns are ignored. The driver holds d * d sums for vectors of d entries.
 """
 
 from __future__ import annotations
