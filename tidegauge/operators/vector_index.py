@@ -105,6 +105,8 @@ MOST_PIVOTS = 4096
 BLOCK_BYTES = 16 << 20
 SCORE_CELLS = 4 << 20
 ROWS_PER_BATCH = 4096
+# Up to so many blocks, index rows go to every block of their slice without looking up which of them have queries.
+FEW_BLOCKS = 64
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -146,6 +148,20 @@ def _best(q: pd.DataFrame, s: pd.DataFrame, k: int, distinct: bool) -> pd.DataFr
     return pd.concat(found)
 
 
+def _bundles(sizes: np.ndarray, order: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bundle and number of slices of each cell: cells that follow each other in ``order`` share a bundle while it holds no
+    more than ``most`` rows, and a cell with more than that is a bundle of several slices."""
+    bundle, slices = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+    last, held = -1, most
+    for cell in order.tolist():
+        n = int(sizes[cell])
+        if held + n > most or n > most:
+            last, held = last + 1, 0
+        bundle[cell], held = last, held + n
+        slices[cell] = max(1, -(-n // most))
+    return bundle, slices
+
+
 def nearest_neighbours(
     queries: DataFrame,
     index: DataFrame,
@@ -165,19 +181,22 @@ def nearest_neighbours(
     2. Pivots are index rows, so the k-th closest pivot bounds a query's k-th distance from above. By
        the triangle inequality that rules out the cells that lie farther away, and the query is sent
        to the remaining ones only.
-    3. Cells, and the queries at home in a cell, are cut into slices of at most ``block_bytes``, so a
-       crowded cell is many tasks, not one. An index slice goes only to the query slices that cannot
-       rule it out. A task multiplies two slices and returns k rows per query, not the pairs.
+    3. Neighbouring cells share a bundle of at most ``block_bytes``, a larger cell is cut into slices of
+       that; so are the queries, by their home cells. A query is sent once to each bundle with a cell
+       that is not ruled out, however many such cells it has, so its copies are bounded by the bytes of
+       the index over ``block_bytes``. A task multiplies two bundles and returns k rows per query, not
+       the pairs.
     4. The partial bests of each query are merged.
 
     Nothing is approximate: the pruning is a proof, and slices lose nothing. Unclustered vectors
-    prune badly and cost a full block join.
+    prune badly and cost a full block join, on a grid of blocks of bounded bytes.
     """
     key_type = index.schema[key].dataType.simpleString()
     side = lambda df: df.select(F.col(key).alias("key"), F.col(vector).alias("vector")).filter(
         F.exists("vector", lambda x: x != 0)
     )
     q_rows, s_rows = side(queries), side(index)
+    spark = q_rows.sparkSession
     out_schema = f"key {key_type}, neighbour {key_type}, score double"
     if pivots is None:
         pivots = min(MOST_PIVOTS, math.isqrt(s_rows.count()) + 1)
@@ -185,7 +204,7 @@ def nearest_neighbours(
     # Which rows they are does not matter for the result; with fewer pivots than `reach` nothing is ruled out.
     chosen = s_rows.orderBy(F.xxhash64("key"), "key").limit(pivots).collect()
     if not chosen:
-        return q_rows.sparkSession.createDataFrame([], f"{out_schema}, place int")
+        return spark.createDataFrame([], f"{out_schema}, place int")
     centres = _matrix(pd.Series([r["vector"] for r in chosen]))
     slice_rows = max(64, block_bytes // (8 * centres.shape[1]))
 
@@ -197,8 +216,7 @@ def nearest_neighbours(
     placed = s_rows.mapInPandas(to_cells, f"key {key_type}, vector array<float>, cell int, gap double")
     cells = placed.groupBy("cell").agg(F.count("*").alias("rows"), F.max("gap").alias("radius")).collect()
     at = np.array([c["cell"] for c in cells])
-    radius = np.array([c["radius"] for c in cells])
-    slices = np.array([-(-c["rows"] // slice_rows) for c in cells])
+    radius, sizes = np.array([c["radius"] for c in cells]), np.array([c["rows"] for c in cells])
 
     def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -206,8 +224,15 @@ def nearest_neighbours(
 
     asked = {r["home"]: r["n"] for r in q_rows.select("vector").mapInPandas(homes, "home int").groupBy("home").agg(
         F.count("*").alias("n")).collect()}  # one row per cell
-    query_slices = np.array([max(1, -(-asked.get(i, 0) // slice_rows)) for i in range(len(at))])
-    first_part = np.cumsum(query_slices) - query_slices
+    # neighbours along the direction in which the pivots spread most come next to each other
+    spread_most = np.linalg.svd(centres[at] - centres[at].mean(axis=0), full_matrices=False)[2][0]
+    order = np.argsort(centres[at] @ spread_most, kind="stable")
+    bundle, slices = _bundles(sizes, order, slice_rows)
+    home_bundle, home_slices = _bundles(np.array([asked.get(i, 0) for i in range(len(at))]), order, slice_rows)
+    # number the slices of all bundles, on both sides
+    per_bundle, per_home = np.ones(bundle.max() + 1, int), np.ones(home_bundle.max() + 1, int)
+    per_bundle[bundle], per_home[home_bundle] = slices, home_slices
+    first_slice, first_part = np.cumsum(per_bundle) - per_bundle, np.cumsum(per_home) - per_home
     between = np.sqrt(np.clip(2.0 - 2.0 * (centres[at] @ centres[at].T), 0.0, None))
     slack = 1e-6
 
@@ -222,30 +247,34 @@ def nearest_neighbours(
             apart = between[home]
             plane = np.divide(gaps**2 - own**2, 2 * apart, out=np.zeros_like(gaps), where=apart > 0)
             least = np.maximum(gaps - radius, plane)
-            b = b.assign(query_part=(first_part[home] + b["spread"].to_numpy() % query_slices[home]).astype("int32"))
-            b = b[["key", "vector", "query_part"]]
+            part = first_part[home_bundle[home]] + b["spread"].to_numpy() % per_home[home_bundle[home]]
+            b = b[["key", "vector"]].assign(query_part=part.astype("int32"))
             row, cell = np.nonzero(least <= limit[:, None] + slack)
-            copies = slices[cell]
-            part = np.concatenate([np.arange(c) for c in copies]) if len(copies) else np.array([], int)
-            row, cell = np.repeat(row, copies), np.repeat(cell, copies)
+            row, meant = np.unique(np.stack([row, bundle[cell]]), axis=1)
+            copies = per_bundle[meant]
+            piece = np.concatenate([np.arange(c) for c in copies]) if len(copies) else np.array([], int)
+            row, piece = np.repeat(row, copies), np.repeat(first_slice[meant], copies) + piece
             for start in range(0, len(row), ROWS_PER_BATCH):
-                piece = slice(start, start + ROWS_PER_BATCH)
-                yield b.iloc[row[piece]].assign(
-                    cell=at[cell[piece]].astype("int32"), part=part[piece].astype("int32"))
+                some = slice(start, start + ROWS_PER_BATCH)
+                yield b.iloc[row[some]].assign(piece=piece[some].astype("int32"))
 
-    block_schema = f"key {key_type}, vector array<float>, query_part int, cell int, part int"
+    block_schema = f"key {key_type}, vector array<float>, query_part int, piece int"
     spread = F.pmod(F.xxhash64("key"), F.lit(2**31 - 1)).cast("int").alias("spread")
-    stored = scratch_path(q_rows.sparkSession, "query-blocks")
-    q_rows.select("key", "vector", spread).mapInPandas(to_blocks, block_schema).write.parquet(stored)
-    q_blocks = q_rows.sparkSession.read.schema(block_schema).parquet(stored)
-    block = ["cell", "part", "query_part"]
-    slices_of = F.element_at(
-        F.create_map(*[F.lit(int(x)) for c, n in zip(at, slices) for x in (c, n)]), F.col("cell")
+    q_blocks = q_rows.select("key", "vector", spread).mapInPandas(to_blocks, block_schema)
+    numbers = F.create_map(*[F.lit(int(x)) for i, c in enumerate(at) for x in (c, first_slice[bundle[i]])])
+    counts = F.create_map(*[F.lit(int(x)) for c, n in zip(at, slices) for x in (c, n)])
+    pieces = placed.select(
+        "key", "vector",
+        (F.element_at(numbers, F.col("cell")) + F.pmod(F.xxhash64("key"), F.element_at(counts, F.col("cell")))).cast("int").alias("piece"),
     )
-    s_blocks = placed.select(
-        "key", "vector", "cell",
-        F.pmod(F.xxhash64("key"), slices_of).cast("int").alias("part"),
-    ).join(q_rows.sparkSession.read.schema(block_schema).parquet(stored).select(*block).distinct(), ["cell", "part"])
+    block, parts = ["piece", "query_part"], int(per_home.sum())
+    if parts * int(per_bundle.sum()) <= FEW_BLOCKS:
+        s_blocks = pieces.withColumn("query_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    else:
+        stored = scratch_path(spark, "query-blocks")
+        q_blocks.write.parquet(stored)
+        q_blocks = spark.read.schema(block_schema).parquet(stored)
+        s_blocks = pieces.join(spark.read.schema(block_schema).parquet(stored).select(*block).distinct(), "piece")
 
     def best(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         if q.empty or s.empty:
@@ -253,8 +282,8 @@ def nearest_neighbours(
         return _best(q, s, k, drop_self)
 
     partial = q_blocks.groupBy(*block).cogroup(s_blocks.groupBy(*block)).applyInPandas(best, out_schema)
-    order = Window.partitionBy("key").orderBy(F.desc("score"), "neighbour")
-    return partial.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    order_of = Window.partitionBy("key").orderBy(F.desc("score"), "neighbour")
+    return partial.withColumn("place", F.row_number().over(order_of)).filter(F.col("place") <= k)
 
 
 def novelty(

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegauge.operators import vector_index
+from tidegauge.operators.metric_index import MetricIndex
 from tidegauge.registry.core import query
+from tidegauge.session import scratch_path
 
 KEY, VECTOR = "vec_id", "embedding"
 
@@ -28,6 +30,42 @@ def _(m):
     return found.withColumn("score", F.round("score", 6))
 
 
+def metric_index(m, rows):
+    index = MetricIndex(m.spark, scratch_path(m.spark, "metric-index"), KEY, VECTOR)
+    index.build(rows)
+    return index
+
+
+@query("v3_metric_search", """
+    WITH seed AS (SELECT * FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings)),"""
+       + PAIRS.format(queries="seed") + """
+    SELECT s AS vec_id, label, round(score, 6) AS score FROM pairs JOIN embeddings ON s = vec_id
+    ORDER BY pairs.score DESC, s LIMIT 10""")
+def _(m):
+    """The same search on a stored index, which reads the cells that can hold a result."""
+    e = m.table("embeddings")
+    seed = e.filter(F.col(KEY) == e.agg(F.min(KEY)).scalar()).select(VECTOR).first()[0]
+    return metric_index(m, e).search(seed, 10, [KEY, "label"]).withColumn("score", F.round("score", 6))
+
+
+@query("v2_metric_upsert", """
+    WITH seed AS (SELECT * FROM embeddings WHERE vec_id = (SELECT max(vec_id) FROM embeddings)),"""
+       + PAIRS.format(queries="seed") + """
+    SELECT s AS vec_id, label, round(score, 6) AS score, (SELECT count(*) FROM embeddings) AS indexed
+    FROM pairs JOIN embeddings ON s = vec_id ORDER BY pairs.score DESC, s LIMIT 10""")
+def _(m):
+    """An index whose rows are partly missing and partly of an older state, brought up to date: changed rows are found,
+    what they replaced is not."""
+    e = m.table("embeddings")
+    older = e.filter(F.col(KEY) % 5 != 0).withColumn(VECTOR, F.when(F.col(KEY) % 3 == 0, F.reverse(VECTOR)).otherwise(F.col(VECTOR)))
+    index = metric_index(m, older)
+    for _ in range(2):  # the second run has nothing to do
+        index.upsert(e, F.col(VECTOR), F.col(KEY))
+    seed = e.filter(F.col(KEY) == e.agg(F.max(KEY)).scalar()).select(VECTOR).first()[0]
+    return index.search(seed, 10, [KEY, "label"]).withColumns(
+        {"score": F.round("score", 6), "indexed": F.lit(index.live().count())})
+
+
 @query("v4_nearest_neighbours", "WITH" + PAIRS.format(queries="embeddings") + """
     SELECT q AS key, s AS neighbour, round(score, 6) AS score,
            CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, s) AS INTEGER) AS place

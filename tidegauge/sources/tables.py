@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.model import contracts as c
+from tidegauge.session import scratch_path
 
 SCHEMAS = {
     c.BRONZE: c.BRONZE_DDL,
@@ -134,6 +135,19 @@ class Tables:
             self.read(name).createOrReplaceTempView(name)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, in whatever store it names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: worked out once, whatever is done with it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rows_to_table(spark: SparkSession, rows: list, ddl: str) -> DataFrame:
     """Driver rows (a bounded handful, such as one run's results) with an explicit schema."""
     return spark.createDataFrame(rows, ddl)
