@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,10 +43,18 @@ PARTITIONS = {
 REWRITTEN = {c.SUMMARIES}
 
 
+# Metrics are kept by the day of their batch.
+METRICS_DAY = "metric_date"
+
+
 class Tables:
     """Reads and writes the tables of one lake root.
 
-    Streaming tables are plain folders. A table that is updated keeps each state in its own
+    A table is a folder. What streams write to it stands beside that, a folder for each micro-batch
+    (:meth:`stream_path`); :meth:`close_days` puts the days that no stream adds to any more together in a
+    third place. Readers of the table see the three as one; readers of the stream follow the micro-batches.
+
+    A table that is updated keeps each state in its own
     ``v=<n>`` folder: the current one is the highest that Spark has committed (``_SUCCESS``), so a
     writer that dies half-way leaves the previous state in place and nothing that is being read is
     ever overwritten. Its leftover folder keeps its number; the next writer takes a later one. One
@@ -76,22 +87,90 @@ class Tables:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    def stream_path(self, name: str) -> str:
+        """Where the micro-batches of a stream are: ``batch=<id>`` folders, each with the table's partitions."""
+        return f"{self.root}/{name}__stream"
+
+    def _closed_path(self, name: str) -> str:
+        return f"{self.root}/{name}__closed"
+
     def exists(self, name: str) -> bool:
-        return self._there(self.path(name))
+        return self._there(self.path(name)) or self._there(self.stream_path(name))
 
     def read(self, name: str) -> DataFrame:
         """The table, with its fixed schema; empty when nothing was written yet."""
-        if not self.exists(name):
+        columns = self.spark.createDataFrame([], SCHEMAS[name]).columns
+        if name == c.METRICS:
+            return self._metrics().select(*columns)
+        at = lambda path: self.spark.read.schema(SCHEMAS[name]).parquet(path)
+        parts = [at(self.path(name))] if self._there(self.path(name)) else []
+        if self._there(self.stream_path(name)):
+            open_days, through = self._batches(name), self.closed_through(name)
+            if through is not None:
+                day = F.col(PARTITIONS[name][0])
+                open_days = open_days.filter(day.isNull() | (day > F.lit(through)))
+                parts.append(at(self._closed_path(name)).filter(day <= F.lit(through)))
+            parts.append(open_days)
+        if not parts:
             return self.spark.createDataFrame([], SCHEMAS[name])
-        df = self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
-        return df.select(*self.spark.createDataFrame([], SCHEMAS[name]).columns)
+        return reduce(DataFrame.unionAll, [p.select(*columns) for p in parts])
+
+    def _batches(self, name: str) -> DataFrame:
+        return self.spark.read.schema(f"{SCHEMAS[name]}, batch BIGINT").parquet(self.stream_path(name))
 
     def stream(self, name: str, max_files: int | None = None) -> DataFrame:
-        """New rows of an append-only table as they are committed."""
-        reader = self.spark.readStream.schema(SCHEMAS[name])
+        """New rows of a streamed table, or of an append-only one, as they are committed."""
+        batched = self._there(self.stream_path(name))
+        reader = self.spark.readStream.schema(f"{SCHEMAS[name]}, batch BIGINT" if batched else SCHEMAS[name])
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.path(name))
+        return reader.parquet(self.stream_path(name)).drop("batch") if batched else reader.parquet(self.path(name))
+
+    def write_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
+        """Store one micro-batch, once: a batch that is committed stays, one that was cut short is written anew. Rows are
+        dealt by the table's partitions, so a partition gets one file, or several of a bounded size."""
+        folder = f"{self.stream_path(name)}/batch={batch_id}"
+        if self._there(f"{folder}/_SUCCESS"):
+            return
+        parts, session = PARTITIONS[name], df.sparkSession
+        adaptive = session.conf.get("spark.sql.adaptive.enabled")
+        # the session of a stream plans without adaptive execution, which its state needs; a write has no state
+        session.conf.set("spark.sql.adaptive.enabled", "true")
+        try:
+            df.hint("rebalance", *map(F.col, parts)).write.mode("overwrite").partitionBy(*parts).parquet(folder)
+        finally:
+            session.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+    def closed_through(self, name: str) -> date | None:
+        """The last day of a streamed table that is put together."""
+        found = self._fs.globStatus(self._path(f"{self._closed_path(name)}/_through/*")) or []
+        return max([date.fromisoformat(s.getPath().getName()) for s in found], default=None)
+
+    def close_days(self, name: str, through: date) -> date | None:
+        """Put the days up to ``through`` together, a few large files each, and drop what an earlier run has put together
+        from the stream's folders. Streams must be done with these days, in and out. A run that is cut short changes nothing
+        that readers see, and the next one does its work again. Returns the last day that is closed."""
+        day, done = PARTITIONS[name][0], self.closed_through(name)
+        if not self._there(self.stream_path(name)):
+            return done
+        if done is not None:
+            self._drop_days(name, done)
+        if done is not None and through <= done:
+            return done
+        rows = self._batches(name).filter(F.col(day) <= F.lit(through))
+        rows = rows if done is None else rows.filter(F.col(day) > F.lit(done))
+        rows.drop("batch").hint("rebalance", *map(F.col, PARTITIONS[name])).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS[name]).parquet(self._closed_path(name))
+        # from here on readers take these days from the closed place
+        self._fs.create(self._path(f"{self._closed_path(name)}/_through/{through.isoformat()}"), True).close()
+        return through
+
+    def _drop_days(self, name: str, through: date) -> None:
+        day = PARTITIONS[name][0]
+        for s in self._fs.globStatus(self._path(f"{self.stream_path(name)}/batch=*/{day}=*")) or []:
+            value = s.getPath().getName().split("=", 1)[1]
+            if value[:4].isdigit() and date.fromisoformat(value) <= through:
+                self._fs.delete(s.getPath(), True)
 
     def append(self, name: str, df: DataFrame) -> None:
         parts = PARTITIONS.get(name, ())
@@ -114,10 +193,25 @@ class Tables:
         """Publish ``df`` as the next state of an updated table."""
         df.write.mode("errorifexists").parquet(f"{self.root}/{name}/v={max(self._folders(name), default=0) + 1}")
 
-    def put_batch(self, name: str, rows: list, flow: str, batch_id: int) -> None:
-        """Store the few rows of one micro-batch; the same batch again replaces them."""
-        df = self.spark.createDataFrame(rows, SCHEMAS[name]).drop("flow", "batch_id").coalesce(1)
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/flow={flow}/batch_id={batch_id}")
+    def append_metrics(self, rows: list) -> None:
+        """Store what some micro-batches have counted; a batch that is repeated is stored again, and counts as it was last."""
+        df = self.spark.createDataFrame(rows, SCHEMAS[c.METRICS]).withColumn(METRICS_DAY, F.to_date("at")).coalesce(1)
+        df.write.mode("append").partitionBy(METRICS_DAY).parquet(self.path(c.METRICS))
+
+    def _metrics(self) -> DataFrame:
+        """The last report of each batch, with its day."""
+        if not self._there(self.path(c.METRICS)):
+            return self.spark.createDataFrame([], f"{SCHEMAS[c.METRICS]}, {METRICS_DAY} DATE")
+        stored = self.spark.read.schema(f"{SCHEMAS[c.METRICS]}, {METRICS_DAY} DATE").parquet(self.path(c.METRICS))
+        last = F.max_by(F.struct("passed", "failed", "at", METRICS_DAY), "at").alias("last")
+        return stored.groupBy("flow", "batch_id", "expectation", "kind").agg(last).select(
+            "flow", "batch_id", "expectation", "kind", "last.*")
+
+    def compact_metrics(self, before: date) -> None:
+        """One file for each day before ``before``, with the last report of each batch."""
+        old = self._metrics().filter(F.col(METRICS_DAY) < F.lit(before))
+        old.hint("rebalance", F.col(METRICS_DAY)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(METRICS_DAY).parquet(self.path(c.METRICS))
 
     def drop_old(self, name: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` committed states of an updated table (and stale leftovers)."""

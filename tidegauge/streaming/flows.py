@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import time
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
@@ -16,7 +17,7 @@ from tidegauge.operators import quality
 from tidegauge.operators.parse import parse_events
 from tidegauge.operators.windows import page_metrics, sliding_page_metrics
 from tidegauge.sources.landing import bronze_stream
-from tidegauge.sources.tables import PARTITIONS, Tables
+from tidegauge.sources.tables import Tables
 
 OBSERVED = "silver_expectations"
 LATE = "within_watermark"
@@ -103,16 +104,33 @@ def start(
     return writer.trigger(**trigger).start()
 
 
+def start_batches(
+    df: DataFrame, tables: Tables, table: str, every: str | None = None, name: str | None = None
+) -> StreamingQuery:
+    """Append a stream to a table of the lake, one folder for each micro-batch (:meth:`Tables.write_batch`): a batch that
+    is run again after a failure is stored once, and a partition gets one file of each batch and not one of each task."""
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", tables.checkpoint(table))
+    writer = writer.foreachBatch(lambda batch, n: tables.write_batch(table, batch, n))
+    if name:
+        writer = writer.queryName(name)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
 class BatchMetrics(StreamingQueryListener):
-    """Stores the outcome of every micro-batch as it ends: the expectations counted on the way, and the rows
-    dropped behind the watermark. Each batch of a flow has a partition of its own, which a repeated batch
-    overwrites, so nothing is lost or counted twice however many batches a run has."""
+    """Stores the outcome of every micro-batch: the expectations counted on the way, and the rows dropped behind the
+    watermark. Outcomes are gathered and appended together, after ``flush_seconds`` and whenever a query ends, so a
+    day of short batches is some hundred files; what a driver that dies has not stored yet is lost with it. A batch that
+    is repeated counts as it was last."""
 
-    def __init__(self, tables: Tables, expectations=quality.SILVER_EXPECTATIONS):
-        self.tables, self.expectations = tables, expectations
+    def __init__(self, tables: Tables, expectations=quality.SILVER_EXPECTATIONS, flush_seconds: float = 60):
+        self.tables, self.expectations, self.flush_seconds = tables, expectations, flush_seconds
         self.flows: dict[str, str] = {}
         self.ended: dict[str, threading.Event] = {}
-        self.problems: list[str] = []
+        self.problems: dict[str, list[str]] = {}
+        self.waiting: list[tuple] = []
+        self.flushed = time.monotonic()
+        self.lock = threading.Lock()
 
     def name_for(self, flow: str) -> str:
         """A query name under which the batches of ``flow`` are recognised."""
@@ -128,19 +146,24 @@ class BatchMetrics(StreamingQueryListener):
         p = event.progress
         if p.name not in self.flows:
             return
-        try:
-            self.store(self.flows[p.name], p)
-        except Exception as e:  # a listener must not raise; the run that waits for it does
-            self.problems.append(f"{self.flows[p.name]} batch {p.batchId}: {e}")
+        self.guarded(p.name, lambda: self.gather(self.flows[p.name], p))
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         if str(event.runId) in self.ended:
+            self.guarded("", self.flush)
             self.ended[str(event.runId)].set()
 
-    def store(self, flow: str, p) -> None:
+    def guarded(self, name: str, step) -> None:
+        """A listener must not raise; the run that waits for it does."""
+        try:
+            step()
+        except Exception as e:
+            self.problems.setdefault(name, []).append(f"{self.flows.get(name, 'metrics')}: {e}")
+
+    def gather(self, flow: str, p) -> None:
         at = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))
         rows, seen = [], (p.observedMetrics or {}).get(OBSERVED)
         if seen is not None:
@@ -152,15 +175,30 @@ class BatchMetrics(StreamingQueryListener):
         if p.stateOperators:
             late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
             rows.append((flow, p.batchId, LATE, "late", max(p.numInputRows - late, 0), late, at))
-        if rows:
-            self.tables.put_batch(c.METRICS, rows, flow, p.batchId)
+        with self.lock:
+            self.waiting += rows
+        if time.monotonic() - self.flushed >= self.flush_seconds:
+            self.flush()
+
+    def flush(self) -> None:
+        """Store what is gathered."""
+        with self.lock:
+            rows, self.waiting, self.flushed = self.waiting, [], time.monotonic()
+        try:
+            if rows:
+                self.tables.append_metrics(rows)
+        except Exception:
+            with self.lock:
+                self.waiting = rows + self.waiting
+            raise
 
     def wait(self, query: StreamingQuery, seconds: float = 120) -> None:
-        """Until everything a stopped query reported is stored."""
+        """Until everything a stopped query reported is stored. Raises what went wrong with its own reports, once."""
         if not self.ended[str(query.runId)].wait(seconds):
             raise TimeoutError("the listener did not see the end of the query")
-        if self.problems:
-            raise RuntimeError("; ".join(self.problems))
+        own = self.problems.pop(query.name, []) + self.problems.pop("", [])
+        if own:
+            raise RuntimeError("; ".join(own))
 
 
 def late_rows(metrics: DataFrame) -> DataFrame:
@@ -198,11 +236,11 @@ class Medallion:
 
     def start(self, name: str, every: str | None = None) -> StreamingQuery:
         t = self.tables
-        known = self.metrics.name_for(name)
-        return start(self._flow(name), t.path(name), t.checkpoint(name), PARTITIONS[name], every, known)
+        return start_batches(self._flow(name), t, name, every, self.metrics.name_for(name))
 
     def close(self) -> None:
         """No longer store metrics of this lake's queries."""
+        self.metrics.flush()
         self.tables.spark.streams.removeListener(self.metrics)
 
     def catch_up(self, sliding: bool = False) -> dict[str, StreamingQuery]:
