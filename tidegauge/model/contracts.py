@@ -42,6 +42,11 @@ BASELINE_DDL = (
     "mean_unique_editors DOUBLE, mean_total_byte_delta DOUBLE, data_from TIMESTAMP, data_through TIMESTAMP, "
     "baseline_date DATE, computed_at TIMESTAMP, lookback_days INT"
 )
+MOMENTS_DDL = (
+    "title STRING, namespace INT, window_date DATE, window_count BIGINT, mean_edit_count DOUBLE, "
+    "squared_deviations DOUBLE, editor_windows BIGINT, editors BIGINT, delta_windows BIGINT, byte_delta BIGINT, "
+    "data_from TIMESTAMP, data_through TIMESTAMP"
+)
 FLAGS_DDL = (
     "title STRING, namespace INT, window_start TIMESTAMP, window_end TIMESTAMP, edit_count BIGINT, "
     "unique_editors BIGINT, total_byte_delta BIGINT, baseline_mean DOUBLE, baseline_stddev DOUBLE, "
@@ -62,6 +67,7 @@ QUARANTINE = "silver_recentchange_quarantine"
 GOLD_5MIN = "gold_page_edits_5min"
 GOLD_15MIN = "gold_page_edits_15min"
 BASELINE = "gold_page_edits_baseline"
+MOMENTS = "gold_page_edits_daily_moments"
 FLAGS = "gold_anomaly_flags"
 SUMMARIES = "gold_anomaly_summaries"
 INDEX = "gold_anomaly_summaries_index"
@@ -80,5 +86,6 @@ MAX_PAGES_PER_RUN = 20
 MAX_COMMENTS = 25
 COOLDOWN_MINUTES = 0
 NOVELTY_THRESHOLD = 0.75
+SETTLE_MINUTES = 30
 RETENTION_DAYS = 1
 FLUSH_SECONDS = 60

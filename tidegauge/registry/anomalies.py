@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tidegauge.model import contracts as c
 from tidegauge.operators import anomaly, baseline, summaries, windows
-from tidegauge.plans import alerts, checks, served
+from tidegauge.plans import alerts, checks, jobs, served
 from tidegauge.registry.core import HOUR, query
+from tidegauge.session import scratch_path
+from tidegauge.sources.tables import Tables
 
 # ------------------------------------------------------------------ which keys surged
 
@@ -62,6 +67,27 @@ def _(m):
     return rounded(baseline.rolling_baseline(m.gold, m.as_of, lookback_days=7))
 
 
+@query("a4_incremental_baseline", """
+    WITH recent AS (SELECT gold.* FROM gold, clock WHERE window_start >= t - INTERVAL 7 DAY)
+    SELECT title, namespace, count(*) AS window_count, round(avg(edit_count), 6) AS mean_edit_count,
+           round(stddev_samp(edit_count), 6) AS stddev_edit_count,
+           round(avg(unique_editors), 6) AS mean_unique_editors,
+           round(avg(total_byte_delta), 6) AS mean_total_byte_delta,
+           min(window_start) AS data_from, max(window_start) AS data_through,
+           (SELECT CAST(t AS DATE) FROM clock) AS baseline_date
+    FROM recent GROUP BY 1, 2 HAVING count(*) >= 10""")
+def _(m):
+    """Daily runs over stored windows: each merges the moments of settled days with the days that are open."""
+    tables = Tables(m.spark, scratch_path(m.spark, "moments"))
+    zoned = {n: F.col(n).cast("timestamp") for n in ("window_start", "window_end")}
+    tables.append(c.GOLD_5MIN, m.gold.withColumns(zoned))
+    last = m.spark.range(1).select(m.as_of.cast("timestamp").alias("at")).first()["at"]
+    for days_ago in (2, 0):
+        jobs.run_baseline_incremental(tables, last - timedelta(days=days_ago), lookback_days=7)
+    found = tables.read(c.BASELINE).filter(F.col("baseline_date") == F.lit(last.date()))
+    return rounded(found).drop("computed_at", "lookback_days")
+
+
 @query("a4_baseline_history", BASELINE_SQL + " FROM baseline")
 def _(m):
     return rounded(m.baseline)

@@ -21,6 +21,7 @@ SCHEMAS = {
         "edit_count BIGINT, unique_editors BIGINT, total_byte_delta BIGINT"
     ),
     c.BASELINE: c.BASELINE_DDL,
+    c.MOMENTS: c.MOMENTS_DDL,
     c.FLAGS: c.FLAGS_DDL,
     c.SUMMARIES: c.SUMMARIES_DDL,
     c.INDEX: (
@@ -37,6 +38,7 @@ PARTITIONS = {
     c.GOLD_5MIN: ("window_date",),
     c.GOLD_15MIN: ("window_date",),
     c.BASELINE: ("baseline_date",),
+    c.MOMENTS: ("window_date",),
 }
 
 # The table whose rows are changed by a maintenance run; each rewrite is a new folder.
@@ -189,6 +191,12 @@ class Tables:
             .parquet(self.path(name))
         )
 
+    def days(self, name: str) -> list[date]:
+        """The days of which a table has a partition, from the folders alone."""
+        found = self._fs.globStatus(self._path(f"{self.path(name)}/{PARTITIONS[name][0]}=*")) or []
+        values = (s.getPath().getName().split("=", 1)[1] for s in found)
+        return sorted(date.fromisoformat(v) for v in values if v[:4].isdigit())
+
     def rewrite(self, name: str, df: DataFrame) -> None:
         """Publish ``df`` as the next state of an updated table."""
         df.write.mode("errorifexists").parquet(f"{self.root}/{name}/v={max(self._folders(name), default=0) + 1}")
