@@ -37,6 +37,10 @@ GOLD_DDL = (
     "edit_count BIGINT, unique_editors BIGINT, total_byte_delta BIGINT, avg_byte_delta DOUBLE, "
     "max_byte_delta INT, minor_edit_count BIGINT"
 )
+PANES_DDL = (
+    "pane_start TIMESTAMP, pane_date DATE, title STRING, namespace INT, edit_count BIGINT, editors_sketch BINARY, "
+    "byte_windows BIGINT, total_byte_delta BIGINT, max_byte_delta INT, minor_edit_count BIGINT"
+)
 BASELINE_DDL = (
     "title STRING, namespace INT, window_count BIGINT, mean_edit_count DOUBLE, stddev_edit_count DOUBLE, "
     "mean_unique_editors DOUBLE, mean_total_byte_delta DOUBLE, data_from TIMESTAMP, data_through TIMESTAMP, "
@@ -66,6 +70,7 @@ SILVER = "silver_recentchange_enwiki"
 QUARANTINE = "silver_recentchange_quarantine"
 GOLD_5MIN = "gold_page_edits_5min"
 GOLD_15MIN = "gold_page_edits_15min"
+PANES = "gold_page_edits_panes"
 BASELINE = "gold_page_edits_baseline"
 MOMENTS = "gold_page_edits_daily_moments"
 FLAGS = "gold_anomaly_flags"

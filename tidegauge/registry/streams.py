@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.model import contracts as c
 from tidegauge.operators import quality
+from tidegauge.operators.panes import page_activity, page_panes, windows_of_panes
 from tidegauge.operators.windows import page_metrics, sliding_page_metrics
 from tidegauge.plans.served import stacked
 from tidegauge.registry.content import TEST_EXPECTATIONS
@@ -148,6 +149,31 @@ def _(m):
     return run(m, windows, "sliding").select("window_start", "title", "namespace", "edit_count", "total_byte_delta")
 
 
+@query("t4_windows_of_panes", """
+    SELECT s AS window_start, title, namespace, count(*) AS edit_count, count(DISTINCT "user") AS unique_editors,
+           CAST(sum(byte_delta) AS BIGINT) AS total_byte_delta
+    FROM (SELECT *, unnest(generate_series(time_bucket(INTERVAL 1 MINUTE, event_timestamp) - INTERVAL 14 MINUTE,
+                                           time_bucket(INTERVAL 1 MINUTE, event_timestamp), INTERVAL 1 MINUTE)) AS s
+          FROM silver
+          WHERE time_bucket(INTERVAL 1 MINUTE, event_timestamp) + INTERVAL 1 MINUTE
+                <= (SELECT max(event_timestamp) FROM silver) - INTERVAL 10 MINUTE) GROUP BY ALL""")
+def _(m):
+    """Panes from a stream, each minute and page once; sliding windows merged from them."""
+    panes = run(m, page_panes(silver_stream(m).withWatermark("event_timestamp", c.WATERMARK)), "panes")
+    return windows_of_panes(panes, 15, 1).select(
+        "window_start", "title", "namespace", "edit_count", "unique_editors", "total_byte_delta")
+
+
+@query("a15_page_activity", """
+    SELECT title, count(*) AS edit_count, count(DISTINCT "user") AS unique_editors,
+           CAST(sum(byte_delta) AS BIGINT) AS total_byte_delta FROM silver, clock
+    WHERE time_bucket(INTERVAL 1 MINUTE, event_timestamp) >= t - INTERVAL 7 DAY GROUP BY 1""")
+def _(m):
+    """Editors of a week per page, each once, from the panes."""
+    return page_activity(page_panes(m.silver), m.as_of, "7 DAYS", None).select(
+        "title", "edit_count", "unique_editors", "total_byte_delta")
+
+
 @query("t6_medallion", """
     SELECT 'bronze' AS layer, count(*) AS n, 0 AS bytes FROM bronze
     UNION ALL SELECT 'silver', count(*), CAST(sum(byte_delta) AS BIGINT) FROM silver

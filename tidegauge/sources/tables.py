@@ -21,6 +21,7 @@ SCHEMAS = {
         "edit_count BIGINT, unique_editors BIGINT, total_byte_delta BIGINT"
     ),
     c.BASELINE: c.BASELINE_DDL,
+    c.PANES: c.PANES_DDL,
     c.MOMENTS: c.MOMENTS_DDL,
     c.FLAGS: c.FLAGS_DDL,
     c.SUMMARIES: c.SUMMARIES_DDL,
@@ -38,6 +39,7 @@ PARTITIONS = {
     c.GOLD_5MIN: ("window_date",),
     c.GOLD_15MIN: ("window_date",),
     c.BASELINE: ("baseline_date",),
+    c.PANES: ("pane_date",),
     c.MOMENTS: ("window_date",),
 }
 

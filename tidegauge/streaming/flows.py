@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidegauge.model import contracts as c
 from tidegauge.operators import quality
+from tidegauge.operators.panes import page_panes
 from tidegauge.operators.parse import parse_events
 from tidegauge.operators.windows import page_metrics, sliding_page_metrics
 from tidegauge.sources.landing import bronze_stream
@@ -79,6 +80,11 @@ def gold_sliding_flow(silver: DataFrame, watermark: str = c.WATERMARK) -> DataFr
     return sliding_page_metrics(silver.withWatermark("event_timestamp", watermark))
 
 
+def panes_flow(silver: DataFrame, watermark: str = c.WATERMARK) -> DataFrame:
+    """Minutes of each page, written once the watermark has passed them; longer windows are merged from the table."""
+    return page_panes(silver.withWatermark("event_timestamp", watermark))
+
+
 def closed(windows: DataFrame, latest, watermark: str = c.WATERMARK) -> DataFrame:
     """The windows of a batch result that a stream would have written by event time ``latest``."""
     return windows.filter(F.col("window_end") <= latest - F.expr(f"INTERVAL {watermark}"))
@@ -232,6 +238,8 @@ class Medallion:
             return gold_flow(t.stream(c.SILVER, n))
         if name == c.GOLD_15MIN:
             return gold_sliding_flow(t.stream(c.SILVER, n))
+        if name == c.PANES:
+            return panes_flow(t.stream(c.SILVER, n))
         raise ValueError(name)
 
     def start(self, name: str, every: str | None = None) -> StreamingQuery:
@@ -243,10 +251,10 @@ class Medallion:
         self.metrics.flush()
         self.tables.spark.streams.removeListener(self.metrics)
 
-    def catch_up(self, sliding: bool = False) -> dict[str, StreamingQuery]:
+    def catch_up(self, sliding: bool = False, panes: bool = False) -> dict[str, StreamingQuery]:
         """Scheduled execution: work off everything landed so far, layer after layer, then stop."""
         done: dict[str, StreamingQuery] = {}
-        golds = [c.GOLD_5MIN] + ([c.GOLD_15MIN] if sliding else [])
+        golds = [c.GOLD_5MIN] + ([c.GOLD_15MIN] if sliding else []) + ([c.PANES] if panes else [])
         for layer in ([c.BRONZE], [c.SILVER, c.QUARANTINE], golds):
             running = {name: self.start(name) for name in layer}
             for q in running.values():
@@ -255,8 +263,9 @@ class Medallion:
             done |= running
         return done
 
-    def start_all(self, every: str = "30 seconds", sliding: bool = False) -> dict[str, StreamingQuery]:
+    def start_all(self, every: str = "30 seconds", sliding: bool = False, panes: bool = False) -> dict[str, StreamingQuery]:
         """Continuous execution: every layer at once. The folders must exist before they are streamed,
         so run :meth:`catch_up` once first."""
         names = [c.BRONZE, c.SILVER, c.QUARANTINE, c.GOLD_5MIN] + ([c.GOLD_15MIN] if sliding else [])
+        names += [c.PANES] if panes else []
         return {name: self.start(name, every) for name in names}
