@@ -108,3 +108,59 @@ def test_newest_version_of_an_id_is_indexed(spark):
     one = summaries(spark, "old text")
     two = one.withColumn("summary", F.lit("new text")).withColumn("generated_at", F.lit("2024-02-01").cast("timestamp"))
     assert rows(v.index_additions(one.unionByName(two)), "summary") == [("new text",)]
+
+
+PROSE = "the committee met on {a} to discuss the {b} of the {c} and after the debate the members of the house voted for the {b}"
+
+
+def texts(spark):
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
+    rows_ = [(f"s{i}", "t", 1.0, " ".join([PROSE.format(a=word(), b=word(), c=word()), *(word() for _ in range(12))]), None) for i in range(60)]
+    near = rows_[0][3].split()
+    near[20] = "changed"
+    rows_.append(("near", "t", 1.0, " ".join(near), None))
+    return spark.createDataFrame(rows_, "id string, title string, z_score double, summary string, generated_at timestamp")
+
+
+def test_weights_tell_unrelated_texts_of_one_language_from_copies(spark):
+    index = v.embed(texts(spark)).cache()
+    parts = [v.slot_frequencies(index.filter(cond)) for cond in ("id < 's3'", "id >= 's3'")]
+    weights = v.word_weights(parts[0].unionByName(parts[1]))
+    assert weights == v.word_weights(v.slot_frequencies(index)) and len(weights) == v.DIMENSIONS
+    assert min(weights) == 0.0 and v.word_weights(spark.createDataFrame([], "slot int, texts bigint"))[:2] == [1.0, 1.0]
+    plain = {r.id: r.score for r in v.novelty(index, index).collect()}
+    told = {r.id: (r.is_novel, r.score) for r in v.novelty(index, index, weights=weights).collect()}
+    assert not told["near"][0] and not told["s0"][0] and told["near"][1] > 0.8
+    rest = [k for k in told if k not in ("near", "s0")]
+    assert all(told[k][0] and told[k][1] < 0.5 for k in rest)
+    assert min(plain[k] for k in rest) > 0.4  # without weights the common words make all alike
+    phrase = " ".join(texts(spark).filter("id = 's7'").first().summary.split()[-4:]) + " the of and"
+    assert v.search_text(index, phrase, 1, ["id"], weights).first().id == "s7"
+    index.unpersist()
+
+
+def test_embedding_damps_repeats_and_keeps_empty_texts(spark):
+    df = spark.createDataFrame([("a a a a b",), ("a b",), ("",), (None,)], "summary string")
+    got = [np.array(r.embedding) for r in v.embed(df).collect()]
+    assert [round(float(np.linalg.norm(x)), 5) for x in got] == [1, 1, 0, 0] and all(len(x) == v.DIMENSIONS for x in got)
+    assert sorted(got[0][got[0] > 0].tolist()) == pytest.approx(sorted([(1 + np.log(4)) / np.hypot(1 + np.log(4), 1), 1 / np.hypot(1 + np.log(4), 1)]), abs=1e-6)
+
+
+def test_rewritten_summaries_replace_indexed_ones(spark):
+    schema = "id string, title string, z_score double, summary string, generated_at timestamp"
+    at = lambda day: f"2024-01-{day:02} 00:00:00"
+
+    def table(*rows_):
+        return spark.createDataFrame([(i, "t", 1.0, s, d) for i, s, d in rows_], schema.replace("timestamp", "string")).withColumn(
+            "generated_at", F.col("generated_at").cast("timestamp"))
+
+    stored = v.index_additions(table(("a", "one", at(1)), ("b", "two", at(1)), ("c", "three", None)))
+    later = table(("a", "one", at(1)), ("a", "one again", at(3)), ("b", "older", at(1)), ("c", "dated", at(2)), ("d", "new", None))
+    more = v.index_additions(later, stored)
+    assert rows(more, "id", "summary") == [("a", "one again"), ("c", "dated"), ("d", "new")]
+    now = v.current_index(stored.unionByName(more))
+    assert rows(now, "id", "summary") == [("a", "one again"), ("b", "two"), ("c", "dated"), ("d", "new")]
+    assert v.index_additions(later, stored.unionByName(more)).count() == 0
+    back = v.index_additions(table(("a", "one", at(5))), stored.unionByName(more))
+    assert rows(back, "id", "summary") == [("a", "one")]  # back to an earlier text

@@ -60,6 +60,7 @@ SUMMARIES_DDL = (
     "title STRING, window_start TIMESTAMP, z_score DOUBLE, edit_count BIGINT, summary STRING, "
     "searches_used BIGINT, model_used STRING, generated_at TIMESTAMP, id STRING"
 )
+FREQUENCIES_DDL = "slot INT, texts BIGINT"
 METRICS_DDL = (
     "flow STRING, batch_id BIGINT, expectation STRING, kind STRING, passed BIGINT, failed BIGINT, at TIMESTAMP"
 )
@@ -76,6 +77,7 @@ MOMENTS = "gold_page_edits_daily_moments"
 FLAGS = "gold_anomaly_flags"
 SUMMARIES = "gold_anomaly_summaries"
 INDEX = "gold_anomaly_summaries_index"
+FREQUENCIES = "gold_anomaly_index_frequencies"
 METRICS = "expectation_metrics"
 
 # --- Fixed values: default constants.

@@ -7,51 +7,100 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.vectors import cosine
+from tidegauge.functions.vectors import cosine, norm
 from tidegauge.model.contracts import NOVELTY_THRESHOLD
 from tidegauge.session import scratch_path
 
-DIMENSIONS = 256
+DIMENSIONS = 1024
 INDEX_COLUMNS = ("id", "title", "z_score", "summary", "generated_at", "embedding")
 RETURN_COLUMNS = ("id", "title", "z_score", "summary", "generated_at")
 SCORE_DIGITS = 9  # scores are compared at this precision, so equal vectors tie and the id decides
 
 
 def embed(df: DataFrame, text: str = "summary", dimensions: int = DIMENSIONS) -> DataFrame:
-    """Add ``embedding``: the unit vector of hashed word counts of the whole text.
+    """Add ``embedding``: the unit vector of hashed words of the whole text, each at 1 + ln(count).
 
-    It has no fitted state, so rows embedded in different runs, and queries, are comparable.
+    It has no fitted state, so rows embedded in different runs, and queries, are comparable. How much a word tells is
+    known from all texts, and applied where vectors are compared: see :func:`word_weights`.
     """
     words = RegexTokenizer(inputCol="text__", outputCol="words__", pattern=r"[^\p{L}\p{N}]+")
     counts = HashingTF(inputCol="words__", outputCol="counts__", numFeatures=dimensions)
-    unit = Normalizer(inputCol="counts__", outputCol="unit__", p=2.0)
     out = df.withColumn("text__", F.coalesce(F.col(text), F.lit("")))
-    for stage in (words, counts, unit):
+    for stage in (words, counts):
         out = stage.transform(out)
-    return out.withColumn("embedding", vector_to_array("unit__", "float32")).drop(
-        "text__", "words__", "counts__", "unit__"
-    )
+    damped = F.transform(vector_to_array("counts__"), lambda x: F.when(x > 0, 1 + F.ln(x)).otherwise(F.lit(0.0)))
+    return out.withColumn("embedding", unit(damped).cast("array<float>")).drop("text__", "words__", "counts__")
+
+
+def unit(vector: Column) -> Column:
+    """``vector`` at length one, or as it is where it has none."""
+    length = norm(vector)
+    return F.transform(vector, lambda x: x / F.when(length > 0, length).otherwise(F.lit(1.0)))
+
+
+# The number of texts stands in the frequency table under this slot.
+ALL_TEXTS = -1
+
+
+def slot_frequencies(embedded: DataFrame, vector: str = "embedding") -> DataFrame:
+    """(slot, texts): in how many rows each slot of the vectors is not zero, and the number of rows. Tables of several
+    batches are added up slot by slot, so the table grows with the index and is never fitted anew."""
+    used = F.filter(F.transform(vector, lambda x, i: F.when(x != 0, i).otherwise(F.lit(ALL_TEXTS))), lambda i: i >= 0)
+    slots = embedded.select(F.explode(F.concat(used, F.array(F.lit(ALL_TEXTS)))).alias("slot"))
+    return slots.groupBy("slot").agg(F.count("*").alias("texts"))
+
+
+def word_weights(frequencies: DataFrame, dimensions: int = DIMENSIONS) -> list[float]:
+    """ln((1 + texts) / (1 + texts with the slot)) of each slot, from one or more :func:`slot_frequencies`: a word of every
+    text weighs nothing, one that no text had yet the most. Without any text all weigh the same."""
+    told = {r.slot: r.n for r in frequencies.groupBy("slot").agg(F.sum("texts").alias("n")).collect()}  # a row per slot
+    n = told.get(ALL_TEXTS, 0)
+    return [math.log((1 + n) / (1 + told.get(k, 0))) if n else 1.0 for k in range(dimensions)]
+
+
+def weighted(df: DataFrame, weights: Sequence[float] | None, vector: str = "embedding") -> DataFrame:
+    """``df`` with the slots of ``vector`` multiplied by ``weights``. Stored vectors stay as they are, so a change of the
+    weights needs no new embedding."""
+    if weights is None:
+        return df
+    return df.withColumn(vector, F.zip_with(F.col(vector), F.lit([float(w) for w in weights]), lambda x, w: (x * w).cast("float")))
+
+
+def _moment() -> Column:
+    """When a row was generated; an undated one is older than any other."""
+    return F.coalesce("generated_at", F.lit("0001-01-01").cast("timestamp"))
 
 
 def latest_per_id(summaries: DataFrame) -> DataFrame:
     """One row per id, the last generated; combined before the shuffle."""
     rest = [c for c in summaries.columns if c != "id"]
-    at = F.coalesce("generated_at", F.lit("0001-01-01").cast("timestamp"))  # an undated row is older than any other
-    newest = F.max_by(F.struct(*rest), at).alias("row")
+    newest = F.max_by(F.struct(*rest), _moment()).alias("row")
     return summaries.groupBy("id").agg(newest).select("id", "row.*")
 
 
 def index_additions(summaries: DataFrame, index: DataFrame | None = None) -> DataFrame:
-    """Index rows for the summaries not yet indexed; only those are grouped by id and embedded."""
+    """Index rows for the summaries that are new or newer than what the index holds of their id; only those are grouped by
+    id and embedded. The index is appended to: :func:`current_index` tells the rows that count."""
     fresh = summaries.select(*RETURN_COLUMNS)
     if index is not None:
-        fresh = fresh.join(index.select("id"), "id", "left_anti")
-    return embed(latest_per_id(fresh)).select(*INDEX_COLUMNS)
+        told = F.xxhash64("summary", "generated_at").alias("told")  # NULLs count as a value
+        fresh = fresh.select("*", told).join(index.select("id", told), ["id", "told"], "left_anti").drop("told")
+    newest = latest_per_id(fresh)
+    if index is not None:
+        held = index.select("id", _moment().alias("at")).join(newest.select("id"), "id", "left_semi")
+        newest = newest.join(held.groupBy("id").agg(F.max("at").alias("held_at")), "id", "left").filter(
+            F.col("held_at").isNull() | (_moment() > F.col("held_at"))).drop("held_at")
+    return embed(newest).select(*INDEX_COLUMNS)
+
+
+def current_index(index: DataFrame) -> DataFrame:
+    """The newest row of each id: what a rewritten summary replaced is not found any more."""
+    return latest_per_id(index).select(*index.columns)
 
 
 def similarity_search(
@@ -75,11 +124,13 @@ def similarity_search(
     )
 
 
-def search_text(index: DataFrame, text: str, k: int = 10, columns: Sequence[str] = RETURN_COLUMNS) -> DataFrame:
-    """Search by the meaning of a phrase: embedded the same way as the rows."""
+def search_text(
+    index: DataFrame, text: str, k: int = 10, columns: Sequence[str] = RETURN_COLUMNS, weights: Sequence[float] | None = None
+) -> DataFrame:
+    """Search by the words of a phrase: embedded the same way as the rows, and weighted like them."""
     spark = SparkSession.active()
-    phrase = embed(spark.createDataFrame([(text,)], "summary string")).select("embedding")
-    return similarity_search(index, phrase.scalar(), k, columns)
+    phrase = weighted(embed(spark.createDataFrame([(text,)], "summary string")).select("embedding"), weights)
+    return similarity_search(weighted(index, weights), phrase.scalar(), k, columns)
 
 
 def related_events(
@@ -293,14 +344,15 @@ def novelty(
     key: str = "id",
     vector: str = "embedding",
     show: Sequence[str] = (),
+    weights: Sequence[float] | None = None,
 ) -> DataFrame:
     """Whether each query is news: (key, is_novel, score, neighbour), and the neighbour's ``show`` columns
     as ``neighbour_<column>``.
 
     The closest indexed row other than itself decides; a query with no other row is novel, with a
-    NULL score.
+    NULL score. ``weights`` (:func:`word_weights`) say how much the slots of the vectors tell.
     """
-    closest = nearest_neighbours(queries, index, 1, key, vector, drop_self=True).select(
+    closest = nearest_neighbours(weighted(queries, weights, vector), weighted(index, weights, vector), 1, key, vector, drop_self=True).select(
         F.col("key").alias(key), "score", "neighbour"
     )
     told = queries.select(key).join(closest, key, "left").select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegauge.model import contracts as c
 from tidegauge.operators import anomaly, baseline, summaries, vector_index
 from tidegauge.session import scratch_path
-from tidegauge.sources.tables import Tables
+from tidegauge.sources.tables import Tables, written
 
 
 def _clock(as_of: datetime | None) -> datetime:
@@ -95,6 +95,22 @@ def backfill_ids(tables: Tables) -> None:
 
 
 def run_index_sync(tables: Tables) -> None:
-    """Embed and append the summaries the index does not hold yet."""
+    """Embed and append the summaries that are new or rewritten, and add their words to the frequency table. The new rows
+    are worked out once; words of rows that a lost run has counted and not appended are counted again, which moves
+    weights a little and no result but scores."""
     known = tables.read(c.INDEX) if tables.exists(c.INDEX) else None
-    tables.append(c.INDEX, vector_index.index_additions(tables.read(c.SUMMARIES), known))
+    fresh = written(vector_index.index_additions(tables.read(c.SUMMARIES), known), "index-additions")
+    if known is not None and fresh.isEmpty():
+        return
+    tables.append(c.FREQUENCIES, vector_index.slot_frequencies(fresh).coalesce(1))
+    tables.append(c.INDEX, fresh)
+
+
+def index(tables: Tables) -> DataFrame:
+    """The indexed summaries as they are now."""
+    return vector_index.current_index(tables.read(c.INDEX))
+
+
+def index_weights(tables: Tables) -> list[float]:
+    """How much each slot of the indexed vectors tells, by all texts indexed so far."""
+    return vector_index.word_weights(tables.read(c.FREQUENCIES))

@@ -8,6 +8,7 @@ from tidegauge.operators import vector_index
 from tidegauge.operators.metric_index import MetricIndex
 from tidegauge.registry.core import query
 from tidegauge.session import scratch_path
+from tidegauge.sources.tables import written
 
 KEY, VECTOR = "vec_id", "embedding"
 
@@ -142,4 +143,28 @@ def _(m):
 @query("v3_text_search")
 def _(m):
     index = vector_index.index_additions(documents_as_summaries(m))
-    return vector_index.search_text(index, "the elections and the results", 8).withColumn("score", F.round("score", 6))
+    weights = vector_index.word_weights(vector_index.slot_frequencies(index))
+    found = vector_index.search_text(index, "the elections and the results", 8, weights=weights)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("v6_novelty_of_texts")
+def _(m):
+    """Which documents are like none that came before, by their words and how much these tell."""
+    index = written(vector_index.index_additions(documents_as_summaries(m)), "index")
+    weights = vector_index.word_weights(vector_index.slot_frequencies(index))
+    return vector_index.novelty(index, index, weights=weights).withColumn("score", F.round("score", 6))
+
+
+@query("v2_rewritten_summaries", """
+    SELECT CAST(doc_id AS VARCHAR) AS id, source AS title, md5(CASE WHEN doc_id % 4 = 0 THEN 'again ' || text ELSE text END) AS told
+    FROM documents""")
+def _(m):
+    """A quarter of the summaries is rewritten after a first sync: the second one indexes these, and they replace the others."""
+    docs = documents_as_summaries(m)
+    index = written(vector_index.index_additions(docs), "index")
+    later = docs.filter(F.col("id").cast("bigint") % 4 == 0).withColumns({
+        "summary": F.concat(F.lit("again "), "summary"), "generated_at": F.col("generated_at") + F.expr("INTERVAL 1 DAY")})
+    more = vector_index.index_additions(docs.unionByName(later), index)
+    now = vector_index.current_index(index.unionByName(more))
+    return now.select("id", "title", F.md5(F.col("summary").cast("binary")).alias("told"))

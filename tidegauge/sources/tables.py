@@ -28,6 +28,7 @@ SCHEMAS = {
     c.INDEX: (
         "id STRING, title STRING, z_score DOUBLE, summary STRING, generated_at TIMESTAMP, embedding ARRAY<FLOAT>"
     ),
+    c.FREQUENCIES: c.FREQUENCIES_DDL,
     c.METRICS: c.METRICS_DDL,
 }
 
