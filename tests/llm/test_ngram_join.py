@@ -11,13 +11,14 @@ from tidegauge.llm import ngram_join, queries
 from tidegauge.llm.components import connected_components
 
 
-def grams(text):
+def grams(text, width=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) > 2 else {tuple(words)} if words else set()
+    runs = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+    return runs or ({tuple(words)} if words else set())
 
 
-def by_all_pairs(rows):
-    sets = [(d, grams(t)) for d, t in rows]
+def by_all_pairs(rows, width=3, percent=90):
+    sets = [(d, grams(t, width)) for d, t in rows]
     top = {d: d for d, _ in rows}
 
     def find(x):
@@ -27,7 +28,7 @@ def by_all_pairs(rows):
 
     for i, (d, s) in enumerate(sets):
         for e, o in sets[:i]:
-            if s and o and 100 * len(s & o) >= 90 * len(s | o):
+            if s and o and 100 * len(s & o) >= percent * len(s | o):
                 a, b = sorted((find(d), find(e)))
                 top[b] = a
     return sorted((d, len(s), find(d)) for d, s in sets)

@@ -47,7 +47,8 @@ def test_stages(spark, sf, tmp_path):
     assert sorted(map(repr, held["near_copies"])) == sorted(repr(r) for r in held["language"] if not model.judge(r.text)[3])
 
     distinct = {(r.doc_id, r.text) for r in held["near_copies"] if r.doc_id is not None}
-    classes = by_all_pairs(sorted(distinct, key=repr))
+    classes = by_all_pairs(sorted(distinct, key=repr), corpus_pipeline.NEAR_WIDTH, corpus_pipeline.NEAR_PERCENT)
+    assert (corpus_pipeline.NEAR_WIDTH, corpus_pipeline.NEAR_PERCENT) == (5, 80)
     kept = sorted(r.doc_id for r in held["benchmark"] if r.doc_id is not None)
     assert kept == sorted(d for d, _, top in classes if d == top)
     assert sum(r.doc_id is None for r in held["benchmark"]) == sum(r.doc_id is None for r in held["near_copies"])
@@ -69,3 +70,19 @@ def test_empty_tables(spark, sf, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_extra_columns_with_names_of_the_stages_own(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    extra = {c: F.concat(F.lit(c), F.col("doc_id")) for c in ("kept", "_key", "_text", "_row", "row", "language", "node", "stats", "score")}
+    docs.withColumns(extra).write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = f"{tmp_path}/out-{name}"
+        stage(spark, now, str(tmp_path)).write.parquet(out)
+        now = spark.read.parquet(out)
+        assert now.columns == [*COLUMNS, *extra]
+        assert all(r[c] == f"{c}{r.doc_id}" for r in now.collect() for c in extra)
+    assert now.count() > 0

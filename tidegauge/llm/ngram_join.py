@@ -2,18 +2,23 @@
 
 The global order of n-grams is that of their 64-bit hashes. It is cut into fragments, and so is every set:
 
-1. **Candidates.** A linked pair of sets of at most ``u`` n-grams differs in at most ``D = 2u(100-p)/(100+p)`` of them
-   for ``p`` percent (``2u/19`` for 90, ``2u/9`` for 80), so of ``D + 2`` fragments two at least are equal in both, and one of these is not empty (a set with two empty fragments
-   also stands under its empty ones). Sets meet under equal (size class, fragment, content). Tiny sets (18 n-grams for
-   90 percent, 8 for 80) differ in one n-gram at most on either side and meet under themselves less one. No linked pair is missed, and unrelated documents
-   do not meet, even when they share passages.
-2. **Overlaps.** Candidate pairs are intersected fragment by fragment, each fragment separately, and the partial counts
-   summed per pair. Only pairs with the smallest document of their bucket are formed as rows: one per document, never
-   all pairs of a group.
-3. **Rest.** Groups of candidates that are not yet one class are compared blockwise: partial overlap matrices per
-   fragment, summed, for blocks of bounded size; a block returns one row per document.
-
-Exact copies are one set (equal 128-bit sums of n-gram hashes and equal counts); the copies get its class.
+1. **Candidates.** Linked sets of ``a`` and ``b`` n-grams differ in at most ``D = (a+b)(100-p)/(100+p)`` of them for ``p``
+   percent, so of ``F > D`` fragments ``F - D`` at least are equal in both. A set stands under its fragments but for the
+   ``F - D - 1`` first by (n-grams in it, hash), ``D`` being that of its largest partner: the order is the same for equal
+   fragments, so one that is equal in both stays in both. What stays are the fuller fragments, which sets that only share
+   some passages do not have in common. Sets meet under equal (size class, fragment, content). Tiny sets (18 n-grams for
+   90 percent, 8 for 80) differ in one n-gram at most on either side and meet under themselves less one. No linked pair is
+   missed. Sets that meet within a part of a task's texts are tied there, and one of
+   them stands for all, so a key sends one row for each such part, however many sets have it.
+2. **Overlaps with a centre.** Sets that meet, directly or by others, are a group, and the smallest of its nodes is the
+   centre. Each set is compared with it once: common n-grams are counted fragment by fragment, each fragment separately,
+   and the counts summed. What remains of the set are the n-grams that it or the centre has and not both.
+3. **Rest.** Groups that are not yet one class are compared blockwise, by these differences alone: two sets differ by the
+   n-grams in which their differences differ, which gives their overlap exactly. Partial matrices per fragment are summed
+   for blocks of bounded size; a block returns one row per document. All pairs of a group are never rows.
+
+Exact copies are one set (equal 128-bit sums of n-gram hashes and equal counts); the copies get its class. A set is known
+by a 64-bit node made from these; should two sets share one, both get another.
 
 Rows: NULL or blank text has no n-grams and its own class; fewer words than the width are one n-gram; rows that repeat a
 doc_id are judged each by its own text; a row without a doc_id takes part and
@@ -28,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import drop_tables, materialize, slices, small_batches, space_words
@@ -39,17 +44,22 @@ from tidegauge.llm.components import connected_components
 WIDTH, PERCENT = 3, 90
 #: Size classes grow by this factor.
 GROWTH = 1.5
+#: Fragments beyond the differences of a linked pair, in percent of these: so many sparse ones need not be keys.
+SPARE = 30
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 8
-#: Bounds of one side of a block in step 3.
+#: Bytes of text within which sets are tied before keys are shuffled.
+TIED_BYTES = 16 << 20
+#: Bounds of one side of a block in step 3, and of the n-grams of a star's part in step 2.
 BLOCK_NGRAMS, BLOCK_SETS = 2_000_000, 2_000
 
 #: Candidate documents up to which their ids (32 bytes each) are broadcast to fetch their texts; more are joined by a
 #: shuffle.
 BROADCAST_NODES = 500_000
 
-SETS = "doc_id long, text_hash long, n_shingles long, sig_a long, sig_b long, keys array<long>"
-PARTS = "node long, n long, grams array<array<long>>"
+SETS = "doc_id long, text_hash long, n_shingles long, node long, sig_a long, sig_b long"
+PARTS = "node long, cluster long, chunk int, n long, grams array<array<long>>"
+COMPARED = "node long, cluster long, n long, linked boolean, n_apart long, apart array<array<long>>"
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -119,11 +129,12 @@ def candidate_keys(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             m = mixed(grams, 3)
             out.append(mixed(np.concatenate([[m.sum(dtype=np.uint64)], m.sum(dtype=np.uint64) - m]), 11))
         for k, largest in size_classes(n, percent):
-            fragments = 2 * largest * (100 - percent) // (100 + percent) + 2
+            most = 2 * largest * (100 - percent) // (100 + percent)
+            fragments = most + most * SPARE // 100 + 2
             sums, sizes = fragment_sums(grams, fragments)
             keys = mixed(mixed(sums, 21 + k) + np.arange(fragments, dtype=np.uint64), 31)
-            empty = sizes == 0
-            out.append(keys if empty.sum() > 1 else keys[~empty])
+            differ = (n + min(largest, n * 100 // percent)) * (100 - percent) // (100 + percent)
+            out.append(keys[np.lexsort((keys, sizes))[fragments - differ - 1 :]])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -137,19 +148,30 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(values)))
 
 
-def set_keys(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def set_ids(grams: list[np.ndarray], clashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The node and the two hash sums of each set; sets whose first node is one of ``clashes`` get a second one."""
+    n = np.fromiter(map(len, grams), np.uint64, len(grams))
+    a = np.array([mixed(g, 1).sum(dtype=np.uint64) for g in grams], np.uint64)
+    b = np.array([mixed(g, 2).sum(dtype=np.uint64) for g in grams], np.uint64)
+    with np.errstate(over="ignore"):
+        node = mixed(a ^ mixed(b + n, 41), 42)
+        other = mixed(b ^ mixed(a - n, 43), 44)
+    return np.where(np.isin(node, clashes), other, node), a, b
+
+
+def set_table(docs: DataFrame, width: int = WIDTH, clashes: tuple[int, ...] = ()) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, node, sig_a, sig_b) of every row; NULL nodes where there is no n-gram."""
+    known = np.array(clashes, np.int64).view(np.uint64)
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            n, a, b, keys = [], [], [], []
-            for grams in gram_sets(batch.column("text"), width):
-                n.append(len(grams))
-                a.append(mixed(grams, 1).sum(dtype=np.uint64))
-                b.append(mixed(grams, 2).sum(dtype=np.uint64))
-                keys.append(candidate_keys(grams, percent))
+            grams = list(gram_sets(batch.column("text"), width))
+            node, a, b = set_ids(grams, known)
+            n = np.fromiter(map(len, grams), np.int64, len(grams))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(signed(np.array(a, np.uint64))),
-                 pa.array(signed(np.array(b, np.uint64))), lists(keys)],
-                ["doc_id", "text_hash", "n_shingles", "sig_a", "sig_b", "keys"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n), pa.array(signed(node), mask=n == 0),
+                 pa.array(signed(a)), pa.array(signed(b))],
+                ["doc_id", "text_hash", "n_shingles", "node", "sig_a", "sig_b"],
             )
 
     small_batches(docs.sparkSession, 2048)
@@ -157,87 +179,163 @@ def set_keys(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     return rows.mapInArrow(build, SETS)
 
 
+def tied(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, node) with each key once: of the nodes that have a key the smallest keeps it, and each other one is tied to
+    it by a key of their own."""
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    key, node = key[new], node[new]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    least = node[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))][~first]
+    rest = node[~first]
+    with np.errstate(over="ignore"):
+        between = np.unique(np.stack([mixed(rest ^ mixed(least, 51), 52), rest, least]), axis=1)
+    return np.concatenate([key[first], between[0], between[0]]), np.concatenate([node[first], between[1], between[2]])
+
+
+def key_rows(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, clashes: tuple[int, ...] = ()
+) -> DataFrame:
+    """(key, a): the candidate keys of the sets of ``docs``, those of a part of the texts tied together."""
+    known = np.array(clashes, np.int64).view(np.uint64)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", TIED_BYTES):
+            keys: dict[int, np.ndarray] = {}
+            for begin in slices(iter([batch]), "text"):
+                grams = list(gram_sets(begin.column("text"), width))
+                for node, g in zip(set_ids(grams, known)[0].tolist(), grams, strict=True):
+                    if node not in keys and len(g):
+                        keys[node] = candidate_keys(g, percent)
+            if keys:
+                sizes = np.fromiter(map(len, keys.values()), np.int64, len(keys))
+                key, node = tied(np.concatenate(list(keys.values())), np.repeat(np.array(list(keys), np.uint64), sizes))
+                for k in range(0, len(key), 1 << 16):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(key[k : k + (1 << 16)])), pa.array(signed(node[k : k + (1 << 16)]))], ["key", "a"]
+                    )
+
+    small_batches(docs.sparkSession, 2048)
+    return docs.select("text").mapInArrow(build, "key long, a long")
+
+
 def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS, width: int = WIDTH) -> DataFrame:
-    """The n-grams of each row of ``docs`` (node, text), one list per fragment of their order."""
+    """The n-grams of each row of ``docs`` (node, cluster, chunk, text), one list per fragment of their order."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             n, grams = [], []
             for g in gram_sets(batch.column("text"), width):
-                high = (g >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
                 n.append(len(g))
-                grams += np.split(g, np.searchsorted(high, np.arange(1, fragments, dtype=np.uint64)))
-            outer = pa.array(np.arange(0, len(grams) + 1, fragments, dtype=np.int32))
+                grams += fragmented(g, fragments)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(outer, lists(grams))],
-                ["node", "n", "grams"],
+                [*(batch.column(c) for c in ("node", "cluster", "chunk")), pa.array(n, pa.int64()), nested(grams, fragments)],
+                ["node", "cluster", "chunk", "n", "grams"],
             )
 
     small_batches(docs.sparkSession, 2048)
-    return docs.select("node", "text").mapInArrow(build, PARTS)
+    return docs.select("node", "cluster", "chunk", "text").mapInArrow(build, PARTS)
 
 
-def linked_pairs(pairs: DataFrame, parts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of the pairs (a, b) that are linked: partial overlaps per fragment, summed per pair."""
-    left = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("g_a"))
-    right = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("g_b"))
-    fragment = F.explode(F.arrays_zip("g_a", "g_b")).alias("x")
-    partial = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", fragment).select(
-        "a", "b", "n_a", "n_b", F.size(F.array_intersect("x.g_a", "x.g_b")).alias("common")
-    )
-    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
-    union = F.col("n_a") + F.col("n_b") - F.col("common")
-    return total.filter(100 * F.col("common") >= percent * union).select("a", "b")
+def fragmented(grams: np.ndarray, fragments: int = FRAGMENTS) -> list[np.ndarray]:
+    high = (grams >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+    return np.split(grams, np.searchsorted(high, np.arange(1, fragments, dtype=np.uint64)))
+
+
+def nested(arrays: list[np.ndarray], fragments: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(arrays) + 1, fragments, dtype=np.int32)), lists(arrays))
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` (a stored table of short rows), broadcast where it is bounded, else joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_NODES else df
 
 
-def block_links(members: DataFrame, parts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) that connect what is linked within each group of ``members`` (node, cluster, component).
+def chunked(sized: DataFrame, key: str, label: str, by_sets: bool = False) -> DataFrame:
+    """``sized`` (node, n, key, ...) with ``chunks``, the parts of bounded size into which the nodes of a key are cut."""
+    chunks = F.ceil(F.sum("n") / BLOCK_NGRAMS)
+    if by_sets:
+        chunks = F.greatest(chunks, F.ceil(F.count("*") / BLOCK_SETS))
+    large = materialize(sized.groupBy(key).agg(chunks.cast("int").alias("chunks")).filter("chunks > 1"), label)
+    return sized.join(small(large), key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+
+
+def compared_with_centres(parts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Each set of ``parts`` (node, cluster, chunk, n, grams) against its cluster's centre, which stands in every chunk:
+    (node, cluster, n, linked, n_apart, apart), ``apart`` being the n-grams that only one of the two has, by fragment."""
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, n, held = pdf["node"].to_numpy(), pdf["n"].to_numpy(), pdf["grams"].to_numpy()
+        centre = int(np.flatnonzero(node == pdf["cluster"].iloc[0])[0])
+        apart, common = [], np.zeros(len(node), np.int64)
+        for k, own in enumerate(held):
+            parts_of = [np.setxor1d(a, b, assume_unique=True) for a, b in zip(own, held[centre], strict=True)]
+            apart.append(parts_of)
+            common[k] = (n[k] + n[centre] - sum(map(len, parts_of))) // 2
+        linked = 100 * common >= percent * (n + n[centre] - common)
+        out = pd.DataFrame({
+            "node": node, "cluster": pdf["cluster"], "n": n, "linked": linked, "n_apart": n + n[centre] - 2 * common, "apart": apart,
+        })
+        # the centre itself is told by its first chunk
+        return out[(node != node[centre]) | (pdf["chunk"].to_numpy() == 0)]
+
+    return parts.groupBy("cluster", "chunk").applyInPandas(compare, COMPARED)
+
+
+def block_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) that connect what is linked within each group of ``members`` (node, cluster, component, n, n_apart,
+    apart), the differences of the sets from one centre.
 
     A group is cut into chunks of bounded size; a task compares two chunks. Fragment by fragment it counts the common
-    n-grams of all its pairs as a matrix product and sums the counts; pairs of one known component are of no use, so a
+    differences of all its pairs as a matrix product and sums the counts; pairs of one known component are of no use, so a
     block of one component is left out.
     """
-    sized = members.join(parts.select("node", "n"), "node")
-    chunks = sized.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.sum("n") / BLOCK_NGRAMS), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("chunks")
+    sized = members.select("node", "cluster", "component", (F.col("n_apart") + 1).alias("n"))
+    dealt = chunked(sized, "cluster", "large-groups", by_sets=True).withColumn(
+        "own", F.pmod(F.xxhash64("node"), "chunks").cast("int")
     )
-    dealt = sized.join(chunks, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
-    blocks = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+    refs = materialize(dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component"
-    )
+    ), "blocks")
+    blocks = members.select("node", "n", "apart").join(small(refs), "node")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         docs, row = np.unique(pdf["node"].to_numpy(), return_inverse=True)
         first = np.zeros(len(docs), np.int64)
         first[row[::-1]] = np.arange(len(pdf))[::-1]
         n = pdf["n"].to_numpy()[first]
+        if pdf["component"].nunique() == 1:
+            return pd.DataFrame({"a": docs[:0], "b": docs[:0]})
         common = np.zeros((len(docs), len(docs)), np.float32)
-        if pdf["component"].nunique() > 1:
-            held_grams = pdf["grams"].to_numpy()[first]
-            for fragment in range(len(held_grams[0])):
-                part = [g[fragment] for g in held_grams]
-                grams, owner = np.concatenate(part), np.repeat(np.arange(len(docs)), list(map(len, part)))
-                _, token, times = np.unique(grams, return_inverse=True, return_counts=True)
-                shared = times[token] > 1
-                _, token = np.unique(token[shared], return_inverse=True)
-                owner = owner[shared]
-                for low in range(0, int(token.max()) + 1 if len(token) else 0, 4096):
-                    inside = (token >= low) & (token < low + 4096)
-                    held = np.zeros((len(docs), 4096), np.float32)
-                    held[owner[inside], token[inside] - low] = 1
-                    common += held @ held.T
+        held_apart = pdf["apart"].to_numpy()[first]
+        for fragment in range(len(held_apart[0])):
+            part = [g[fragment] for g in held_apart]
+            grams, owner = np.concatenate(part), np.repeat(np.arange(len(docs)), list(map(len, part)))
+            _, token, times = np.unique(grams, return_inverse=True, return_counts=True)
+            shared = times[token] > 1
+            _, token = np.unique(token[shared], return_inverse=True)
+            owner = owner[shared]
+            for low in range(0, int(token.max()) + 1 if len(token) else 0, 4096):
+                inside = (token >= low) & (token < low + 4096)
+                held = np.zeros((len(docs), 4096), np.float32)
+                held[owner[inside], token[inside] - low] = 1
+                common += held @ held.T
+        away = np.array([sum(map(len, a)) for a in held_apart])
         label, last = docs.copy(), None
         while last is None or (label != last).any():
             last = label.copy()
             for low in range(0, len(docs), 256):
                 rows = slice(low, low + 256)
-                union = n[rows, None] + n[None, :] - common[rows].astype(np.int64)
-                linked = 100 * common[rows].astype(np.int64) >= percent * union
+                differ = away[rows, None] + away[None, :] - 2 * common[rows].astype(np.int64)
+                both = (n[rows, None] + n[None, :] - differ) // 2
+                linked = 100 * both >= percent * (both + differ)
                 seen = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
                 label[rows] = np.minimum(label[rows], seen)
-        tied = label != docs
-        return pd.DataFrame({"a": docs[tied], "b": label[tied]})
+        moved = label != docs
+        return pd.DataFrame({"a": docs[moved], "b": label[moved]})
 
-    return blocks.join(parts, "node").groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long")
+    return blocks.groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def ngram_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -251,18 +349,22 @@ def node_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     class has it. NULL for rows without n-grams.
 
     A node is a distinct set of n-grams, whatever rows have it."""
-    node = F.when(F.col("n_shingles") > 0, F.xxhash64("sig_a", "sig_b", "n_shingles"))
-    sets = materialize(set_keys(docs, width, percent).withColumn("node", node).drop("sig_a", "sig_b"), "gram-sets")
+    sets, clashes = materialize(set_table(docs, width), "gram-sets"), ()
+    identity = F.struct("sig_a", "sig_b", "n_shingles")
+    shared = sets.filter("n_shingles > 0").groupBy("node").agg(F.min(identity).alias("low"), F.max(identity).alias("high"))
+    shared = shared.filter("low <> high").select("node").collect()  # about n * n / 2**65 of n sets
+    if shared:
+        clashes = tuple(r.node for r in shared)
+        drop_tables(sets)
+        sets = materialize(set_table(docs, width, clashes), "gram-sets")
     real = sets.filter("n_shingles > 0")
-    firsts = materialize(real.select("node", "doc_id", "text_hash", "keys").dropDuplicates(["node"]), "gram-nodes")
-    keys = firsts.select(F.col("node").alias("a"), F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("last")).filter("b < last")
-    pairs = materialize(keys.join(shared.select("key", "b"), "key").filter("a <> b").select("a", "b").distinct(), "pairs")
+    keys = key_rows(docs, width, percent, clashes).repartition("key")
+    met = keys.withColumn("b", F.first("a").over(Window.partitionBy("key").orderBy("a")))
+    pairs = materialize(met.filter("a <> b").select("a", "b").distinct(), "pairs")
     tops = real.groupBy("node").agg(F.min("doc_id").alias("top")).withColumn("component", F.col("node"))
     if not pairs.isEmpty():
         repeated = not real.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
-        found = candidate_links(docs, firsts.drop("keys"), pairs, repeated, width, percent)
-        drop_tables(firsts)
+        found = candidate_links(docs, real, pairs, repeated, width, percent)
         drop_tables(pairs)
         joined = tops.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = joined.groupBy("component").agg(F.min("top").alias("least"))
@@ -273,45 +375,45 @@ def node_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
 
 
 def candidate_links(
-    docs: DataFrame, firsts: DataFrame, pairs: DataFrame, repeated: bool, width: int = WIDTH, percent: int = PERCENT
+    docs: DataFrame, real: DataFrame, pairs: DataFrame, repeated: bool, width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
     """(node, component) of the nodes of candidate ``pairs`` that are linked with another one.
 
-    ``firsts`` (node, doc_id, text_hash) names a row of ``docs`` for each node; ``repeated`` tells that some row stands
+    ``real`` (node, doc_id, text_hash, n_shingles) names rows of ``docs`` for each node; ``repeated`` tells that some row stands
     in ``docs`` more than once."""
-    members = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    source = firsts.join(members, "node", "left_semi").select(
-        "node", F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), F.col("text_hash").alias("h")
+    clusters = connected_components(pairs).withColumnRenamed("component", "cluster")
+    name = F.struct(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), F.col("text_hash").alias("h"))
+    named = real.join(clusters, "node").groupBy("node", "cluster").agg(
+        F.min(name).alias("name"), F.min("n_shingles").alias("n")
+    )
+    dealt = chunked(materialize(named, "candidates"), "cluster", "large-clusters")
+    # the centre goes to every chunk of its cluster
+    chunk = F.when(F.col("node") == F.col("cluster"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     )
-    if source.count() <= BROADCAST_NODES:
-        source = F.broadcast(source)
+    source = materialize(dealt.select("node", "cluster", "name.*", F.explode(chunk).alias("chunk")), "sources")
     rows = docs.select(
         "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"),
         F.xxhash64("text").alias("h"),
-    ).join(source, ["d", "none", "h"])
+    ).join(small(source), ["d", "none", "h"])
     parts = gram_parts(rows, width=width)
     if repeated:
-        parts = parts.dropDuplicates(["node"])  # a row that stands in the table twice gives its n-grams once
-    parts = materialize(parts, "gram-parts")
-    links = materialize(linked_pairs(pairs, parts, percent), "links")
-    known = connected_components(links)
-    state = materialize(
-        connected_components(pairs).withColumnRenamed("component", "cluster").join(known, "node", "left")
-        .select("node", "cluster", F.coalesce("component", "node").alias("component")),
-        "clusters",
-    )
-    open_clusters = state.groupBy("cluster").agg(
+        parts = parts.dropDuplicates(["node", "chunk"])  # a row that stands in the table twice gives its n-grams once
+    told = materialize(compared_with_centres(parts, percent), "compared")
+    state = told.withColumn("component", F.when(F.col("linked"), F.col("cluster")).otherwise(F.col("node")))
+    groups = state.groupBy("cluster").agg(
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low < high AND n > 2")
-    more = materialize(
-        block_links(state.join(open_clusters.select("cluster"), "cluster", "left_semi"), parts, percent), "block-links"
     )
-    if more.isEmpty():
-        found = known
-    else:
-        held = state.filter("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    open_clusters = materialize(groups.filter("low < high AND n > 2").select("cluster"), "open-clusters")
+    more = materialize(block_links(state.join(small(open_clusters), "cluster", "left_semi"), percent), "block-links")
+    held = state.filter("component <> node").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = held.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    if not more.isEmpty():
         found = connected_components(held.unionByName(more))
-    for done in (parts, links, state, more):
+    else:  # stars around their centres already
+        found = found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+        found = materialize(found, "stars")
+    for done in (source, told, open_clusters, more):
         drop_tables(done)
     return found
 
@@ -326,6 +428,8 @@ def one_of_each_class(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     row = named(F.col("doc_id"), F.col("text_hash"))
     first = classes.filter("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("kept")).select("kept")
     first = first.unionByName(classes.filter("component IS NULL").select(row.alias("kept")).distinct())
-    out = docs.withColumn("kept", named(F.col("doc_id").cast("long"), F.xxhash64("text"))).join(first, "kept", "left_semi")
+    # the row itself travels as one column, so no name of its columns matters
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), named(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("kept"))
+    out = whole.join(first, "kept", "left_semi")
     repeated = classes.groupBy("doc_id", "text_hash").count().filter("count > 1")
-    return (out if repeated.isEmpty() else out.dropDuplicates(["kept"])).drop("kept")
+    return (out if repeated.isEmpty() else out.dropDuplicates(["kept"])).select("row.*")
