@@ -237,6 +237,10 @@ def test_stored_tables_are_pruned_by_partition(spark, tmp_path):
         text = df._jdf.queryExecution().executedPlan().toString()
         return [line for line in text.splitlines() if "FileScan" in line]
 
+    assert served.staleness(tables.read(c.BRONZE), START).first()["minutes_stale"] == 0
+    assert checks.latest_windows(tables.read(c.GOLD_5MIN)).first()["total_edits"] == 9
+    for df in (served.staleness(tables.read(c.BRONZE), START), checks.latest_windows(tables.read(c.GOLD_5MIN))):
+        assert any("PartitionFilters: [" in line and "Subquery" in line for line in scans(df))
     for df, part in [
         (served.ingest_per_hour(tables.read(c.BRONZE), START), "ingest_date"),
         (served.top_pages(tables.read(c.GOLD_5MIN), START), "window_date"),

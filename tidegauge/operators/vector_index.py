@@ -7,12 +7,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.vectors import cosine, norm
+from tidegauge.functions.vectors import cosine
 from tidegauge.model.contracts import NOVELTY_THRESHOLD
 from tidegauge.session import scratch_path
 
@@ -34,13 +34,9 @@ def embed(df: DataFrame, text: str = "summary", dimensions: int = DIMENSIONS) ->
     for stage in (words, counts):
         out = stage.transform(out)
     damped = F.transform(vector_to_array("counts__"), lambda x: F.when(x > 0, 1 + F.ln(x)).otherwise(F.lit(0.0)))
-    return out.withColumn("embedding", unit(damped).cast("array<float>")).drop("text__", "words__", "counts__")
-
-
-def unit(vector: Column) -> Column:
-    """``vector`` at length one, or as it is where it has none."""
-    length = norm(vector)
-    return F.transform(vector, lambda x: x / F.when(length > 0, length).otherwise(F.lit(1.0)))
+    unit = Normalizer(inputCol="damped__", outputCol="unit__", p=2.0).transform(out.withColumn("damped__", array_to_vector(damped)))
+    return unit.withColumn("embedding", vector_to_array("unit__", "float32")).drop(
+        "text__", "words__", "counts__", "damped__", "unit__")
 
 
 # The number of texts stands in the frequency table under this slot.
