@@ -42,10 +42,10 @@ POSITIVES, NEGATIVES = 5, 5
 LOWEST = 80
 #: Rows of a shard and of a block of anchors; rows of a leaf and boxes of a node; anchors whose bounds are worked out at
 #: once.
-SHARD, ANCHORS, LEAF, FANOUT, AT_ONCE = 16_384, 4_096, 32, 16, 256
+SHARD, ANCHORS, LEAF, FANOUT, AT_ONCE = 16_384, 4_096, 256, 16, 256
 
-#: The vec_id of rows that have none, within tasks.
-NO_ID = (1 << 63) - 1
+#: The vec_id of rows that have none, within tasks; the score of rows that are no candidates, below every window.
+NO_ID, NOT_MEANT = (1 << 63) - 1, -(1 << 62)
 POSITIVE = "anchor long, window int, vec_id long, score long"
 
 
@@ -92,15 +92,18 @@ def str_packed(points: np.ndarray, capacity: int) -> list[np.ndarray]:
 
 
 class Tree:
-    """An R-tree over rows of (vec_id, label, vector): node 0.. with boxes ``low`` and ``high``, children or rows."""
+    """An R-tree over rows of (vec_id, label, vector), kept in the order of the leaves: node 0.. with boxes ``low`` and
+    ``high``, children or a range of rows."""
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray):
-        self.ids, self.labels, self.vectors = ids, labels, vectors
         leaves = str_packed(vectors, LEAF)
-        self.rows: list[np.ndarray | None] = list(leaves)
+        order = np.concatenate(leaves)
+        self.ids, self.labels, self.vectors = ids[order], labels[order], vectors[order]
+        ends = np.cumsum([len(r) for r in leaves])
+        self.rows: list[slice | None] = [slice(int(e) - len(r), int(e)) for e, r in zip(ends, leaves, strict=True)]
         self.children: list[np.ndarray | None] = [None] * len(leaves)
-        low = [vectors[r].min(axis=0) for r in leaves]
-        high = [vectors[r].max(axis=0) for r in leaves]
+        low = [self.vectors[r].min(axis=0) for r in self.rows]
+        high = [self.vectors[r].max(axis=0) for r in self.rows]
         level = np.arange(len(leaves))
         while len(level) > 1:
             centres = (np.stack([low[k] for k in level]) + np.stack([high[k] for k in level])) / 2
@@ -119,14 +122,16 @@ class Tree:
         up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
         return up @ self.low.T + down @ self.high.T, up @ self.high.T + down @ self.low.T
 
-    def best(self, k: int, window: tuple[int, int], least: list, most: list, score: Callable[[int], tuple]) -> list[tuple]:
-        """The first ``k`` (score falling, vec_id) of the rows whose scores lie in ``window``. ``score`` gives the
-        (score, vec_id) of the rows of a leaf that qualify, best first."""
+    def best(
+        self, k: int, window: tuple[int, int], least: list, most: list, score: Callable[[int], tuple]
+    ) -> list[tuple]:
+        """The first ``k`` (score falling, vec_id) of the rows whose scores lie in ``window``. ``score`` gives the scores of
+        the rows of a leaf, NOT_MEANT for those that do not qualify, and the largest of them."""
         floor, top = window
         queue, found = [(-most[self.root], self.root)], []
         while queue:
             upper, node = heapq.heappop(queue)
-            if -upper < floor or (len(found) == k and -upper < found[-1][0]):
+            if -upper < floor:
                 break
             if least[node] > top:
                 continue
@@ -135,12 +140,16 @@ class Tree:
                     if most[child] >= floor and least[child] <= top:
                         heapq.heappush(queue, (-most[child], child))
                 continue
-            scores, ids = score(node)
-            begin = int(np.searchsorted(-scores, -top, "left"))
-            upto = min(int(np.searchsorted(-scores, -floor, "right")), begin + k)
-            if upto > begin:
-                found += zip(scores[begin:upto].tolist(), ids[begin:upto].tolist(), strict=True)
+            scores, largest = score(node)
+            if largest < floor:
+                continue
+            near = np.flatnonzero((scores >= floor) & (scores <= top))
+            if len(near):
+                ids = self.ids[self.rows[node]][near]
+                found += zip(scores[near].tolist(), ids.tolist(), strict=True)
                 found = sorted(found, key=lambda x: (-x[0], x[1]))[:k]
+                if len(found) == k:  # what is strictly below the k-th score is of no use
+                    floor = found[-1][0]
         return found
 
 
@@ -189,15 +198,14 @@ def searched(same: bool, k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.Da
             nonlocal itself
             if node not in known:
                 at = tree.rows[node]
-                at = at[(tree.labels[at] == label) == same]
+                scores = tree.vectors[at] @ point
+                scores[(tree.labels[at] == label) != same] = NOT_MEANT
                 if itself:
-                    equal = at[tree.ids[at] == own_id]
-                    equal = equal[(tree.vectors[equal] == point).all(axis=1)]
+                    equal = np.flatnonzero((tree.ids[at] == own_id) & (tree.labels[at] == label))
+                    equal = equal[(tree.vectors[at][equal] == point).all(axis=1)]
                     if len(equal):
-                        at, itself = at[at != equal[0]], False
-                scores = tree.vectors[at] @ point
-                order = np.lexsort((tree.ids[at], -scores))
-                known[node] = scores[order], tree.ids[at][order]
+                        scores[equal[0]], itself = NOT_MEANT, False
+                known[node] = scores, scores.max(initial=NOT_MEANT)
             return known[node]
 
         return score
@@ -242,7 +250,7 @@ def hard_negatives(
         .drop("is_anchor"),
         "anchors",
     )
-    everything = F.array(F.array(F.lit(-(1 << 62)), F.lit(1 << 62)))
+    everything = F.array(F.array(F.lit(-(1 << 61)), F.lit(1 << 61)))
     held = shards.select("shard", "label").distinct()
     first = materialize(
         best_rows(
