@@ -49,9 +49,9 @@ SPARE = 30
 #: Fragments in which overlaps are counted.
 FRAGMENTS = 8
 #: Bytes of text within which sets are tied before keys are shuffled.
-TIED_BYTES = 16 << 20
+TIED_BYTES = 4 << 20
 #: Bounds of one side of a block in step 3, and of the n-grams of a star's part in step 2.
-BLOCK_NGRAMS, BLOCK_SETS = 2_000_000, 2_000
+BLOCK_NGRAMS, BLOCK_SETS = 1_000_000, 2_000
 
 #: Candidate documents up to which their ids (32 bytes each) are broadcast to fetch their texts; more are joined by a
 #: shuffle.
@@ -174,7 +174,7 @@ def set_table(docs: DataFrame, width: int = WIDTH, clashes: tuple[int, ...] = ()
                 ["doc_id", "text_hash", "n_shingles", "node", "sig_a", "sig_b"],
             )
 
-    small_batches(docs.sparkSession, 2048)
+    small_batches(docs.sparkSession, 512)
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     return rows.mapInArrow(build, SETS)
 
@@ -205,11 +205,11 @@ def key_rows(
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", TIED_BYTES):
             keys: dict[int, np.ndarray] = {}
-            for begin in slices(iter([batch]), "text"):
-                grams = list(gram_sets(begin.column("text"), width))
-                for node, g in zip(set_ids(grams, known)[0].tolist(), grams, strict=True):
-                    if node not in keys and len(g):
-                        keys[node] = candidate_keys(g, percent)
+            grams = list(gram_sets(batch.column("text"), width))
+            for node, g in zip(set_ids(grams, known)[0].tolist(), grams, strict=True):
+                if node not in keys and len(g):
+                    keys[node] = candidate_keys(g, percent)
+            del grams
             if keys:
                 sizes = np.fromiter(map(len, keys.values()), np.int64, len(keys))
                 key, node = tied(np.concatenate(list(keys.values())), np.repeat(np.array(list(keys), np.uint64), sizes))
@@ -218,7 +218,7 @@ def key_rows(
                         [pa.array(signed(key[k : k + (1 << 16)])), pa.array(signed(node[k : k + (1 << 16)]))], ["key", "a"]
                     )
 
-    small_batches(docs.sparkSession, 2048)
+    small_batches(docs.sparkSession, 512)
     return docs.select("text").mapInArrow(build, "key long, a long")
 
 
@@ -235,7 +235,7 @@ def gram_parts(docs: DataFrame, fragments: int = FRAGMENTS, width: int = WIDTH)
                 ["node", "cluster", "chunk", "n", "grams"],
             )
 
-    small_batches(docs.sparkSession, 2048)
+    small_batches(docs.sparkSession, 512)
     return docs.select("node", "cluster", "chunk", "text").mapInArrow(build, PARTS)
 
 
