@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidegauge.operators import vector_index as v
+from tidegauge.sources.tables import written
 
 
 def vectors(spark, m, first=0):
@@ -55,6 +56,34 @@ def test_many_equal_scores_and_text_keys(spark):
     assert {len(x) for x in mine.values()} == {3}
 
 
+def test_equal_vectors_are_compared_once(spark, monkeypatch):
+    """Exact copies, rows without a usable vector, and another table of queries: results of all rows, few comparisons."""
+    r = np.random.default_rng(3)
+    m = np.float32(np.repeat(r.normal(size=(30, 5)), 40, axis=0))
+    s = vectors(spark, m)
+    odd = spark.createDataFrame([(5000, [float("nan")] * 5), (5001, [1.0, None, 0.0, 0.0, 0.0]), (5002, None)], s.schema)
+    s = s.unionByName(odd)
+    stored = []
+    keep = lambda df, label, **o: stored.append((label, written(df, label, **o))) or stored[-1][1]
+    monkeypatch.setattr(v, "written", keep)
+    for queries, first, same in [(s, 0, True), (vectors(spark, m[::7], 9000), 9000, False)]:
+        stored.clear()
+        got = {}
+        for row in v.nearest_neighbours(queries, s, 3, drop_self=same, block_bytes=1).collect():
+            got.setdefault(row["key"] - first, []).append((row["place"], row["neighbour"]))
+        want = brute((m if same else m[::7]).astype(float), m.astype(float), 3, same)
+        assert {q: [n for _, n in sorted(x)] for q, x in got.items()} == {q: [n for n, _ in x] for q, x in want.items()}
+        assert dict(stored)["vectors"].count() == 30
+
+
+def test_memory_of_a_step_does_not_grow_with_the_pivots():
+    """Rows are taken so few at a time that their distances to all pivots have a bounded size."""
+    frame = v.pd.DataFrame({"x": range(10_000)})
+    for width in (64, 1024, 4096):
+        sizes = [len(b) for b in v._some_rows([frame], width)]
+        assert sum(sizes) == len(frame) and max(sizes) * width <= v.GAP_CELLS
+
+
 def test_far_cells_are_skipped(spark):
     """Tight clusters: a query is sent to its own cell, not to all."""
     r = np.random.default_rng(1)

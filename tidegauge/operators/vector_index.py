@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.vectors import cosine
 from tidegauge.model.contracts import NOVELTY_THRESHOLD
-from tidegauge.session import scratch_path
+from tidegauge.sources.tables import written
 
 DIMENSIONS = 1024
 INDEX_COLUMNS = ("id", "title", "z_score", "summary", "generated_at", "embedding")
@@ -147,13 +148,16 @@ def related_events(
 # k nearest neighbours of many vectors at once
 # ---------------------------------------------------------------------------------------------
 
-# Pivots are the square root of the number of index rows, at most so many (their matrix goes to every task).
+# Pivots are the square root of the number of distinct index vectors, at most so many (they go to every task).
 MOST_PIVOTS = 4096
 BLOCK_BYTES = 16 << 20
-SCORE_CELLS = 4 << 20
-ROWS_PER_BATCH = 4096
-# Up to so many blocks, index rows go to every block of their slice without looking up which of them have queries.
-FEW_BLOCKS = 64
+# Vectors of a block: two blocks have at most the square of it as scores, which are in memory at once.
+BLOCK_ROWS = 2048
+# Numbers in each array of distances to pivots; rows are taken a few at a time.
+GAP_CELLS = 1 << 20
+# Vectors whose best results a task holds before it hands them on.
+HELD_ROWS = 1 << 18
+ROW_GROUP_BYTES = 32 << 20
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -167,32 +171,83 @@ def _gaps(m: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(2.0 - 2.0 * (m @ pivots.T), 0.0, None))
 
 
-def _best(q: pd.DataFrame, s: pd.DataFrame, k: int, distinct: bool) -> pd.DataFrame:
-    """The k best of one block for every query of one block; never the pairs themselves.
-
-    Queries are taken a few at a time, so that no more than ``SCORE_CELLS`` scores exist at once.
-    """
-    ids, vectors = s["key"].to_numpy(), _matrix(s["vector"]).T
-    rank = np.empty(len(ids), dtype=np.int64)
-    rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
-    step = max(1, SCORE_CELLS // len(ids))
-    found = []
-    for start in range(0, len(q), step):
-        some = q.iloc[start:start + step]
-        names = some["key"].to_numpy()
-        scores = np.round(_matrix(some["vector"]) @ vectors, SCORE_DIGITS)
-        if distinct:
-            scores[names[:, None] == ids[None, :]] = -np.inf
-        able = np.isfinite(scores)
-        if len(ids) > k:
-            able &= scores >= np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
-        row, col = np.nonzero(able)  # the k best and whatever ties with the last of them
-        order = np.lexsort((rank[col], -scores[row, col], row))
-        row, col = row[order], col[order]
-        kept = np.arange(len(row)) - np.searchsorted(row, row) < k
-        row, col = row[kept], col[kept]
-        found.append(pd.DataFrame({"key": names[row], "neighbour": ids[col], "score": scores[row, col]}))
-    return pd.concat(found)
+def _some_rows(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    """The batches cut so that an array of ``width`` numbers a row stays within ``GAP_CELLS``."""
+    step = max(1, GAP_CELLS // width)
+    for b in batches:
+        for start in range(0, len(b), step):
+            yield b.iloc[start:start + step]
+
+
+class _Block:
+    """Vectors of one block: what tells them, their smallest keys, and unit rows in single precision."""
+
+    def __init__(self, said: dict):
+        whole = said["keys"] and isinstance(said["keys"][0], int)  # blocks of queries have no keys
+        self.number, self.keys = said["number"], np.array(said["keys"], np.int64 if whole else object)
+        self.same = np.frombuffer(said["same"], np.int64).reshape(-1, 2)
+        self.raw = np.frombuffer(said["vectors"], np.float64 if said["wide"] else np.float32).reshape(len(self.same), -1)
+        self.size = np.linalg.norm(self.raw.astype(np.float64), axis=1)
+        self.unit = self.exact(slice(None)).astype(np.float32)
+        self.rank = np.argsort(np.argsort(self.keys, kind="stable"))
+
+    def exact(self, rows) -> np.ndarray:
+        return self.raw[rows].astype(np.float64) / self.size[rows][:, None]
+
+
+class _Bests:
+    """The best ``reach`` results so far of every vector of a block."""
+
+    def __init__(self, block: _Block, reach: int):
+        n = len(block.same)
+        self.same, self.scores = block.same, np.full((n, reach), -np.inf)
+        self.keys, self.found = np.empty((n, reach), block.keys.dtype), np.zeros((n, reach, 2), np.int64)
+
+    def add(self, row: np.ndarray, scores: np.ndarray, keys: np.ndarray, found: np.ndarray) -> None:
+        reach = self.scores.shape[1]
+        old, place = np.nonzero(np.isfinite(self.scores) & np.isin(np.arange(len(self.scores)), row)[:, None])
+        row = np.concatenate([old, row])
+        scores = np.concatenate([self.scores[old, place], scores])
+        keys = np.concatenate([self.keys[old, place], keys])
+        found = np.concatenate([self.found[old, place], found])
+        order = np.lexsort((np.unique(keys, return_inverse=True)[1], -scores, row))
+        row = row[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        order, row, place = order[place < reach], row[place < reach], place[place < reach]
+        self.scores[row, place], self.keys[row, place], self.found[row, place] = scores[order], keys[order], found[order]
+
+    def rows(self, key_type: pa.DataType) -> pa.RecordBatch:
+        row, place = np.nonzero(np.isfinite(self.scores))
+        q, s = self.same[row], self.found[row, place]
+        columns = {"q1": q[:, 0], "q2": q[:, 1], "s1": s[:, 0], "s2": s[:, 1], "score": self.scores[row, place]}
+        key = pa.array(self.keys[row, place].tolist(), key_type)
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), key], [*columns, "key"])
+
+
+def _compare(q: _Block, s: _Block, scores: np.ndarray, bests: _Bests, reach: int) -> None:
+    """Add to ``bests`` of ``q`` what ``s`` has: ``scores`` in single precision and their proven error say which pairs can be
+    among the best, and only these are worked out in double precision."""
+    error = (q.unit.shape[1] + 8) * 2.0**-23
+    if scores.shape[1] > reach:
+        least = scores.max(axis=1) if reach == 1 else np.partition(scores, scores.shape[1] - reach, axis=1)[:, -reach]
+    else:
+        least = np.full(len(scores), -np.inf, np.float32)
+    least = np.maximum(least - 2 * error, bests.scores[:, -1] - error - 10.0**-SCORE_DIGITS)
+    row, col = np.nonzero(scores >= np.nextafter(least.astype(np.float32), np.float32(-np.inf))[:, None])
+    step = max(1, GAP_CELLS // q.unit.shape[1])
+    if len(row) * 8 > scores.size:  # as many ties as a whole product has rows to offer
+        full = np.round(q.exact(slice(None)) @ s.exact(slice(None)).T, SCORE_DIGITS)
+        found = full[row, col]
+    else:
+        found = np.concatenate([np.empty(0), *[
+            np.round(np.einsum("ij,ij->i", q.exact(row[i:i + step]), s.exact(col[i:i + step])), SCORE_DIGITS)
+            for i in range(0, len(row), step)]])
+    order = np.lexsort((s.rank[col], -found, row))
+    row, col, found = row[order], col[order], found[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < reach
+    row, col, found = row[kept], col[kept], found[kept]
+    if len(row):
+        bests.add(row, found, s.keys[col], s.same[col])
 
 
 def _bundles(sizes: np.ndarray, order: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,6 +264,21 @@ def _bundles(sizes: np.ndarray, order: np.ndarray, most: int) -> tuple[np.ndarra
     return bundle, slices
 
 
+def _side(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, same, vector) of the rows with a finite vector that is not zero; ``same`` is equal where vectors are."""
+    number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return df.select(F.col(key).alias("key"), F.col(vector).alias("vector")).filter(
+        F.forall("vector", number) & F.exists("vector", lambda x: x != 0)
+    ).select("key", F.struct(F.xxhash64("vector").alias("a"), F.xxhash64(F.lit(1), "vector").alias("b")).alias("same"), "vector")
+
+
+def _distinct(side: DataFrame, reach: int) -> DataFrame:
+    """(same, keys, vector): each vector once, with the ``reach`` smallest keys of its rows."""
+    first = F.dense_rank().over(Window.partitionBy("same").orderBy("key"))
+    few = side.filter(F.col("key").isNotNull()).withColumn("first", first).filter(F.col("first") <= reach)
+    return few.groupBy("same").agg(F.sort_array(F.collect_list("key")).alias("keys"), F.first("vector").alias("vector"))
+
+
 def nearest_neighbours(
     queries: DataFrame,
     index: DataFrame,
@@ -221,116 +291,158 @@ def nearest_neighbours(
 ) -> DataFrame:
     """Exact k nearest rows of ``index`` by cosine for every row of ``queries``; neither side bounded.
 
-    Returns (``key``, ``neighbour``, ``score``, ``place``). Method (a pivot-pruned block join):
-
-    1. Some index rows become pivots; each index row joins the cell of its closest one. Of a cell only
-       the size and radius are kept.
-    2. Pivots are index rows, so the k-th closest pivot bounds a query's k-th distance from above. By
-       the triangle inequality that rules out the cells that lie farther away, and the query is sent
-       to the remaining ones only.
-    3. Neighbouring cells share a bundle of at most ``block_bytes``, a larger cell is cut into slices of
-       that; so are the queries, by their home cells. A query is sent once to each bundle with a cell
-       that is not ruled out, however many such cells it has, so its copies are bounded by the bytes of
-       the index over ``block_bytes``. A task multiplies two bundles and returns k rows per query, not
-       the pairs.
-    4. The partial bests of each query are merged.
-
-    Nothing is approximate: the pruning is a proof, and slices lose nothing. Unclustered vectors
-    prune badly and cost a full block join, on a grid of blocks of bounded bytes.
+    Returns (``key``, ``neighbour``, ``score``, ``place``). Method (a pivot-pruned block join of distinct vectors):
+
+    1. Equal vectors are compared once, and stand for the rows with their smallest keys, of which no more
+       than k can be found; the results are dealt to all rows with the vector.
+    2. Some index vectors become pivots; each vector joins the cell of its closest one. Of a cell only
+       the size and radius are kept. Neighbouring cells share a block of bounded rows and bytes, a larger
+       cell is cut into several blocks. A block is one row: its vectors travel side by side.
+    3. Pivots are index vectors, so the k-th closest pivot bounds a query's k-th distance from above. By
+       the triangle inequality that rules out the cells that lie farther away, and blocks of which no
+       query needs the other are not compared.
+    4. Blocks are paired without a shuffle of the pairs, each pair of blocks of a table with itself once
+       for both sides. A task multiplies two blocks in single precision, works out what is within the
+       proven error of the best in double precision, and holds k results per vector, not the pairs.
+    5. The partial bests of each vector are merged.
+
+    Nothing is approximate: the pruning is a proof, and blocks lose nothing. Unclustered vectors prune
+    badly and cost a full block join, whose work is the square of the distinct vectors and whose memory
+    is bounded by the blocks.
     """
-    key_type = index.schema[key].dataType.simpleString()
-    side = lambda df: df.select(F.col(key).alias("key"), F.col(vector).alias("vector")).filter(
-        F.exists("vector", lambda x: x != 0)
-    )
-    q_rows, s_rows = side(queries), side(index)
-    spark = q_rows.sparkSession
-    out_schema = f"key {key_type}, neighbour {key_type}, score double"
-    if pivots is None:
-        pivots = min(MOST_PIVOTS, math.isqrt(s_rows.count()) + 1)
+    spark = queries.sparkSession
+    key_type = index.schema[key].dataType
+    wide = index.schema[vector].dataType.simpleString() == "array<double>"
     reach = k + 1 if drop_self else k
-    # Which rows they are does not matter for the result; with fewer pivots than `reach` nothing is ruled out.
-    chosen = s_rows.orderBy(F.xxhash64("key"), "key").limit(pivots).collect()
-    if not chosen:
-        return spark.createDataFrame([], f"{out_schema}, place int")
+    out_schema = f"key {queries.schema[key].dataType.simpleString()}, neighbour {key_type.simpleString()}, score double, place int"
+    alike = queries is index
+    told = written(_distinct(_side(index, key, vector), reach), "vectors")
+    n = told.count()
+    if not n:
+        return spark.createDataFrame([], out_schema)
+    asked = told if alike else written(
+        _side(queries, key, vector).groupBy("same").agg(F.first("key").alias("key"), F.first("vector").alias("vector")), "queries"
+    ).select("same", F.array().cast(f"array<{key_type.simpleString()}>").alias("keys"), "vector")
+    # Which vectors they are does not matter for the result; with fewer pivots than `reach` nothing is ruled out.
+    chosen = told.orderBy("same").limit(pivots or min(MOST_PIVOTS, math.isqrt(n) + 1)).collect()
     centres = _matrix(pd.Series([r["vector"] for r in chosen]))
-    slice_rows = max(64, block_bytes // (8 * centres.shape[1]))
+    width = max(centres.shape)
+    most = max(64, min(BLOCK_ROWS, block_bytes // (8 * centres.shape[1])))
 
     def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _some_rows(batches, width):
             gaps = _gaps(_matrix(b["vector"]), centres)
-            yield b.assign(cell=gaps.argmin(axis=1).astype("int32"), gap=gaps.min(axis=1))
+            yield b[["a", "b"]].assign(cell=gaps.argmin(axis=1).astype("int32"), gap=gaps.min(axis=1))
 
-    placed = s_rows.mapInPandas(to_cells, f"key {key_type}, vector array<float>, cell int, gap double")
-    cells = placed.groupBy("cell").agg(F.count("*").alias("rows"), F.max("gap").alias("radius")).collect()
-    at = np.array([c["cell"] for c in cells])
-    radius, sizes = np.array([c["radius"] for c in cells]), np.array([c["rows"] for c in cells])
-
-    def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"home": _gaps(_matrix(b["vector"]), centres)[:, at].argmin(axis=1).astype("int32")})
+    def placed(df: DataFrame) -> DataFrame:
+        return df.select("same.*", "vector").mapInPandas(to_cells, "a long, b long, cell int, gap double")
 
-    asked = {r["home"]: r["n"] for r in q_rows.select("vector").mapInPandas(homes, "home int").groupBy("home").agg(
-        F.count("*").alias("n")).collect()}  # one row per cell
+    cells = placed(told).groupBy("cell").agg(F.count("*").alias("rows"), F.max("gap").alias("radius")).collect()
+    at = np.array([c["cell"] for c in cells])
+    radius = np.full(len(centres), -np.inf)
+    radius[at] = [c["radius"] for c in cells]
     # neighbours along the direction in which the pivots spread most come next to each other
-    spread_most = np.linalg.svd(centres[at] - centres[at].mean(axis=0), full_matrices=False)[2][0]
-    order = np.argsort(centres[at] @ spread_most, kind="stable")
-    bundle, slices = _bundles(sizes, order, slice_rows)
-    home_bundle, home_slices = _bundles(np.array([asked.get(i, 0) for i in range(len(at))]), order, slice_rows)
-    # number the slices of all bundles, on both sides
-    per_bundle, per_home = np.ones(bundle.max() + 1, int), np.ones(home_bundle.max() + 1, int)
-    per_bundle[bundle], per_home[home_bundle] = slices, home_slices
-    first_slice, first_part = np.cumsum(per_bundle) - per_bundle, np.cumsum(per_home) - per_home
-    between = np.sqrt(np.clip(2.0 - 2.0 * (centres[at] @ centres[at].T), 0.0, None))
-    slack = 1e-6
-
-    def to_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            every = _gaps(_matrix(b["vector"]), centres)
-            within = reach <= every.shape[1]
-            limit = np.partition(every, reach - 1, axis=1)[:, reach - 1] if within else np.full(len(b), np.inf)
-            gaps = every[:, at]
+    order = np.argsort(centres @ np.linalg.svd(centres - centres.mean(axis=0), full_matrices=False)[2][0], kind="stable")
+
+    def numbered(sizes: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """First block and number of blocks of each cell."""
+        bundle, slices = _bundles(np.array([sizes.get(i, 0) for i in range(len(centres))]), order, most)
+        per_bundle = np.ones(bundle.max() + 1, np.int64)
+        np.maximum.at(per_bundle, bundle, slices)
+        return (np.cumsum(per_bundle) - per_bundle)[bundle], per_bundle[bundle]
+
+    s_first, s_count = numbered({c["cell"]: c["rows"] for c in cells})
+    q_first, q_count = (s_first, s_count) if alike else numbered(
+        {r["cell"]: r["n"] for r in placed(asked).groupBy("cell").agg(F.count("*").alias("n")).collect()})
+    blocks = int((s_first + s_count).max())
+
+    def to_blocks(first: np.ndarray, count: np.ndarray):
+        def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in _some_rows(batches, width):
+                home = _gaps(_matrix(b["vector"]), centres).argmin(axis=1)
+                yield b.assign(number=(first[home] + b["a"].to_numpy() % count[home]).astype("int32"))
+        return deal
+
+    def pack(b: pd.DataFrame) -> pd.DataFrame:
+        vectors = np.vstack(b["vector"].to_list()).astype(np.float64 if wide else np.float32)
+        return pd.DataFrame({
+            "number": [b["number"].iloc[0]], "same": [b[["a", "b"]].to_numpy(np.int64).tobytes()],
+            "keys": [b["least"].dropna().to_list()], "vectors": [vectors.tobytes()]})
+
+    def packed(df: DataFrame, first: np.ndarray, count: np.ndarray) -> DataFrame:
+        dealt = f"a long, b long, least {key_type.simpleString()}, vector {index.schema[vector].dataType.simpleString()}, number int"
+        rows = df.select("same.*", F.get("keys", F.lit(0)).alias("least"), "vector").mapInPandas(to_blocks(first, count), dealt)
+        return rows.groupBy("number").applyInPandas(
+            pack, f"number int, same binary, keys array<{key_type.simpleString()}>, vectors binary")
+
+    def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Which blocks the queries need, by the block of the queries."""
+        for b in _some_rows(batches, max(width, blocks)):
+            gaps = _gaps(_matrix(b["vector"]), centres)
+            limit = np.partition(gaps, reach - 1, axis=1)[:, reach - 1] if reach <= len(centres) else np.full(len(b), np.inf)
             home = gaps.argmin(axis=1)
             own = gaps[np.arange(len(b)), home][:, None]
-            apart = between[home]
+            apart = _gaps(centres[home], centres)
             plane = np.divide(gaps**2 - own**2, 2 * apart, out=np.zeros_like(gaps), where=apart > 0)
-            least = np.maximum(gaps - radius, plane)
-            part = first_part[home_bundle[home]] + b["spread"].to_numpy() % per_home[home_bundle[home]]
-            b = b[["key", "vector"]].assign(query_part=part.astype("int32"))
-            row, cell = np.nonzero(least <= limit[:, None] + slack)
-            row, meant = np.unique(np.stack([row, bundle[cell]]), axis=1)
-            copies = per_bundle[meant]
-            piece = np.concatenate([np.arange(c) for c in copies]) if len(copies) else np.array([], int)
-            row, piece = np.repeat(row, copies), np.repeat(first_slice[meant], copies) + piece
-            for start in range(0, len(row), ROWS_PER_BATCH):
-                some = slice(start, start + ROWS_PER_BATCH)
-                yield b.iloc[row[some]].assign(piece=piece[some].astype("int32"))
-
-    block_schema = f"key {key_type}, vector array<float>, query_part int, piece int"
-    spread = F.pmod(F.xxhash64("key"), F.lit(2**31 - 1)).cast("int").alias("spread")
-    q_blocks = q_rows.select("key", "vector", spread).mapInPandas(to_blocks, block_schema)
-    numbers = F.create_map(*[F.lit(int(x)) for i, c in enumerate(at) for x in (c, first_slice[bundle[i]])])
-    counts = F.create_map(*[F.lit(int(x)) for c, n in zip(at, slices) for x in (c, n)])
-    pieces = placed.select(
-        "key", "vector",
-        (F.element_at(numbers, F.col("cell")) + F.pmod(F.xxhash64("key"), F.element_at(counts, F.col("cell")))).cast("int").alias("piece"),
-    )
-    block, parts = ["piece", "query_part"], int(per_home.sum())
-    if parts * int(per_bundle.sum()) <= FEW_BLOCKS:
-        s_blocks = pieces.withColumn("query_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    else:
-        stored = scratch_path(spark, "query-blocks")
-        q_blocks.write.parquet(stored)
-        q_blocks = spark.read.schema(block_schema).parquet(stored)
-        s_blocks = pieces.join(spark.read.schema(block_schema).parquet(stored).select(*block).distinct(), "piece")
-
-    def best(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or s.empty:
-            return pd.DataFrame({"key": [], "neighbour": [], "score": []})
-        return _best(q, s, k, drop_self)
-
-    partial = q_blocks.groupBy(*block).cogroup(s_blocks.groupBy(*block)).applyInPandas(best, out_schema)
+            row, cell = np.nonzero((np.maximum(gaps - radius, plane) <= limit[:, None] + 1e-6) & np.isfinite(radius))
+            part = q_first[home] + b["a"].to_numpy() % q_count[home]
+            want = np.zeros((len(b), blocks + 1), np.int32)  # ranges of blocks, begun and ended
+            np.add.at(want, (row, s_first[cell]), 1)
+            np.add.at(want, (row, s_first[cell] + s_count[cell]), -1)
+            some, meant = np.nonzero(want[:, :-1].cumsum(axis=1))
+            yield pd.DataFrame({"q": part[some], "s": meant}, dtype="int32").drop_duplicates()
+
+    meets = asked.select("same.a", "vector").mapInPandas(needed, "q int, s int")
+    if alike:
+        meets = meets.select(F.least("q", "s").alias("q"), F.greatest("q", "s").alias("s"))
+    meets = meets.groupBy("q").agg(F.collect_set("s").alias("meets"))
+    stored = lambda df, label: written(df, label, **{"parquet.block.size": ROW_GROUP_BYTES})
+    s_blocks = stored(packed(told, s_first, s_count), "blocks")
+    q_blocks = s_blocks if alike else stored(packed(asked, q_first, q_count), "query-blocks")
+    q_blocks = q_blocks.join(F.broadcast(meets) if blocks < BLOCK_ROWS else meets, q_blocks["number"] == meets["q"])
+    q_blocks = q_blocks.repartition(max(1, min(blocks, 4 * spark.sparkContext.defaultParallelism)))
+    as_block = lambda side: F.struct("number", "same", "keys", "vectors", F.lit(wide).alias("wide")).alias(side)
+    pairs = q_blocks.select(as_block("q"), "meets").hint("shuffle_replicate_nl").join(
+        s_blocks.select(as_block("s")), F.array_contains("meets", F.col("s.number")))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, _Bests] = {}
+        q, arrow_key = None, None
+        for batch in batches:
+            arrow_key = arrow_key or batch.schema.field("s").type.field("keys").type.value_type
+            for i in range(batch.num_rows):
+                mine, other = batch.column("q")[i], batch.column("s")[i]
+                if q is None or q.number != mine["number"].as_py():
+                    q = _Block(mine.as_py())
+                s = q if alike and q.number == other["number"].as_py() else _Block(other.as_py())
+                scores = q.unit @ s.unit.T
+                for x, y, z in [(q, s, scores), (s, q, scores.T)][: 2 if alike and s is not q else 1]:
+                    if x.number not in held:
+                        held[x.number] = _Bests(x, reach)
+                    _compare(x, y, z, held[x.number], reach)
+            if sum(len(x.same) for x in held.values()) > HELD_ROWS:
+                yield from (x.rows(arrow_key) for x in held.values())
+                held = {}
+        yield from (x.rows(arrow_key) for x in held.values())
+
+    partial = f"q1 long, q2 long, s1 long, s2 long, score double, key {key_type.simpleString()}"
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(batch_rows)
+    spark.conf.set(batch_rows, "1")  # a row is two blocks
+    try:
+        found = written(pairs.select("q", "s").mapInArrow(best, partial), "bests")
+    finally:
+        spark.conf.set(batch_rows, usual)
+    same = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    merged = found.select(same("q1", "q2").alias("same"), same("s1", "s2").alias("found"), "key", "score").withColumn(
+        "place", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("score"), "key"))).filter(F.col("place") <= reach)
+    keys = told.select(F.col("same").alias("found"), F.explode("keys").alias("neighbour"))
+    results = merged.select("same", "found", "score").join(keys, "found").select("same", "score", "neighbour")
+    rows = _side(queries, key, vector).select("key", "same").join(results, "same").select("key", "neighbour", "score")
+    if drop_self:
+        rows = rows.filter(F.col("key") != F.col("neighbour"))
     order_of = Window.partitionBy("key").orderBy(F.desc("score"), "neighbour")
-    return partial.withColumn("place", F.row_number().over(order_of)).filter(F.col("place") <= k)
+    return rows.withColumn("place", F.row_number().over(order_of)).filter(F.col("place") <= k)
 
 
 def novelty(
@@ -348,7 +460,9 @@ def novelty(
     The closest indexed row other than itself decides; a query with no other row is novel, with a
     NULL score. ``weights`` (:func:`word_weights`) say how much the slots of the vectors tell.
     """
-    closest = nearest_neighbours(weighted(queries, weights, vector), weighted(index, weights, vector), 1, key, vector, drop_self=True).select(
+    told = weighted(index, weights, vector)
+    asked = told if queries is index else weighted(queries, weights, vector)
+    closest = nearest_neighbours(asked, told, 1, key, vector, drop_self=True).select(
         F.col("key").alias(key), "score", "neighbour"
     )
     told = queries.select(key).join(closest, key, "left").select(
