@@ -155,6 +155,8 @@ BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 2048
 # Numbers in each array of distances to pivots; rows are taken a few at a time.
 GAP_CELLS = 1 << 20
+# So many candidates a vector make it worth while to look for the best of a block first.
+MANY = 16
 # Vectors whose best results a task holds before it hands them on.
 HELD_ROWS = 1 << 18
 ROW_GROUP_BYTES = 32 << 20
@@ -228,12 +230,21 @@ def _compare(q: _Block, s: _Block, scores: np.ndarray, bests: _Bests, reach: int
     """Add to ``bests`` of ``q`` what ``s`` has: ``scores`` in single precision and their proven error say which pairs can be
     among the best, and only these are worked out in double precision."""
     error = (q.unit.shape[1] + 8) * 2.0**-23
-    if scores.shape[1] > reach:
-        least = scores.max(axis=1) if reach == 1 else np.partition(scores, scores.shape[1] - reach, axis=1)[:, -reach]
-    else:
-        least = np.full(len(scores), -np.inf, np.float32)
-    least = np.maximum(least - 2 * error, bests.scores[:, -1] - error - 10.0**-SCORE_DIGITS)
-    row, col = np.nonzero(scores >= np.nextafter(least.astype(np.float32), np.float32(-np.inf))[:, None])
+
+    def at_least(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        floor = np.nextafter(least.astype(np.float32), np.float32(-np.inf))
+        if scores.flags.c_contiguous:
+            return np.divmod(np.flatnonzero(scores >= floor[:, None]), scores.shape[1])
+        return np.divmod(np.flatnonzero(scores.T >= floor), scores.shape[0])[::-1]
+
+    known = bests.scores[:, -1] - error - 10.0**-SCORE_DIGITS
+    enough = np.isfinite(known).all()
+    row, col = at_least(known) if enough else (np.empty(0, np.int64),) * 2
+    if not enough or len(row) > MANY * len(scores):
+        own = np.full(len(scores), -np.inf)
+        if scores.shape[1] > reach:
+            own = scores.max(axis=1) if reach == 1 else np.partition(scores, scores.shape[1] - reach, axis=1)[:, -reach]
+        row, col = at_least(np.maximum(own - 2 * error, known))
     step = max(1, GAP_CELLS // q.unit.shape[1])
     if len(row) * 8 > scores.size:  # as many ties as a whole product has rows to offer
         full = np.round(q.exact(slice(None)) @ s.exact(slice(None)).T, SCORE_DIGITS)
