@@ -56,6 +56,19 @@ def test_error_of_many_editors(spark):
     assert found.edit_count == 60_000 and abs(found.unique_editors - 20_000) < 20_000 * 0.05
 
 
+def test_exact_panes_count_every_editor(spark, events):
+    many = spark.range(60_000).select(
+        (F.lit(START).cast("timestamp") + F.make_dt_interval(secs=F.col("id") % 600)).alias("event_timestamp"), F.lit("p").alias("title"),
+        F.lit(0).alias("namespace"), F.concat(F.lit("u"), F.col("id") % 20_000).alias("user"), F.lit(1).alias("byte_delta"),
+        F.lit(False).alias("minor"))
+    found = page_activity(page_panes(many, exact=True), START + timedelta(minutes=10), "1 HOUR").first()
+    assert (found.edit_count, found.unique_editors, found.total_byte_delta) == (60_000, 20_000, 60_000)
+    panes = page_panes(events, exact=True)
+    sliding = sliding_page_metrics(events, exact=True)
+    assert rows(windows_of_panes(panes, 15, 1), *sliding.columns) == rows(sliding)
+    assert rows(windows_of_panes(panes, 5), *page_metrics(events).columns) == rows(page_metrics(events, exact=True))
+
+
 def test_panes_of_a_stream(spark, tmp_path):
     tables = Tables(spark, str(tmp_path / "lake"))
     flow = Medallion(tables, str(tmp_path / "landing"))

@@ -2,7 +2,8 @@
 
 A pane holds the measures of a minute in a form that can be merged: counts, sums, a maximum, and a sketch of the editors. An
 event is aggregated once, into its pane; sliding, tumbling and whole-day windows then combine panes, so an event is not
-copied into each window it belongs to, and editors are counted once per window however many panes they edited in.
+copied into each window it belongs to, and editors are counted once per window however many panes they edited in. Where the
+count has to be exact, a pane holds the editors themselves in place of the sketch.
 """
 
 from __future__ import annotations
@@ -20,27 +21,42 @@ PANE = "1 minute"
 PANE_SECONDS = 60
 #: log2 of a sketch's slots: about 1.6 % error at 4,096, and exact or nearly so for some hundred editors.
 SKETCH = 12
+EDITORS = "editors"
 MEASURES = ("edit_count", "editors_sketch", "byte_windows", "total_byte_delta", "max_byte_delta", "minor_edit_count")
 
 
-def page_panes(silver: DataFrame, keys: Sequence[str] = PAGE, ts: str = "event_timestamp", user: str = "user") -> DataFrame:
-    """One row per minute and page, for tables and streams. Rows without an event time belong to no pane."""
+def page_panes(
+    silver: DataFrame, keys: Sequence[str] = PAGE, ts: str = "event_timestamp", user: str = "user", exact: bool = False
+) -> DataFrame:
+    """One row per minute and page, for tables and streams. Rows without an event time belong to no pane. ``exact`` panes
+    have the minute's ``editors``, others a sketch of them."""
     delta = F.col("byte_delta")
+    editors = F.collect_set(user).alias(EDITORS) if exact else F.hll_sketch_agg(user, SKETCH).alias("editors_sketch")
     grouped = silver.groupBy(F.window(ts, PANE), *keys).agg(
-        F.count("*").alias("edit_count"), F.hll_sketch_agg(user, SKETCH).alias("editors_sketch"),
+        F.count("*").alias("edit_count"), editors,
         F.count(delta).alias("byte_windows"), F.sum(delta).alias("total_byte_delta"),
         F.max(delta).alias("max_byte_delta"), count_when(F.col("minor")).alias("minor_edit_count"),
     )
     return grouped.select(
-        F.col("window.start").alias("pane_start"), F.col("window.start").cast("date").alias("pane_date"), *keys, *MEASURES
+        F.col("window.start").alias("pane_start"), F.col("window.start").cast("date").alias("pane_date"), *keys,
+        *[EDITORS if exact and c == "editors_sketch" else c for c in MEASURES],
     )
 
 
-def _merged() -> list[Column]:
+def _merge(panes: DataFrame, *keys: str) -> DataFrame:
+    """``panes`` merged by ``keys``. Editors of exact panes become rows beside the panes, so no group holds them all."""
+    if EDITORS not in panes.columns:
+        estimate = F.hll_sketch_estimate(F.hll_union_agg("editors_sketch"))
+        return panes.groupBy(*keys).agg(*_merged(F.coalesce(estimate, F.lit(0))))
+    one = panes.select(*keys, F.explode(EDITORS).alias("editor__"))
+    both = panes.drop(EDITORS).unionByName(one, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*_merged(F.count_distinct("editor__")))
+
+
+def _merged(editors: Column) -> list[Column]:
     total, n = F.sum("total_byte_delta"), F.sum("byte_windows")
     return [
-        F.sum("edit_count").alias("edit_count"),
-        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("editors_sketch")), F.lit(0)).alias("unique_editors"),
+        F.sum("edit_count").alias("edit_count"), editors.alias("unique_editors"),
         total.alias("total_byte_delta"), F.round(total / F.nullif(n, F.lit(0)), 1).alias("avg_byte_delta"),
         F.max("max_byte_delta").alias("max_byte_delta"), F.sum("minor_edit_count").alias("minor_edit_count"),
     ]
@@ -61,7 +77,7 @@ def windows_of_panes(
     spread = panes.withColumn("start__", F.explode(starts))
     kind = panes.schema["pane_start"].dataType.simpleString()
     time = lambda c: F.timestamp_seconds(c).cast(kind)
-    merged = spread.groupBy("start__", *keys).agg(*_merged())
+    merged = _merge(spread, "start__", *keys)
     return merged.select(
         time(F.col("start__")).alias("window_start"), time(F.col("start__") + width).alias("window_end"),
         time(F.col("start__")).cast("date").alias("window_date"), *[c for c in merged.columns if c != "start__"],
@@ -74,5 +90,5 @@ def page_activity(
     """Pages by edits over ``span`` (all of them, if ``n`` is none), with the distinct editors of the whole span: unlike a
     sum over windows, somebody who edits in many windows counts once."""
     recent = since(panes, "pane_start", as_of, span, part="pane_date")
-    found = recent.groupBy(*keys).agg(*_merged())
+    found = _merge(recent, *keys)
     return found if n is None else found.orderBy(F.desc("edit_count"), *keys).limit(n)
