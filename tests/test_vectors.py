@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidegauge import registry
 from tidegauge.operators import vector_index as v
 from tidegauge.sources.tables import written
 
@@ -84,6 +85,18 @@ def test_memory_of_a_step_does_not_grow_with_the_pivots():
         assert sum(sizes) == len(frame) and max(sizes) * width <= v.GAP_CELLS
 
 
+def test_text_search_embeds_the_texts_once(spark, sf):
+    found = registry.QUERIES["v3_text_search"](spark, sf)
+    assert found.inputFiles() and not any("documents.parquet" in f for f in found.inputFiles())
+
+
+def test_slot_frequencies_equal_plain_counts(spark):
+    rows_ = [(1, [0.0, 2.0, -1.0]), (2, [0.0, 0.5, 0.0]), (3, None), (4, [0.0, None, 3.0]), (5, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows_, "id bigint, embedding array<float>")
+    assert rows(v.slot_frequencies(df)) == [(-1, 4), (1, 2), (2, 2)]
+    assert v.slot_frequencies(df.limit(0)).count() == 0
+
+
 def test_far_cells_are_skipped(spark):
     """Tight clusters: a query is sent to its own cell, not to all."""
     r = np.random.default_rng(1)

@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,9 +48,13 @@ ALL_TEXTS = -1
 def slot_frequencies(embedded: DataFrame, vector: str = "embedding") -> DataFrame:
     """(slot, texts): in how many rows each slot of the vectors is not zero, and the number of rows. Tables of several
     batches are added up slot by slot, so the table grows with the index and is never fitted anew."""
-    used = F.filter(F.transform(vector, lambda x, i: F.when(x != 0, i).otherwise(F.lit(ALL_TEXTS))), lambda i: i >= 0)
-    slots = embedded.select(F.explode(F.concat(used, F.array(F.lit(ALL_TEXTS)))).alias("slot"))
-    return slots.groupBy("slot").agg(F.count("*").alias("texts"))
+    numbers = F.transform(vector, lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))
+    seen = embedded.filter(F.col(vector).isNotNull()).select(array_to_vector(numbers).alias("numbers"))
+    # one group, and none without any row
+    told = seen.groupBy(F.lit("all")).agg(Summarizer.metrics("numNonZeros", "count").summary(F.col("numbers")).alias("told"))
+    used = told.select(F.posexplode(vector_to_array("told.numNonZeros")).alias("slot", "texts")).filter("texts > 0")
+    return used.select("slot", F.col("texts").cast("bigint")).unionAll(
+        told.select(F.lit(ALL_TEXTS).alias("slot"), F.col("told.count").alias("texts")))
 
 
 def word_weights(frequencies: DataFrame, dimensions: int = DIMENSIONS) -> list[float]:
