@@ -62,6 +62,32 @@ def test_odd_rows(spark, tmp_path, monkeypatch):
     assert math.isfinite(queries.op5_language_model(spark, f"{tmp_path}/c").first().score)
 
 
+def test_every_training_text_is_learned_from(spark, monkeypatch):
+    """The last estimate rests on the tokens of all texts, whatever their number."""
+    seen = []
+    real = hmm.expected_counts
+    monkeypatch.setattr(hmm, "expected_counts", lambda docs, *a: seen.append((docs.count(), real(docs, *a))) or seen[-1][1])
+    texts = spark.createDataFrame([(f"word{i % 50} of text {i}",) for i in range(3_000)] + [(None,)], "text string")
+    reader = hmm.Reader(hmm.Vocabulary(hmm.word_counts(texts).cache(), 3_001))
+    hmm.train(texts, reader)
+    assert len(seen) == hmm.SWEEPS * hmm.PARTS
+    last = seen[-hmm.PARTS:]
+    assert sum(n for n, _ in last) == 3_001
+    k = hmm.STATES
+    assert math.isclose(sum(c[k + k * k:].sum() for _, c in last), 3_000 * 4 + 3_001, rel_tol=1e-9)
+
+
+def test_short_texts_leave_checkpoints_by_their_tokens(monkeypatch):
+    m, lengths = small_model(), np.array([4] * 50 + [9])
+    flat = np.random.default_rng(4).integers(0, 5, lengths.sum()).astype(np.int32)
+    want = hmm.Batch(flat, lengths).expected(m)
+    monkeypatch.setattr(hmm, "SEGMENT_TOKENS", 60)
+    batch = hmm.Batch(flat, lengths)
+    assert batch.segments() == [0, 1, 2, 3, 9]
+    for a, b in zip(batch.expected(m), want, strict=True):
+        assert np.allclose(a, b)
+
+
 def small_model(symbols=5):
     rng = np.random.default_rng(1)
     return hmm.Model.estimated(rng.random(3), rng.random((3, 3)), rng.random((symbols, 3)))

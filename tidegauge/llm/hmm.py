@@ -5,8 +5,10 @@ symbol per token: the most frequent words have their own, all others the symbol
 character), and a word of a class has its smoothed share of the class's count. So the likelihood of a text is that of its
 symbols, by the scaled forward recursion, times the shares of its rarer words.
 
-Training: a bounded hash sample of training texts gives the first estimate; then each full pass takes the expected
-counts over all training texts, summed over partitions, and re-estimates. Counts of frequent words (a bounded list)
+Training: all training texts, dealt to parts by their hash. Incremental expectation maximization goes over the parts in
+turn: the expected counts of a part, summed over partitions, replace those it had before, and the model is re-estimated
+from the counts of all parts so far. So a sweep costs one pass over the texts and re-estimates as often as there are
+parts, and the last estimate rests on the counts of every training text. Counts of frequent words (a bounded list)
 travel to the tasks; the counts of the rest come by a join on the word, in which no frequent word takes part, so no key
 is hot.
 
@@ -29,23 +31,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import materialize, slices, small_batches, space_words
+from tidegauge.session import scratch_path
 
 STATES = 8
 #: Words with a symbol of their own, and words whose counts travel to the tasks, at most.
 SYMBOLS, FREQUENT = 4_096, 131_072
 LENGTHS, KINDS = 16, 4
 CLASSES = LENGTHS * KINDS
-#: Texts of the first estimate, its passes, and the passes over all training texts.
-SAMPLE_TEXTS, SAMPLE_PASSES, FULL_PASSES = 2_000, 12, 2
+#: Parts that all training texts are dealt to, and sweeps over all parts.
+PARTS, SWEEPS = 8, 2
 #: Counts added to the expected ones in re-estimation.
 ADD_MOVES, ADD_SYMBOLS = 0.5, 0.05
 SEED = 29
 #: Steps after which the forward pass leaves a checkpoint, so that the backward pass needs bounded memory.
 SEGMENT = 256
+#: Tokens between two checkpoints, as far as a step of all sequences allows: short texts are many side by side.
+SEGMENT_TOKENS = 1 << 17
 CHUNKS = 16
 #: Text whose sequences run side by side.
-BATCH_BYTES = 16 << 20
-#: How much likelier than a move the first estimate takes a state to stay: states then settle on kinds of text.
+BATCH_BYTES = 8 << 20
+#: How much likelier than a move the initial model takes a state to stay: states then settle on kinds of text.
 STAY = 30.0
 
 
@@ -191,17 +196,29 @@ class Batch:
         out[self.order] = total
         return out
 
+    def segments(self) -> list[int]:
+        """Where the checkpoints are: at most ``SEGMENT`` steps apart, and ``SEGMENT_TOKENS`` or a single step."""
+        cuts, held = [0], 0
+        for t, n in enumerate(self.active.tolist()):
+            if t > cuts[-1] and (t - cuts[-1] >= SEGMENT or held + n > SEGMENT_TOKENS):
+                cuts.append(t)
+                held = 0
+            held += n
+        return [*cuts, self.longest] if self.longest else cuts
+
     def expected(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts (start, move, emit) of Baum-Welch."""
         k = len(m.start)
         start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((len(m.emit), k))
+        cuts = self.segments()
+        last = {end - 1 for end in cuts[1:]}
         points: list[np.ndarray | None] = [None]
         for t, alpha, _ in self.forward(m, 0, self.longest, None):
-            if (t + 1) % SEGMENT == 0:
+            if t in last:
                 points.append(alpha)
         back, ahead = np.zeros((0, k)), None  # ahead: emission times backward over scale, of the step behind
-        for segment in reversed(range(-(-self.longest // SEGMENT))):
-            begin, end = segment * SEGMENT, min((segment + 1) * SEGMENT, self.longest)
+        for segment in reversed(range(len(cuts) - 1)):
+            begin, end = cuts[segment], cuts[segment + 1]
             steps = list(self.forward(m, begin, end, points[segment]))
             seen, weights = [], []
             for t, alpha, scale in reversed(steps):
@@ -222,8 +239,8 @@ class Batch:
         return start, move * m.move, emit
 
 
-def expected_counts(docs: DataFrame, reader: Reader, model: Model) -> Model:
-    """The model re-estimated from the expected counts over ``docs`` (text), summed over partitions."""
+def expected_counts(docs: DataFrame, reader: Reader, model: Model) -> np.ndarray:
+    """The expected counts (start, move, emit) over ``docs`` (text), one behind the other, summed over partitions."""
     k, symbols = len(model.start), len(model.emit)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,21 +259,26 @@ def expected_counts(docs: DataFrame, reader: Reader, model: Model) -> Model:
 
     schema = "chunk int, sums binary"
     added = docs.select("text").mapInArrow(count, schema).groupBy("chunk").applyInPandas(add, schema).collect()
-    flat = np.concatenate([np.frombuffer(r.sums) for r in sorted(added, key=lambda r: r.chunk)])
-    start, move, emit = np.split(flat, [k, k + k * k])
-    return Model.estimated(start, move.reshape(k, k), emit.reshape(symbols, k))
+    if not added:
+        return np.zeros(k + k * k + symbols * k)
+    return np.concatenate([np.frombuffer(r.sums) for r in sorted(added, key=lambda r: r.chunk)])
 
 
 def train(training: DataFrame, reader: Reader) -> Model:
     model = Model.initial(CLASSES + 1 + len(reader.v.symbols))
     if not reader.v.texts:
         return model
-    bound = int(1_000_000 * min(1.0, SAMPLE_TEXTS / reader.v.texts))
-    sample = materialize(training.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < bound).select("text"), "sample")
-    for _ in range(SAMPLE_PASSES):
-        model = expected_counts(sample, reader, model)
-    for _ in range(FULL_PASSES):
-        model = expected_counts(training, reader, model)
+    k, symbols = len(model.start), len(model.emit)
+    part = F.pmod(F.xxhash64("text"), F.lit(PARTS)).cast("int").alias("part")
+    path = scratch_path(training.sparkSession, "parts")
+    training.select("text", part).write.partitionBy("part").option("compression", "zstd").parquet(path)
+    parts = training.sparkSession.read.schema("text string, part int").parquet(path)
+    counts = np.zeros((PARTS, k + k * k + symbols * k))
+    for _ in range(SWEEPS):
+        for i in range(PARTS):
+            counts[i] = expected_counts(parts.filter(F.col("part") == i), reader, model)
+            start, move, emit = np.split(counts.sum(axis=0), [k, k + k * k])
+            model = Model.estimated(start, move.reshape(k, k), emit.reshape(symbols, k))
     return model
 
 
