@@ -7,6 +7,9 @@ those of encoding the whole text (tested on hostile texts).
 
 An added token (such as ``<|endoftext|>``) is recognised where the raw text holds it, as the tokenizer file says; such a
 text is encoded whole. Pieces are encoded without added tokens: no piece of the other texts has one but by lower-casing.
+
+Where the tokenizer drops white space, texts are cut on their bytes, before blanks and between a letter or digit and the
+punctuation behind it, and new words of letters alone are encoded many in a row: each ends in its one closing token.
 """
 
 from __future__ import annotations
@@ -30,6 +33,29 @@ REMEMBERED = 700_000
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: A blank or line end behind white space (of any kind): there a piece must not begin.
 ODD = r"[\t-\r\x1c-\x20\x{85}\p{Z}][ \n]"
+#: Pieces that are one word of letters behind a blank, and how many of them are encoded in a row.
+LETTERS, IN_A_ROW = r"^ \p{L}+$", 256
+#: By byte: is it one of ``MARKS``.
+IS_MARK = np.isin(np.arange(256), list(MARKS.encode()))
+
+
+def _stem_ends() -> np.ndarray:
+    """By two bytes: do they end in a letter or digit below U+0250 that is one character in lower case too."""
+    ends = np.zeros((256, 256), bool)
+    for c in map(chr, range(0x250)):
+        if c.isascii():
+            ends[:, ord(c)] = c.isalnum()
+        elif c.isalpha() and len(c.lower()) == 1:
+            ends[tuple(c.encode())] = True
+    return ends
+
+
+STEM_ENDS = _stem_ends()
+
+
+def strings(column: pa.Array) -> list[str]:
+    """The strings of a column, several times faster than ``to_pylist``."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 class PieceEncoder:
@@ -49,6 +75,9 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.spaces_vanish = spaces_vanish
         self.cut = re.compile(r"(?<=\S)(?=[ \n])")
+        vocab, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closing = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.closing[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -78,13 +107,36 @@ class PieceEncoder:
                 joined.append((piece, stem, piece[len(stem) :]))
         parts = dict.fromkeys(whole) | dict.fromkeys(x for _, *two in joined for x in two)
         new = [p for p in parts if p not in self.places]
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        self.hold(new, np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
+        self.hold(new, *self.encode_each(new))
         if joined:
             two = np.array([(self.places[stem], self.places[tail]) for _, stem, tail in joined])
             self.hold([piece for piece, *_ in joined], *self.gather(two.ravel(), 2))
 
+    def encode_each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces in a row, and the number of each."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths
+
+    def learn_words(self, missing: pa.Array) -> None:
+        """Encode new pieces of :meth:`_by_words`. Words of letters alone are encoded in rows. Each gives one closing token
+        at least; where a row has more of them than words, its words are encoded one by one."""
+        in_rows = pc.match_substring_regex(missing, LETTERS)
+        words, others = strings(missing.filter(in_rows)), strings(missing.filter(pc.invert(in_rows)))
+        rows = [words[i : i + IN_A_ROW] for i in range(0, len(words), IN_A_ROW)]
+        new, flat, lengths = [], [], []
+        for row, got in zip(rows, self.tokenizer.encode_batch_fast(list(map("".join, rows)), add_special_tokens=False)):
+            ids = np.array(got.ids, np.uint32)
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(row) and ends[-1] == len(ids):
+                new += row
+                flat.append(ids)
+                lengths.append(np.diff(ends, prepend=0))
+            else:
+                others += row
+        each = self.encode_each(others)
+        self.hold(new + others, *(np.concatenate([*x, y]) for x, y in zip((flat, lengths), each)))
+
     def hold(self, pieces: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         self.places.update(zip(pieces, count(len(self.places))))
         self.pool = np.concatenate([self.pool, flat])
@@ -104,6 +156,8 @@ class PieceEncoder:
         marked = np.zeros(len(texts), bool)
         for token in self.added:
             marked |= np.asarray(pc.match_substring(texts, token))
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if not marked.any():
             return self._by_pieces(texts)
         ids, counts = self._by_pieces(pc.if_else(pa.array(marked), "", texts))
@@ -119,32 +173,50 @@ class PieceEncoder:
         """The ids and numbers of ids of texts without an added token."""
         if len(self.places) > REMEMBERED:
             self.forget()
-        odd = np.zeros(len(texts), bool)
-        if self.spaces_vanish:
-            # such a tokenizer also lower-cases; for A-Z that can be done first
-            split = pc.split_pattern(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), " ")
-        else:
-            odd = np.asarray(pc.match_substring_regex(texts, ODD))
-            plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
-            split = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
-        pieces = np.diff(np.asarray(split.offsets))
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        at = np.asarray(coded.indices)
-        if self.spaces_vanish:
-            at = self.places_of(words)[at]
-        else:
-            firsts = np.cumsum(pieces) - pieces
-            heads = at[firsts]
-            known = self.places_of([w if w[:1] == "\n" else " " + w for w in words])
-            at = known[at]
-            at[firsts] = self.places_of([words[i] for i in heads])
-            if odd.any():
-                at, pieces = self._with_odd(texts, odd, at, pieces)
+        at, pieces = self._by_words(texts) if self.spaces_vanish else self._by_blanks(texts)
         ids, lengths = self.gather(at)
         bounds = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(pieces)])]
         return ids, np.diff(bounds)
 
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all pieces in a row, and the number of pieces of each text, where white space is dropped: every
+        text begins with a blank, so a piece is a blank and what follows it, or the marks behind a stem."""
+        # such a tokenizer also lower-cases; for A-Z that can be done first
+        spaced = pc.binary_join_element_wise("", texts.cast(pa.string()), " ")
+        spaced = pc.ascii_lower(pc.replace_substring(spaced, "\n", " "))
+        ends, raw = spaced.buffers()[1:]
+        bounds = np.frombuffer(ends, np.int32)[spaced.offset : spaced.offset + len(spaced) + 1]
+        held = np.frombuffer(raw, np.uint8)[bounds[0] : bounds[-1]]
+        begins = held == ord(" ")
+        marks = np.flatnonzero(IS_MARK[held])
+        begins[marks] = STEM_ENDS[held[marks - 2], held[marks - 1]]
+        cuts = np.append(np.flatnonzero(begins), len(held))
+        buffers = [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(held)]
+        coded = pa.Array.from_buffers(pa.string(), len(cuts) - 1, buffers).dictionary_encode()
+        words = strings(coded.dictionary)
+        at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            self.learn_words(coded.dictionary.take(pa.array(unknown)))
+            at[unknown] = [self.places[words[i]] for i in unknown]
+        return at[np.asarray(coded.indices)], np.diff(np.searchsorted(cuts, bounds - bounds[0]))
+
+    def _by_blanks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same where white space belongs to the piece that follows it."""
+        odd = np.asarray(pc.match_substring_regex(texts, ODD))
+        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        split = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        pieces = np.diff(np.asarray(split.offsets))
+        coded = split.flatten().dictionary_encode()
+        words = strings(coded.dictionary)
+        at = np.asarray(coded.indices)
+        firsts = np.cumsum(pieces) - pieces
+        heads = at[firsts]
+        known = self.places_of([w if w[:1] == "\n" else " " + w for w in words])
+        at = known[at]
+        at[firsts] = self.places_of([words[i] for i in heads])
+        return self._with_odd(texts, odd, at, pieces) if odd.any() else (at, pieces)
+
     def _with_odd(self, texts, odd, at, counts) -> tuple[np.ndarray, np.ndarray]:
         """The places with those of the texts marked ``odd``, which are cut by the rule itself."""
         per_text = np.split(at, np.cumsum(counts)[:-1])
