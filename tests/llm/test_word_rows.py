@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from tidegauge.llm.tokens import IN_A_ROW, PieceEncoder
 
-WORD = public_tokenizers.path("word_bpe_49k.json")
+BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
 
 class Counting:
@@ -24,11 +24,11 @@ class Counting:
         return self.tokenizer.encode_batch_fast(texts, **options)
 
 
-def encoded(texts):
-    encoder = PieceEncoder(WORD, spaces_vanish=True)
+def encoded(texts, path=WORD):
+    encoder = PieceEncoder(path, spaces_vanish=path == WORD)
     encoder.tokenizer = Counting(encoder.tokenizer)
     ids, counts = encoder.encode(pa.array(texts, pa.string()))
-    want = [e.ids for e in Tokenizer.from_file(WORD).encode_batch(texts, add_special_tokens=False)]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
     assert ids.tolist() == [i for each in want for i in each] and counts.tolist() == list(map(len, want))
     return encoder.tokenizer.given
 
@@ -49,3 +49,13 @@ def test_no_texts_and_empty_texts():
     assert encoded(["", " ", "\n", ""]) <= 1
     ids, counts = PieceEncoder(WORD, spaces_vanish=True).encode(pa.array([], pa.string()))
     assert len(ids) == len(counts) == 0
+
+
+def test_rows_of_words_where_white_space_is_kept():
+    words = ["".join(x) for x in product("abdeknorstuéßñ", repeat=3)]
+    marked = [w + m for w, m in zip(words, [".", ",", "!?", ".x", ""] * len(words), strict=False)]
+    given = encoded([" ".join(words), "\n".join(marked), " ".join(words[::-1])], BYTE)
+    assert given <= 2 * len(words) // IN_A_ROW + 1 + 3 + 4  # behind blanks and line ends; first words; marks
+    for odd in ("İ", "xİ.", "क़", "a'sz", "x1y", "é.Σ Σ.é", "\n\n", "  x", "x\t", "Ġ", "aĊb", "x \n y", "É.\nÉ", "\u00a0"):
+        encoded([" ".join([*words[:300], odd, *words[300:]]), odd, f"{odd} {odd}.", "", f"\n{odd}\n{odd}"], BYTE)
+    assert encoded(["", ""], BYTE) == 0

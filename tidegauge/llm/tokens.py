@@ -8,8 +8,9 @@ those of encoding the whole text (tested on hostile texts).
 An added token (such as ``<|endoftext|>``) is recognised where the raw text holds it, as the tokenizer file says; such a
 text is encoded whole. Pieces are encoded without added tokens: no piece of the other texts has one but by lower-casing.
 
-Where the tokenizer drops white space, texts are cut on their bytes, before blanks and between a letter or digit and the
-punctuation behind it, and new words of letters alone are encoded many in a row: each ends in its one closing token.
+Texts are cut on their bytes, before blanks and line ends and between a letter or digit and the punctuation behind it. New
+words of letters alone are encoded many in a row: each ends in its one closing token or, where white space is kept, begins
+with the one token that holds the blank or line end before it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import os
 import re
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, count, repeat
 
 import numpy as np
@@ -33,8 +34,10 @@ REMEMBERED = 700_000
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: A blank or line end behind white space (of any kind): there a piece must not begin.
 ODD = r"[\t-\r\x1c-\x20\x{85}\p{Z}][ \n]"
-#: Pieces that are one word of letters behind a blank, and how many of them are encoded in a row.
-LETTERS, IN_A_ROW = r"^ \p{L}+$", 256
+#: Pieces that are one word of letters behind a blank or line end, and how many of them are encoded in a row.
+LETTERS, IN_A_ROW = r"^[ \n]\p{L}+$", 256
+#: A blank and a line end as byte-level tokens write them.
+OPENING = ("\u0120", "\u010a")
 #: By byte: is it one of ``MARKS``.
 IS_MARK = np.isin(np.arange(256), list(MARKS.encode()))
 
@@ -76,8 +79,9 @@ class PieceEncoder:
         self.spaces_vanish = spaces_vanish
         self.cut = re.compile(r"(?<=\S)(?=[ \n])")
         vocab, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.closing = np.zeros(max(vocab.values(), default=0) + 1, bool)
-        self.closing[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
+        borders = (t for t in vocab if (suffix and t.endswith(suffix) if spaces_vanish else t.startswith(OPENING)))
+        self.border = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.border[[vocab[t] for t in borders]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -85,12 +89,12 @@ class PieceEncoder:
         self.pool = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
-    def places_of(self, pieces: list[str]) -> np.ndarray:
-        """Where the ids of pieces stand; unknown ones are encoded first."""
+    def places_of(self, pieces: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
+        """Where the ids of pieces stand; unknown ones are encoded first, by ``learn``."""
         at = np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            self.learn(list(dict.fromkeys(pieces[i] for i in unknown)))
+            learn(list(dict.fromkeys(pieces[i] for i in unknown)))
             at[unknown] = [self.places[pieces[i]] for i in unknown]
         return at
 
@@ -118,17 +122,19 @@ class PieceEncoder:
         lengths = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths
 
-    def learn_words(self, missing: pa.Array) -> None:
-        """Encode new pieces of :meth:`_by_words`. Words of letters alone are encoded in rows. Each gives one closing token
+    def learn_words(self, missing: list[str]) -> None:
+        """Encode new pieces of :meth:`_by_bytes`. Words of letters alone are encoded in rows. Each gives one border token
         at least; where a row has more of them than words, its words are encoded one by one."""
-        in_rows = pc.match_substring_regex(missing, LETTERS)
-        words, others = strings(missing.filter(in_rows)), strings(missing.filter(pc.invert(in_rows)))
+        column = pa.array(missing, pa.string())
+        in_rows = pc.match_substring_regex(column, LETTERS)
+        words, others = strings(column.filter(in_rows)), strings(column.filter(pc.invert(in_rows)))
         rows = [words[i : i + IN_A_ROW] for i in range(0, len(words), IN_A_ROW)]
         new, flat, lengths = [], [], []
         for row, got in zip(rows, self.tokenizer.encode_batch_fast(list(map("".join, rows)), add_special_tokens=False)):
             ids = np.array(got.ids, np.uint32)
-            ends = np.flatnonzero(self.closing[ids]) + 1
-            if len(ends) == len(row) and ends[-1] == len(ids):
+            border = np.flatnonzero(self.border[ids])
+            ends = border + 1 if self.spaces_vanish else np.append(border[1:], len(ids))
+            if len(border) == len(row) and ends[-1] == len(ids):
                 new += row
                 flat.append(ids)
                 lengths.append(np.diff(ends, prepend=0))
@@ -173,55 +179,45 @@ class PieceEncoder:
         """The ids and numbers of ids of texts without an added token."""
         if len(self.places) > REMEMBERED:
             self.forget()
-        at, pieces = self._by_words(texts) if self.spaces_vanish else self._by_blanks(texts)
+        odd = np.zeros(len(texts), bool)
+        if self.spaces_vanish:
+            # such a tokenizer also lower-cases; for A-Z that can be done first
+            plain = pc.binary_join_element_wise("", texts, " ")
+            plain = pc.ascii_lower(pc.replace_substring(plain, "\n", " "))
+        else:
+            odd = np.asarray(pc.match_substring_regex(texts, ODD))
+            plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        at, pieces = self._by_bytes(plain.cast(pa.string()))
+        if odd.any():
+            at, pieces = self._with_odd(texts, odd, at, pieces)
         ids, lengths = self.gather(at)
         bounds = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(pieces)])]
         return ids, np.diff(bounds)
 
-    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The places of all pieces in a row, and the number of pieces of each text, where white space is dropped: every
-        text begins with a blank, so a piece is a blank and what follows it, or the marks behind a stem."""
-        # such a tokenizer also lower-cases; for A-Z that can be done first
-        spaced = pc.binary_join_element_wise("", texts.cast(pa.string()), " ")
-        spaced = pc.ascii_lower(pc.replace_substring(spaced, "\n", " "))
-        ends, raw = spaced.buffers()[1:]
-        bounds = np.frombuffer(ends, np.int32)[spaced.offset : spaced.offset + len(spaced) + 1]
+    def _by_bytes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all pieces in a row, and the number of pieces of each text. A piece begins at a blank or line end,
+        at marks behind a stem, and with the text."""
+        ends, raw = texts.buffers()[1:]
+        bounds = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        if bounds[0] == bounds[-1]:
+            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
         held = np.frombuffer(raw, np.uint8)[bounds[0] : bounds[-1]]
-        begins = held == ord(" ")
+        bounds = bounds - bounds[0]
+        begins = (held == ord(" ")) | (held == ord("\n"))
         marks = np.flatnonzero(IS_MARK[held])
-        begins[marks] = STEM_ENDS[held[marks - 2], held[marks - 1]]
+        begins[marks] = STEM_ENDS[held[np.maximum(marks - 2, 0)], held[marks - 1]]
+        begins[bounds[:-1][np.diff(bounds) > 0]] = True
         cuts = np.append(np.flatnonzero(begins), len(held))
         buffers = [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(held)]
         coded = pa.Array.from_buffers(pa.string(), len(cuts) - 1, buffers).dictionary_encode()
-        words = strings(coded.dictionary)
-        at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(at < 0)
-        if len(unknown):
-            self.learn_words(coded.dictionary.take(pa.array(unknown)))
-            at[unknown] = [self.places[words[i]] for i in unknown]
-        return at[np.asarray(coded.indices)], np.diff(np.searchsorted(cuts, bounds - bounds[0]))
-
-    def _by_blanks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The same where white space belongs to the piece that follows it."""
-        odd = np.asarray(pc.match_substring_regex(texts, ODD))
-        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
-        split = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
-        pieces = np.diff(np.asarray(split.offsets))
-        coded = split.flatten().dictionary_encode()
-        words = strings(coded.dictionary)
-        at = np.asarray(coded.indices)
-        firsts = np.cumsum(pieces) - pieces
-        heads = at[firsts]
-        known = self.places_of([w if w[:1] == "\n" else " " + w for w in words])
-        at = known[at]
-        at[firsts] = self.places_of([words[i] for i in heads])
-        return self._with_odd(texts, odd, at, pieces) if odd.any() else (at, pieces)
+        at = self.places_of(strings(coded.dictionary), self.learn_words)
+        return at[np.asarray(coded.indices)], np.diff(np.searchsorted(cuts, bounds))
 
     def _with_odd(self, texts, odd, at, counts) -> tuple[np.ndarray, np.ndarray]:
         """The places with those of the texts marked ``odd``, which are cut by the rule itself."""
         per_text = np.split(at, np.cumsum(counts)[:-1])
         for i in np.flatnonzero(odd):
-            per_text[i] = self.places_of(self.cut.split(texts[int(i)].as_py()))
+            per_text[i] = self.places_of(self.cut.split(texts[int(i)].as_py()), self.learn)
         return np.concatenate(per_text), np.fromiter(map(len, per_text), np.int64, len(per_text))
 
 
