@@ -30,12 +30,16 @@ from tidegauge.llm.common import slices
 
 #: Distinct pieces remembered at once; beyond it the memory starts afresh.
 REMEMBERED = 700_000
+#: Bytes of text that are cut and looked up at once: what a worker holds for them is some thirty times as much.
+SLICE_BYTES = 1 << 20
 #: Punctuation that is encoded apart from the word before it; an apostrophe may begin a token with letters.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: A blank or line end behind white space (of any kind): there a piece must not begin.
 ODD = r"[\t-\r\x1c-\x20\x{85}\p{Z}][ \n]"
 #: Pieces that are one word of letters behind a blank or line end, and how many of them are encoded in a row.
 LETTERS, IN_A_ROW = r"^[ \n]\p{L}+$", 256
+#: Rows, or as many pieces as they hold, that the tokenizer gets at once.
+ROWS_AT_ONCE = 16
 #: A blank and a line end as byte-level tokens write them.
 OPENING = ("\u0120", "\u010a")
 #: By byte: is it one of ``MARKS``.
@@ -116,9 +120,16 @@ class PieceEncoder:
             two = np.array([(self.places[stem], self.places[tail]) for _, stem, tail in joined])
             self.hold([piece for piece, *_ in joined], *self.gather(two.ravel(), 2))
 
+    def encoded(self, texts: list[str], at_once: int) -> Iterator[list[int]]:
+        """The ids of each text. What the tokenizer returns is many times as large as its ids, so it is held for a few
+        texts only."""
+        for i in range(0, len(texts), at_once):
+            for got in self.tokenizer.encode_batch_fast(texts[i : i + at_once], add_special_tokens=False):
+                yield got.ids
+
     def encode_each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces in a row, and the number of each."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        got = list(self.encoded(pieces, ROWS_AT_ONCE * IN_A_ROW))
         lengths = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths
 
@@ -130,8 +141,8 @@ class PieceEncoder:
         words, others = strings(column.filter(in_rows)), strings(column.filter(pc.invert(in_rows)))
         rows = [words[i : i + IN_A_ROW] for i in range(0, len(words), IN_A_ROW)]
         new, flat, lengths = [], [], []
-        for row, got in zip(rows, self.tokenizer.encode_batch_fast(list(map("".join, rows)), add_special_tokens=False)):
-            ids = np.array(got.ids, np.uint32)
+        for row, got in zip(rows, self.encoded(list(map("".join, rows)), ROWS_AT_ONCE)):
+            ids = np.array(got, np.uint32)
             border = np.flatnonzero(self.border[ids])
             ends = border + 1 if self.spaces_vanish else np.append(border[1:], len(ids))
             if len(border) == len(row) and ends[-1] == len(ids):
@@ -242,5 +253,6 @@ def encode_batches(
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with their ``text`` encoded: the slice, all ids in a row, the count of each text."""
     encoder = worker_encoder(path, spaces_vanish)
-    for batch in slices(batches, "text", 8 << 20):
+    for batch in slices(batches, "text", SLICE_BYTES):
         yield batch, *encoder.encode(batch.column("text"))
+    pa.default_memory_pool().release_unused()  # the worker waits for later tasks, of other stages too
