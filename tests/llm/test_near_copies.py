@@ -6,6 +6,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 from test_ngram_join import near_copies
 
 from tidegauge.llm import ngram_join
@@ -90,3 +91,29 @@ def test_classes_are_kept_by_their_own_key(spark):
     first = [x for x in kept if x[1] in near]
     assert len(first) == 1
     assert [x for x in kept if x not in first] == sorted([*rows[:2], rows[5], rows[6], *rows[8:10], rows[11]], key=repr)
+
+
+def test_candidates_are_fetched_without_a_broadcast_of_them(spark, monkeypatch):
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame(
+        [(None if k % 50 == 0 else k % 900, None if k % 97 == 0 else f"text {k % 700}") for k in range(2_000)] + [(5, "")], schema)
+    named = docs.select(
+        F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("h")
+    ).distinct()
+    source = named.filter("pmod(h, 3) = 0").select(
+        F.col("h").alias("node"), (F.col("h") % 7).alias("cluster"), "d", "none", "h", F.explode(F.array(F.lit(0), F.lit(1))).alias("chunk"))
+    plain = docs.select("text", F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("h"))
+    wanted = sorted(map(repr, plain.join(source, ["d", "none", "h"]).select("node", "cluster", "chunk", "text").collect()))
+    assert 100 < len(wanted) < source.count() * 3
+    monkeypatch.setattr(ngram_join, "BITMAP_BITS", 64)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (1, 3, 2048):  # too few bits for the keys, too, only let more rows pass
+            monkeypatch.setattr(ngram_join, "MOST_BITMAPS", most)
+            got = ngram_join.texts_of(docs, source)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastExchange") == 1 and "SortMergeJoin" in plan  # of the bitmaps, and of nothing else
+            assert sorted(map(repr, got.collect())) == wanted
+            assert ngram_join.bitmaps(source.select(F.xxhash64("d", "none", "h").alias("key")))[0].count() <= most
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

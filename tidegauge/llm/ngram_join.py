@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import drop_tables, materialize, slices, small_batches, space_words
@@ -53,9 +53,11 @@ TIED_BYTES = 4 << 20
 #: Bounds of one side of a block in step 3, and of the n-grams of a star's part in step 2.
 BLOCK_NGRAMS, BLOCK_SETS = 1_000_000, 2_000
 
-#: Candidate documents up to which their ids (32 bytes each) are broadcast to fetch their texts; more are joined by a
-#: shuffle.
-BROADCAST_NODES = 500_000
+#: Rows of one or two numbers up to which a table of groups is broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 50_000
+#: Which rows may be candidates is told by bits, about so many for each candidate, before texts are shuffled. They stand
+#: in bitmaps of 32,768 (4 KB), of which there are at most so many, however many candidates there are.
+BITS_EACH, BITMAP_BITS, MOST_BITMAPS = 16, 1 << 15, 2048
 
 SETS = "doc_id long, text_hash long, n_shingles long, node long, sig_a long, sig_b long"
 PARTS = "node long, cluster long, chunk int, n long, grams array<array<long>>"
@@ -249,8 +251,38 @@ def nested(arrays: list[np.ndarray], fragments: int) -> pa.Array:
 
 
 def small(df: DataFrame) -> DataFrame:
-    """``df`` (a stored table of short rows), broadcast where it is bounded, else joined by a shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_NODES else df
+    """``df`` (a stored table of groups), broadcast where it is bounded, else joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def bitmaps(keys: DataFrame, key: str = "key") -> tuple[DataFrame, int]:
+    """(bitmap, bits) with the bit of every ``key`` (a 64-bit hash) of ``keys`` set, and the number of bitmaps: bounded,
+    so it is broadcast whatever the number of keys. Other keys may have a bit that is set."""
+    most = min(MOST_BITMAPS, keys.count() * BITS_EACH // BITMAP_BITS + 1)
+    dealt = keys.select(*bit_of(F.col(key), most)).repartition("bitmap")
+    return dealt.groupBy("bitmap").agg(F.bitmap_construct_agg("bit").alias("bits")), most
+
+
+def bit_of(key: Column, most: int) -> tuple[Column, Column]:
+    """The bitmap, of ``most``, and the place in it of a key."""
+    place = F.pmod(F.shiftrightunsigned(key, 40), F.lit(BITMAP_BITS))
+    return F.pmod(key, F.lit(most)).alias("bitmap"), place.cast("long").alias("bit")
+
+
+def texts_of(docs: DataFrame, source: DataFrame) -> DataFrame:
+    """(node, cluster, chunk, text) of the rows of ``docs`` that ``source`` (node, cluster, d, none, h, chunk) names.
+
+    Only rows with a key whose bit is set are shuffled, and ``source`` is no larger on the driver for more candidates."""
+    named = F.xxhash64("d", "none", "h")
+    marks, most = bitmaps(source.select(named.alias("key")))
+    rows = docs.select(
+        "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"),
+        F.xxhash64("text").alias("h"),
+    )
+    rows = rows.select("*", *bit_of(named, most)).join(F.broadcast(marks), "bitmap")
+    byte = F.conv(F.hex(F.substring("bits", (F.shiftright("bit", 3) + 1).cast("int"), 1)), 16, 10).cast("int")
+    likely = rows.filter(F.getbit(byte, F.pmod("bit", F.lit(8)).cast("int")) == 1).select("d", "none", "h", "text")
+    return likely.join(source, ["d", "none", "h"]).select("node", "cluster", "chunk", "text")
 
 
 def chunked(sized: DataFrame, key: str, label: str, by_sets: bool = False) -> DataFrame:
@@ -298,7 +330,7 @@ def block_links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     refs = materialize(dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component"
     ), "blocks")
-    blocks = members.select("node", "n", "apart").join(small(refs), "node")
+    blocks = members.select("node", "n", "apart").join(refs, "node")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         docs, row = np.unique(pdf["node"].to_numpy(), return_inverse=True)
@@ -392,11 +424,7 @@ def candidate_links(
         F.array(F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     )
     source = materialize(dealt.select("node", "cluster", "name.*", F.explode(chunk).alias("chunk")), "sources")
-    rows = docs.select(
-        "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"),
-        F.xxhash64("text").alias("h"),
-    ).join(small(source), ["d", "none", "h"])
-    parts = gram_parts(rows, width=width)
+    parts = gram_parts(texts_of(docs, source), width=width)
     if repeated:
         parts = parts.dropDuplicates(["node", "chunk"])  # a row that stands in the table twice gives its n-grams once
     told = materialize(compared_with_centres(parts, percent), "compared")
