@@ -206,3 +206,23 @@ def test_rewritten_summaries_replace_indexed_ones(spark):
     assert v.index_additions(later, stored.unionByName(more)).count() == 0
     back = v.index_additions(table(("a", "one", at(5))), stored.unionByName(more))
     assert rows(back, "id", "summary") == [("a", "one")]  # back to an earlier text
+
+
+def test_only_pairs_of_blocks_travel_one_by_one(spark, monkeypatch):
+    """Which blocks meet is worked out for many vectors at once, not within the small batches of the pairs."""
+    key, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    keep = lambda df, label, **o: sizes.update({label: spark.conf.get(key)}) or written(df, label, **o)
+    monkeypatch.setattr(v, "written", keep)
+    df = vectors(spark, np.random.default_rng(4).normal(size=(200, 4)))
+    v.nearest_neighbours(df, df, 1, drop_self=True, block_bytes=1).count()
+    assert {label for label, n in sizes.items() if n == "1"} == {"bests"} and sizes["meets"] == spark.conf.get(key)
+
+
+@pytest.mark.parametrize("columns", [1, 2, 3, 40, 200])
+def test_what_the_best_of_a_block_reach(columns):
+    """In either order in memory, ``reach`` scores of a row are no smaller, and few of a long one are."""
+    scores = np.random.default_rng(columns).normal(size=(30, columns)).astype(np.float32)
+    for reach in (1, 2, 5):
+        for x in (scores, np.asfortranarray(scores)):
+            above = (x >= v._reached(x, reach)[:, None]).sum(axis=1)
+            assert (above >= min(reach, columns)).all() and (columns < 40 or above.mean() < reach + 2)

@@ -160,8 +160,10 @@ BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 2048
 # Numbers in each array of distances to pivots; rows are taken a few at a time.
 GAP_CELLS = 1 << 20
-# So many candidates a vector make it worth while to look for the best of a block first.
-MANY = 16
+# The best of a block are first told from the largest scores of so many parts of it for each result.
+PARTS = 16
+# Blocks that one task compares with each other, streamed and held in memory; fewer where there would be few tasks.
+STREAMED_BLOCKS, HELD_BLOCKS = 24, 8
 # Vectors whose best results a task holds before it hands them on.
 HELD_ROWS = 1 << 18
 ROW_GROUP_BYTES = 32 << 20
@@ -187,16 +189,23 @@ def _some_rows(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataF
 
 
 class _Block:
-    """Vectors of one block: what tells them, their smallest keys, and unit rows in single precision."""
-
-    def __init__(self, said: dict):
-        whole = said["keys"] and isinstance(said["keys"][0], int)  # blocks of queries have no keys
-        self.number, self.keys = said["number"], np.array(said["keys"], np.int64 if whole else object)
-        self.same = np.frombuffer(said["same"], np.int64).reshape(-1, 2)
-        self.raw = np.frombuffer(said["vectors"], np.float64 if said["wide"] else np.float32).reshape(len(self.same), -1)
-        self.size = np.linalg.norm(self.raw.astype(np.float64), axis=1)
-        self.unit = self.exact(slice(None)).astype(np.float32)
-        self.rank = np.argsort(np.argsort(self.keys, kind="stable"))
+    """Vectors of one block, ordered by their smallest keys: what tells them, these keys, and unit rows in single precision."""
+
+    def __init__(self, number: int, keys: list, same: pa.Buffer, size: pa.Buffer, vectors: pa.Buffer, wide: bool):
+        whole = keys and isinstance(keys[0], int)  # blocks of queries have no keys
+        self.number, self.keys = number, np.array(keys, np.int64 if whole else object)
+        self.same, self.size = np.frombuffer(same, np.int64).reshape(-1, 2), np.frombuffer(size, np.float64)
+        self.raw = np.frombuffer(vectors, np.float64 if wide else np.float32).reshape(len(self.same), -1)
+        if wide or self.size.min() < 1e-30 or self.size.max() > 1e30:
+            self.unit = self.exact(slice(None)).astype(np.float32)
+        else:  # two roundings of each number, within the error that is allowed for
+            self.unit = self.raw * (1 / self.size).astype(np.float32)[:, None]
+
+    @classmethod
+    def of(cls, side: pa.StructArray, i: int) -> _Block:
+        at = lambda name: side.field(name)[i]
+        return cls(at("number").as_py(), at("keys").as_py(), at("same").as_buffer(), at("size").as_buffer(),
+                   at("vectors").as_buffer(), at("wide").as_py())
 
     def exact(self, rows) -> np.ndarray:
         return self.raw[rows].astype(np.float64) / self.size[rows][:, None]
@@ -217,7 +226,13 @@ class _Bests:
         scores = np.concatenate([self.scores[old, place], scores])
         keys = np.concatenate([self.keys[old, place], keys])
         found = np.concatenate([self.found[old, place], found])
-        order = np.lexsort((np.unique(keys, return_inverse=True)[1], -scores, row))
+        order = np.lexsort((-scores, row))
+        equal = (row[order][1:] == row[order][:-1]) & (scores[order][1:] == scores[order][:-1])
+        if equal.any():  # only then the keys decide
+            tied = order[np.append(equal, False) | np.append(False, equal)]
+            rank = np.zeros(len(row), np.int64)
+            rank[tied] = np.unique(keys[tied], return_inverse=True)[1]
+            order = np.lexsort((rank, -scores, row))
         row = row[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         order, row, place = order[place < reach], row[place < reach], place[place < reach]
@@ -231,6 +246,21 @@ class _Bests:
         return pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), key], [*columns, "key"])
 
 
+def _reached(scores: np.ndarray, reach: int) -> np.ndarray:
+    """A score that at least ``reach`` of each row are not below: that many parts of the row have a larger one. Close to the
+    best ones if there are many parts; read in the order in which the scores lie in memory."""
+    rows, columns = scores.shape
+    parts = min(PARTS * reach, columns)
+    if parts < reach:
+        return np.full(rows, -np.inf)
+    width = columns // parts
+    if scores.flags.c_contiguous:
+        tops = scores[:, : parts * width].reshape(rows, parts, width).max(axis=2).T
+    else:
+        tops = scores.T[: parts * width].reshape(parts, width, rows).max(axis=1)
+    return np.partition(tops, parts - reach, axis=0)[parts - reach]
+
+
 def _compare(q: _Block, s: _Block, scores: np.ndarray, bests: _Bests, reach: int) -> None:
     """Add to ``bests`` of ``q`` what ``s`` has: ``scores`` in single precision and their proven error say which pairs can be
     among the best, and only these are worked out in double precision."""
@@ -243,13 +273,7 @@ def _compare(q: _Block, s: _Block, scores: np.ndarray, bests: _Bests, reach: int
         return np.divmod(np.flatnonzero(scores.T >= floor), scores.shape[0])[::-1]
 
     known = bests.scores[:, -1] - error - 10.0**-SCORE_DIGITS
-    enough = np.isfinite(known).all()
-    row, col = at_least(known) if enough else (np.empty(0, np.int64),) * 2
-    if not enough or len(row) > MANY * len(scores):
-        own = np.full(len(scores), -np.inf)
-        if scores.shape[1] > reach:
-            own = scores.max(axis=1) if reach == 1 else np.partition(scores, scores.shape[1] - reach, axis=1)[:, -reach]
-        row, col = at_least(np.maximum(own - 2 * error, known))
+    row, col = at_least(np.maximum(_reached(scores, reach) - 2 * error, known))
     step = max(1, GAP_CELLS // q.unit.shape[1])
     if len(row) * 8 > scores.size:  # as many ties as a whole product has rows to offer
         full = np.round(q.exact(slice(None)) @ s.exact(slice(None)).T, SCORE_DIGITS)
@@ -258,7 +282,7 @@ def _compare(q: _Block, s: _Block, scores: np.ndarray, bests: _Bests, reach: int
         found = np.concatenate([np.empty(0), *[
             np.round(np.einsum("ij,ij->i", q.exact(row[i:i + step]), s.exact(col[i:i + step])), SCORE_DIGITS)
             for i in range(0, len(row), step)]])
-    order = np.lexsort((s.rank[col], -found, row))
+    order = np.lexsort((col, -found, row))  # a block is ordered by its keys
     row, col, found = row[order], col[order], found[order]
     kept = np.arange(len(row)) - np.searchsorted(row, row) < reach
     row, col, found = row[kept], col[kept], found[kept]
@@ -380,16 +404,21 @@ def nearest_neighbours(
         return deal
 
     def pack(b: pd.DataFrame) -> pd.DataFrame:
+        keys = b["least"].dropna().to_list()
+        if keys:
+            order = np.argsort(np.array(keys, np.int64 if isinstance(keys[0], int) else object), kind="stable")
+            b, keys = b.iloc[order], [keys[i] for i in order]
         vectors = np.vstack(b["vector"].to_list()).astype(np.float64 if wide else np.float32)
+        size = np.linalg.norm(vectors.astype(np.float64), axis=1)
         return pd.DataFrame({
             "number": [b["number"].iloc[0]], "same": [b[["a", "b"]].to_numpy(np.int64).tobytes()],
-            "keys": [b["least"].dropna().to_list()], "vectors": [vectors.tobytes()]})
+            "keys": [keys], "size": [size.tobytes()], "vectors": [vectors.tobytes()]})
 
     def packed(df: DataFrame, first: np.ndarray, count: np.ndarray) -> DataFrame:
         dealt = f"a long, b long, least {key_type.simpleString()}, vector {index.schema[vector].dataType.simpleString()}, number int"
         rows = df.select("same.*", F.get("keys", F.lit(0)).alias("least"), "vector").mapInPandas(to_blocks(first, count), dealt)
         return rows.groupBy("number").applyInPandas(
-            pack, f"number int, same binary, keys array<{key_type.simpleString()}>, vectors binary")
+            pack, f"number int, same binary, keys array<{key_type.simpleString()}>, size binary, vectors binary")
 
     def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Which blocks the queries need, by the block of the queries."""
@@ -402,24 +431,30 @@ def nearest_neighbours(
             plane = np.divide(gaps**2 - own**2, 2 * apart, out=np.zeros_like(gaps), where=apart > 0)
             row, cell = np.nonzero((np.maximum(gaps - radius, plane) <= limit[:, None] + 1e-6) & np.isfinite(radius))
             part = q_first[home] + b["a"].to_numpy() % q_count[home]
-            want = np.zeros((len(b), blocks + 1), np.int32)  # ranges of blocks, begun and ended
-            np.add.at(want, (row, s_first[cell]), 1)
-            np.add.at(want, (row, s_first[cell] + s_count[cell]), -1)
-            some, meant = np.nonzero(want[:, :-1].cumsum(axis=1))
+            here = row * (blocks + 1)  # ranges of blocks, begun and ended
+            begun, ended = (np.bincount(here + x[cell], minlength=len(b) * (blocks + 1)) for x in (s_first, s_first + s_count))
+            some, meant = np.nonzero((begun - ended).reshape(len(b), -1)[:, :-1].cumsum(axis=1))
             yield pd.DataFrame({"q": part[some], "s": meant}, dtype="int32").drop_duplicates()
 
     meets = asked.select("same.a", "vector").mapInPandas(needed, "q int, s int")
     if alike:
         meets = meets.select(F.least("q", "s").alias("q"), F.greatest("q", "s").alias("s"))
-    meets = meets.groupBy("q").agg(F.collect_set("s").alias("meets"))
+    # told before the pairs are made, whose batches are of one row
+    meets = written(meets.groupBy("q").agg(F.collect_set("s").alias("meets")), "meets")
     stored = lambda df, label: written(df, label, **{"parquet.block.size": ROW_GROUP_BYTES})
     s_blocks = stored(packed(told, s_first, s_count), "blocks")
     q_blocks = s_blocks if alike else stored(packed(asked, q_first, q_count), "query-blocks")
     q_blocks = q_blocks.join(F.broadcast(meets) if blocks < BLOCK_ROWS else meets, q_blocks["number"] == meets["q"])
-    q_blocks = q_blocks.repartition(max(1, min(blocks, 4 * spark.sparkContext.defaultParallelism)))
-    as_block = lambda side: F.struct("number", "same", "keys", "vectors", F.lit(wide).alias("wide")).alias(side)
-    pairs = q_blocks.select(as_block("q"), "meets").hint("shuffle_replicate_nl").join(
-        s_blocks.select(as_block("s")), F.array_contains("meets", F.col("s.number")))
+    # a task compares the neighbouring blocks of one part with those of another
+    q_total = blocks if alike else int((q_first + q_count).max())
+    tasks = 6 * spark.sparkContext.defaultParallelism
+    s_parts = min(blocks, max(-(-blocks // HELD_BLOCKS), math.isqrt(tasks) + 1))
+    q_parts = min(q_total, max(-(-q_total // STREAMED_BLOCKS), -(-tasks // s_parts)))
+    dealt = lambda df, parts, of: df.repartitionById(
+        parts, F.floor(F.col("number").cast("bigint") * parts / of).cast("int"))
+    as_block = lambda side: F.struct("number", "same", "keys", "size", "vectors", F.lit(wide).alias("wide")).alias(side)
+    pairs = dealt(q_blocks, q_parts, q_total).select(as_block("q"), "meets").hint("shuffle_replicate_nl").join(
+        dealt(s_blocks, s_parts, blocks).select(as_block("s")), F.array_contains("meets", F.col("s.number")))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, _Bests] = {}
@@ -427,10 +462,10 @@ def nearest_neighbours(
         for batch in batches:
             arrow_key = arrow_key or batch.schema.field("s").type.field("keys").type.value_type
             for i in range(batch.num_rows):
-                mine, other = batch.column("q")[i], batch.column("s")[i]
-                if q is None or q.number != mine["number"].as_py():
-                    q = _Block(mine.as_py())
-                s = q if alike and q.number == other["number"].as_py() else _Block(other.as_py())
+                mine, other = batch.column("q"), batch.column("s")
+                if q is None or q.number != mine.field("number")[i].as_py():
+                    q = _Block.of(mine, i)
+                s = q if alike and q.number == other.field("number")[i].as_py() else _Block.of(other, i)
                 scores = q.unit @ s.unit.T
                 for x, y, z in [(q, s, scores), (s, q, scores.T)][: 2 if alike and s is not q else 1]:
                     if x.number not in held:
