@@ -157,7 +157,9 @@ def related_events(
 MOST_PIVOTS = 4096
 BLOCK_BYTES = 16 << 20
 # Vectors of a block: two blocks have at most the square of it as scores, which are in memory at once.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1536
+# How the vectors of a block travel: those of texts are mostly zeros.
+PACKED = "lz4"
 # Numbers in each array of distances to pivots; rows are taken a few at a time.
 GAP_CELLS = 1 << 20
 # The best of a block are first told from the largest scores of so many parts of it for each result.
@@ -191,11 +193,13 @@ def _some_rows(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataF
 class _Block:
     """Vectors of one block, ordered by their smallest keys: what tells them, these keys, and unit rows in single precision."""
 
-    def __init__(self, number: int, keys: list, same: pa.Buffer, size: pa.Buffer, vectors: pa.Buffer, wide: bool):
+    def __init__(self, number: int, keys: list, same: pa.Buffer, size: pa.Buffer, width: int, vectors: pa.Buffer, wide: bool):
         whole = keys and isinstance(keys[0], int)  # blocks of queries have no keys
         self.number, self.keys = number, np.array(keys, np.int64 if whole else object)
         self.same, self.size = np.frombuffer(same, np.int64).reshape(-1, 2), np.frombuffer(size, np.float64)
-        self.raw = np.frombuffer(vectors, np.float64 if wide else np.float32).reshape(len(self.same), -1)
+        kind = np.dtype(np.float64 if wide else np.float32)
+        raw = pa.decompress(vectors, len(self.same) * width * kind.itemsize, PACKED)
+        self.raw = np.frombuffer(raw, kind).reshape(len(self.same), width)
         if wide or self.size.min() < 1e-30 or self.size.max() > 1e30:
             self.unit = self.exact(slice(None)).astype(np.float32)
         else:  # two roundings of each number, within the error that is allowed for
@@ -205,7 +209,7 @@ class _Block:
     def of(cls, side: pa.StructArray, i: int) -> _Block:
         at = lambda name: side.field(name)[i]
         return cls(at("number").as_py(), at("keys").as_py(), at("same").as_buffer(), at("size").as_buffer(),
-                   at("vectors").as_buffer(), at("wide").as_py())
+                   at("width").as_py(), at("vectors").as_buffer(), at("wide").as_py())
 
     def exact(self, rows) -> np.ndarray:
         return self.raw[rows].astype(np.float64) / self.size[rows][:, None]
@@ -274,7 +278,7 @@ def _compare(q: _Block, s: _Block, scores: np.ndarray, bests: _Bests, reach: int
 
     known = bests.scores[:, -1] - error - 10.0**-SCORE_DIGITS
     row, col = at_least(np.maximum(_reached(scores, reach) - 2 * error, known))
-    step = max(1, GAP_CELLS // q.unit.shape[1])
+    step = max(1, GAP_CELLS // (4 * q.unit.shape[1]))
     if len(row) * 8 > scores.size:  # as many ties as a whole product has rows to offer
         full = np.round(q.exact(slice(None)) @ s.exact(slice(None)).T, SCORE_DIGITS)
         found = full[row, col]
@@ -364,7 +368,10 @@ def nearest_neighbours(
         _side(queries, key, vector).groupBy("same").agg(F.first("key").alias("key"), F.first("vector").alias("vector")), "queries"
     ).select("same", F.array().cast(f"array<{key_type.simpleString()}>").alias("keys"), "vector")
     # Which vectors they are does not matter for the result; with fewer pivots than `reach` nothing is ruled out.
-    chosen = told.orderBy("same").limit(pivots or min(MOST_PIVOTS, math.isqrt(n) + 1)).collect()
+    # Only what tells vectors is put in order, so that a task does not hand on as many vectors as there are pivots.
+    last = told.select("same").orderBy("same").limit(pivots or min(MOST_PIVOTS, math.isqrt(n) + 1)).collect()[-1]["same"]
+    a, b = F.col("same.a"), F.col("same.b")
+    chosen = told.filter((a < last["a"]) | ((a == last["a"]) & (b <= last["b"]))).select("vector").collect()
     centres = _matrix(pd.Series([r["vector"] for r in chosen]))
     width = max(centres.shape)
     most = max(64, min(BLOCK_ROWS, block_bytes // (8 * centres.shape[1])))
@@ -412,13 +419,14 @@ def nearest_neighbours(
         size = np.linalg.norm(vectors.astype(np.float64), axis=1)
         return pd.DataFrame({
             "number": [b["number"].iloc[0]], "same": [b[["a", "b"]].to_numpy(np.int64).tobytes()],
-            "keys": [keys], "size": [size.tobytes()], "vectors": [vectors.tobytes()]})
+            "keys": [keys], "size": [size.tobytes()], "width": [vectors.shape[1]],
+            "vectors": [pa.compress(vectors.tobytes(), PACKED, asbytes=True)]})
 
     def packed(df: DataFrame, first: np.ndarray, count: np.ndarray) -> DataFrame:
         dealt = f"a long, b long, least {key_type.simpleString()}, vector {index.schema[vector].dataType.simpleString()}, number int"
         rows = df.select("same.*", F.get("keys", F.lit(0)).alias("least"), "vector").mapInPandas(to_blocks(first, count), dealt)
         return rows.groupBy("number").applyInPandas(
-            pack, f"number int, same binary, keys array<{key_type.simpleString()}>, size binary, vectors binary")
+            pack, f"number int, same binary, keys array<{key_type.simpleString()}>, size binary, width int, vectors binary")
 
     def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Which blocks the queries need, by the block of the queries."""
@@ -444,7 +452,7 @@ def nearest_neighbours(
     stored = lambda df, label: written(df, label, **{"parquet.block.size": ROW_GROUP_BYTES})
     s_blocks = stored(packed(told, s_first, s_count), "blocks")
     q_blocks = s_blocks if alike else stored(packed(asked, q_first, q_count), "query-blocks")
-    q_blocks = q_blocks.join(F.broadcast(meets) if blocks < BLOCK_ROWS else meets, q_blocks["number"] == meets["q"])
+    q_blocks = q_blocks.join(F.broadcast(meets) if blocks < 2048 else meets, q_blocks["number"] == meets["q"])
     # a task compares the neighbouring blocks of one part with those of another
     q_total = blocks if alike else int((q_first + q_count).max())
     tasks = 6 * spark.sparkContext.defaultParallelism
@@ -452,11 +460,12 @@ def nearest_neighbours(
     q_parts = min(q_total, max(-(-q_total // STREAMED_BLOCKS), -(-tasks // s_parts)))
     dealt = lambda df, parts, of: df.repartitionById(
         parts, F.floor(F.col("number").cast("bigint") * parts / of).cast("int"))
-    as_block = lambda side: F.struct("number", "same", "keys", "size", "vectors", F.lit(wide).alias("wide")).alias(side)
+    as_block = lambda side: F.struct("number", "same", "keys", "size", "width", "vectors", F.lit(wide).alias("wide")).alias(side)
     pairs = dealt(q_blocks, q_parts, q_total).select(as_block("q"), "meets").hint("shuffle_replicate_nl").join(
         dealt(s_blocks, s_parts, blocks).select(as_block("s")), F.array_contains("meets", F.col("s.number")))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of earlier steps in this worker
         held: dict[tuple, _Bests] = {}
         q, arrow_key = None, None
         for batch in batches:
